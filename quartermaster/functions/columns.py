@@ -191,10 +191,12 @@ def digest(content: ColumnOrName, bits: int = 512) -> Column:
 def digest_manifest(df: DataFrame, name_col: str, content_col: str, bits: int = 512,
                     name_glob: str | None = None) -> DataFrame:
     """H1: ``(digest, name)`` per member, optionally only names matching a
-    glob such as ``[Gg]*``. The filter runs before the hash, so excluded
+    glob such as ``[Gg]*``. As in the shell, the glob is matched against the
+    whole relative name and ``*`` does not cross ``/`` (so ``mono/G...`` is
+    not a top-level match). The filter runs before the hash, so excluded
     members are never hashed."""
     if name_glob is not None:
-        df = df.filter(base_name(F.col(name_col).cast("string")).rlike(glob_to_regex(name_glob)))
+        df = df.filter(F.col(name_col).cast("string").rlike(glob_to_regex(name_glob)))
     return df.select(digest(content_col, bits).alias("digest"),
                      F.col(name_col).cast("string").alias("name"))
 

@@ -12,8 +12,8 @@ from pyspark.sql import functions as F
 def direct_edges(df: DataFrame, node: str, deps: str, sep: str = ",") -> DataFrame:
     """Expand ``node -> "a,b"`` into one ``(node, parent)`` row per entry
     (blank entries dropped)."""
-    parent = F.explode(F.split(F.col(deps), re.escape(sep)))
-    return (df.select(F.col(node).alias("node"), F.trim(parent).alias("parent"))
+    parents = F.transform(F.split(F.col(deps), re.escape(sep)), F.trim)
+    return (df.select(F.col(node).alias("node"), F.explode(parents).alias("parent"))
               .filter(F.col("parent") != ""))
 
 
