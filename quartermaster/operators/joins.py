@@ -159,19 +159,24 @@ def nearest_ancestor(paths: DataFrame, anchors: DataFrame, id_col: str, path_col
 
     Ancestors are exploded and equi-joined to the distinct anchors (left
     join, so paths without a hit survive), then the smallest ``levels_up``
-    wins per path. The aggregate runs partially in each task before the
-    shuffle. A hot anchor such as the root is a skewed join key: AQE
-    broadcasts small anchor sets and splits skewed partitions otherwise.
+    wins per path. Only that integer is aggregated (a hash aggregate, run
+    partially in each task before the shuffle); the anchor text is rebuilt
+    from the path afterwards. A hot anchor such as the root is a skewed join
+    key: AQE broadcasts small anchor sets and splits skewed partitions
+    otherwise.
     """
     anc = ancestors(paths.select(id_col, path_col), path_col, sep)
     hits = (distinct_keys(anchors, [anchor_col], {anchor_col: "ancestor"})
             .withColumn("__qm_hit", F.lit(True)))
-    best = F.min(F.when(F.col("__qm_hit"), F.struct("levels_up", "ancestor")))
-    return (anc.join(hits, on="ancestor", how="left")
-               .groupBy(id_col, path_col).agg(best.alias("__qm_best"))
-               .select(id_col, path_col,
-                       F.col("__qm_best.ancestor").alias("anchor"),
-                       F.col("__qm_best.levels_up").alias("levels_up")))
+    nearest = (anc.join(hits, on="ancestor", how="left")
+                  .groupBy(id_col, path_col)
+                  .agg(F.min(F.when(F.col("__qm_hit"), F.col("levels_up"))).alias("levels_up")))
+    p = F.col(path_col)
+    parts = F.filter(F.split(p, re.escape(sep), -1), lambda s: s != F.lit(""))
+    anchor = F.concat(F.when(p.startswith(sep), F.lit(sep)).otherwise(F.lit("")),
+                      F.array_join(F.slice(parts, F.lit(1), F.size(parts) - F.col("levels_up")), sep))
+    return nearest.select(id_col, path_col,
+                          F.when(F.col("levels_up").isNotNull(), anchor).alias("anchor"), "levels_up")
 
 
 def completeness(required: DataFrame, present: DataFrame, group: str, member: str,

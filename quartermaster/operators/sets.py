@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .aggregates import ordinal
+from .joins import missing_work
 
 # A domain used to expand ``all`` (or a matrix dimension given as a table)
 # is attached to every row as one array, so its size must stay bounded.
@@ -30,14 +31,14 @@ def union_sets(a: DataFrame, b: DataFrame, key: str | Sequence[str],
                source_col: str = "source", names: tuple[str, str] = ("a", "b")) -> DataFrame:
     """Both inputs in one set; on a key clash the second input wins.
 
-    ``unionByName`` then, per key, the row of the highest layer (max_by over
-    a struct of the other columns): a distributive aggregate, no join."""
+    All of ``b``, plus the rows of ``a`` whose key ``b`` does not have: a
+    left anti join against ``b``'s distinct keys (hash join, partial
+    de-duplication before the shuffle), then ``unionByName``. Rows are never
+    merged or dropped within one input."""
     ks = [key] if isinstance(key, str) else list(key)
-    both = (a.withColumn("__qm_layer", F.lit(0)).withColumn(source_col, F.lit(names[0]))
-             .unionByName(b.withColumn("__qm_layer", F.lit(1)).withColumn(source_col, F.lit(names[1]))))
-    rest = [c for c in both.columns if c not in ks and c != "__qm_layer"]
-    win = F.max_by(F.struct(*rest), F.col("__qm_layer")).alias("__qm_row")
-    return both.groupBy(*ks).agg(win).select(*ks, *[F.col(f"__qm_row.{c}").alias(c) for c in rest])
+    kept_a = missing_work(a, b, ks)
+    return (kept_a.withColumn(source_col, F.lit(names[0]))
+            .unionByName(b.withColumn(source_col, F.lit(names[1]))))
 
 
 # ---------------------------------------------------------------- U2
