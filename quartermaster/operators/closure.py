@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 import re
+import uuid
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from ..session import scratch_dir
+
 
 def direct_edges(df: DataFrame, node: str, deps: str, sep: str = ",") -> DataFrame:
     """Expand ``node -> "a,b"`` into one ``(node, parent)`` row per entry
@@ -17,25 +20,51 @@ def direct_edges(df: DataFrame, node: str, deps: str, sep: str = ",") -> DataFra
               .filter(F.col("parent") != ""))
 
 
+# Above this many distinct edges the closure keeps its state in bucketed
+# tables; below it, per-round fixed costs dominate and checkpointed rounds win.
+BUCKETED_MIN_EDGES = 2_000_000
+
+
 def dependency_closure(edges: DataFrame, node: str = "node", parent: str = "parent",
-                       max_rounds: int = 10_000) -> DataFrame:
+                       max_rounds: int = 10_000, strategy: str = "auto",
+                       buckets: int | None = None) -> DataFrame:
     """Every ``(node, ancestor)`` reachable over ``node -> parent`` edges,
     with ``depth`` = the shortest number of hops.
 
-    Breadth first: each round joins the last round's new pairs to the edges
-    (equi join on the frontier's ancestor), drops pairs seen before (left
-    anti join, which also ends cycles) and checkpoints the result to the
-    shared checkpoint folder, so lineage stays one round long and a lost
-    executor recomputes one round at most. The loop ends when a round finds
-    nothing new; on acyclic input that is the longest chain. ``max_rounds``
-    only guards against a runaway loop; it never trims results (hitting it
-    raises).
+    Breadth first: each round joins the frontier (last round's new pairs)
+    to the edges, de-duplicates the candidates and anti-joins them against
+    every pair found so far (which also ends cycles). State is written to
+    the shared checkpoint folder every round, so lineage stays one round
+    long and a lost executor costs one round at most. The loop stops when a
+    round finds nothing new; on acyclic input that is the longest chain.
+    ``max_rounds`` only guards against a runaway loop and never trims
+    results: reaching it raises.
+
+    ``strategy``: ``bucketed`` (state in bucketed tables, nothing reshuffled
+    after it is written: the plan for large inputs), ``checkpoint``
+    (checkpointed DataFrames, lowest fixed cost per round), or ``auto``
+    (bucketed when a bounded count finds at least ``BUCKETED_MIN_EDGES``
+    distinct edges).
     """
     e = (edges.select(F.col(node).alias("node"), F.col(parent).alias("parent"))
-              .dropna().dropDuplicates().checkpoint(eager=True))
+              .dropna().dropDuplicates())
+    if strategy == "auto":
+        big = e.limit(BUCKETED_MIN_EDGES).count() >= BUCKETED_MIN_EDGES
+        strategy = "bucketed" if big else "checkpoint"
+    if strategy == "bucketed":
+        return _closure_bucketed(e, max_rounds, buckets)
+    if strategy == "checkpoint":
+        return _closure_checkpointed(e, max_rounds)
+    raise ValueError(f"unknown strategy {strategy!r}")
+
+
+def _closure_checkpointed(e: DataFrame, max_rounds: int) -> DataFrame:
+    """Small inputs: each round's new pairs are a checkpointed DataFrame;
+    the anti join reads the union of all earlier rounds."""
+    e = e.checkpoint(eager=True)
     step = e.select(F.col("node").alias("ancestor"), F.col("parent").alias("next"))
-    frontier = e.select("node", F.col("parent").alias("ancestor"), F.lit(1).alias("depth"))
-    frontier = frontier.checkpoint(eager=True)
+    frontier = e.select("node", F.col("parent").alias("ancestor"),
+                        F.lit(1).alias("depth")).checkpoint(eager=True)
     seen = [frontier]
     for _ in range(max_rounds):
         cand = (frontier.join(step, on="ancestor", how="inner")
@@ -51,6 +80,50 @@ def dependency_closure(edges: DataFrame, node: str = "node", parent: str = "pare
     raise RuntimeError(f"closure did not converge in {max_rounds} rounds")
 
 
+def _closure_bucketed(e: DataFrame, max_rounds: int, buckets: int | None) -> DataFrame:
+    """Large inputs: edges and found pairs live in bucketed tables in the
+    shared checkpoint folder, so neither is shuffled again after it is
+    written. Each round appends its new pairs as one ``depth`` partition,
+    which is also the next frontier (pruned read); only the frontier and
+    the candidates are shuffled, and the candidates' shuffle already matches
+    the pair table's buckets for the anti join."""
+    spark = e.sparkSession
+    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    root = scratch_dir(spark, "closure")
+    tag = uuid.uuid4().hex[:12]
+    step_t, pairs_t = f"qm_closure_step_{tag}", f"qm_closure_pairs_{tag}"
+    (e.select(F.col("node").alias("ancestor"), F.col("parent").alias("next"))
+      .repartition(n, "ancestor")
+      .write.bucketBy(n, "ancestor").option("path", f"{root}/step").saveAsTable(step_t))
+    first = e.select("node", F.col("parent").alias("ancestor"), F.lit(1).alias("depth"))
+    _append_pairs(first, pairs_t, f"{root}/pairs", n)
+    step, pairs = spark.table(step_t), spark.table(pairs_t)
+    for depth in range(1, max_rounds + 1):
+        frontier = pairs.filter(F.col("depth") == depth).select("node", "ancestor")
+        cand = (frontier.join(step, on="ancestor", how="inner")
+                        .select("node", F.col("next").alias("ancestor"))
+                        .dropDuplicates(["node", "ancestor"]))
+        new = cand.join(pairs.select("node", "ancestor"), on=["node", "ancestor"], how="left_anti")
+        found = Observation(f"closure_round_{depth}")
+        new = new.observe(found, F.count(F.lit(1)).alias("n"))
+        _append_pairs(new.withColumn("depth", F.lit(depth + 1)), pairs_t, f"{root}/pairs", n)
+        spark.catalog.refreshTable(pairs_t)
+        pairs = spark.table(pairs_t)
+        if found.get["n"] == 0:  # counted while writing: no extra job
+            return pairs.select("node", "ancestor", "depth")
+    raise RuntimeError(f"closure did not converge in {max_rounds} rounds")
+
+
+def _append_pairs(df: DataFrame, name: str, path: str, n: int) -> None:
+    """Append one depth as a partition. Rows are clustered by bucket first
+    (free after the de-duplication shuffle, which has the same keys), so a
+    round adds at most ``n`` files."""
+    (df.select("node", "ancestor", F.col("depth").cast("int").alias("depth"))
+       .repartition(n, "node", "ancestor")
+       .write.mode("append").partitionBy("depth").bucketBy(n, "node", "ancestor")
+       .option("path", path).saveAsTable(name))
+
+
 def dependency_order(nodes: DataFrame, closure: DataFrame, node: str = "node") -> DataFrame:
     """Dependencies first: nodes ordered by how many ancestors they have
     (a dependency always has fewer than its dependants on acyclic input),

@@ -237,11 +237,19 @@ c(node, ancestor, depth) as (
 select node, ancestor, cast(min(depth) as integer) as depth from c group by node, ancestor
 """)
 def j8_dependency_closure(spark, d):
+    return CL.dependency_closure(_part_tree(spark, d))
+
+
+def _part_tree(spark, d):
     part = table(spark, d, "part")
-    edges = (part.select(F.col("p_partkey").alias("node"),
-                         F.expr("p_partkey div 2").alias("parent"))
-                 .filter(F.col("node") != F.col("parent")))
-    return CL.dependency_closure(edges)
+    return (part.select(F.col("p_partkey").alias("node"), F.expr("p_partkey div 2").alias("parent"))
+                .filter(F.col("node") != F.col("parent")))
+
+
+@query("j8_dependency_closure_bucketed", ORACLES["j8_dependency_closure"])
+def j8_dependency_closure_bucketed(spark, d):
+    # The large-input plan (state in bucketed tables), forced at any size.
+    return CL.dependency_closure(_part_tree(spark, d), strategy="bucketed")
 
 
 # ================================================================ aggregates

@@ -125,11 +125,15 @@ def test_completeness_fixture(spark):
     assert J.missing_members(req, have, "grp", "member").count() == 5
 
 
-def test_closure_base_images_fixture(spark):
+STRATEGIES = ["checkpoint", "bucketed"]
+
+
+@pytest.mark.parametrize("strategy", STRATEGIES)
+def test_closure_base_images_fixture(spark, strategy):
     edges = spark.createDataFrame([("linux", "fedora"), ("windows", "fedora"), ("web", "fedora"),
                                    ("android", "fedora"), ("xcode", "fedora"), ("osx", "fedora"),
                                    ("ios", "osx")], "node string, parent string")
-    cl = CL.dependency_closure(edges)
+    cl = CL.dependency_closure(edges, strategy=strategy)
     got = {(r.node, r.ancestor): r.depth for r in cl.collect()}
     assert len(got) == 8 and got[("ios", "fedora")] == 2
     assert all(n != a for n, a in got)  # no (x, x) on acyclic input
@@ -146,13 +150,27 @@ def test_closure_direct_dependency_list(spark):
     assert got == {("osx", "xcode"): 1, ("ios", "osx"): 1, ("ios", "xcode"): 1}
 
 
-def test_closure_stops_on_cycle(spark):
+@pytest.mark.parametrize("strategy", STRATEGIES)
+def test_closure_stops_on_cycle(spark, strategy):
     edges = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "a")], "node string, parent string")
-    got = {(r.node, r.ancestor): r.depth for r in CL.dependency_closure(edges).collect()}
+    got = {(r.node, r.ancestor): r.depth for r in CL.dependency_closure(edges, strategy=strategy).collect()}
     assert len(got) == 9 and got[("a", "a")] == 3 and got[("a", "c")] == 2
 
 
-def test_closure_shortest_depth_on_dag(spark):
+@pytest.mark.parametrize("strategy", STRATEGIES)
+def test_closure_shortest_depth_on_dag(spark, strategy):
     edges = spark.createDataFrame([("d", "c"), ("c", "b"), ("b", "a"), ("d", "a")], "node string, parent string")
-    got = {(r.node, r.ancestor): r.depth for r in CL.dependency_closure(edges).collect()}
+    got = {(r.node, r.ancestor): r.depth for r in CL.dependency_closure(edges, strategy=strategy).collect()}
     assert got[("d", "a")] == 1 and len(got) == 6
+
+
+def test_closure_strategies_agree_on_part_tree(spark):
+    from conftest import SF01
+    part = spark.read.parquet(f"{SF01}/part.parquet")
+    edges = (part.select(F.col("p_partkey").alias("node"), F.expr("p_partkey div 2").alias("parent"))
+                 .filter(F.col("node") != F.col("parent")))
+    a = CL.dependency_closure(edges, strategy="checkpoint")
+    b = CL.dependency_closure(edges, strategy="bucketed", buckets=4)
+    assert a.count() == b.count() == 19953
+    assert a.exceptAll(b).count() == 0
+    assert a.agg(F.max("depth")).first()[0] == 11
