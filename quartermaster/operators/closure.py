@@ -20,13 +20,8 @@ def direct_edges(df: DataFrame, node: str, deps: str, sep: str = ",") -> DataFra
               .filter(F.col("parent") != ""))
 
 
-# Above this many distinct edges the closure keeps its state in bucketed
-# tables; below it, per-round fixed costs dominate and checkpointed rounds win.
-BUCKETED_MIN_EDGES = 2_000_000
-
-
 def dependency_closure(edges: DataFrame, node: str = "node", parent: str = "parent",
-                       max_rounds: int = 10_000, strategy: str = "auto",
+                       max_rounds: int = 10_000, strategy: str = "bucketed",
                        buckets: int | None = None) -> DataFrame:
     """Every ``(node, ancestor)`` reachable over ``node -> parent`` edges,
     with ``depth`` = the shortest number of hops.
@@ -40,17 +35,14 @@ def dependency_closure(edges: DataFrame, node: str = "node", parent: str = "pare
     ``max_rounds`` only guards against a runaway loop and never trims
     results: reaching it raises.
 
-    ``strategy``: ``bucketed`` (state in bucketed tables, nothing reshuffled
-    after it is written: the plan for large inputs), ``checkpoint``
-    (checkpointed DataFrames, lowest fixed cost per round), or ``auto``
-    (bucketed when a bounded count finds at least ``BUCKETED_MIN_EDGES``
-    distinct edges).
+    ``strategy``: ``bucketed`` (default; state in bucketed tables, so
+    neither the edges nor the pairs found so far are shuffled again after
+    they are written) or ``checkpoint`` (checkpointed DataFrames; the anti
+    join re-shuffles every earlier round's pairs, which is fine for small
+    inputs and needs no table catalog).
     """
     e = (edges.select(F.col(node).alias("node"), F.col(parent).alias("parent"))
               .dropna().dropDuplicates())
-    if strategy == "auto":
-        big = e.limit(BUCKETED_MIN_EDGES).count() >= BUCKETED_MIN_EDGES
-        strategy = "bucketed" if big else "checkpoint"
     if strategy == "bucketed":
         return _closure_bucketed(e, max_rounds, buckets)
     if strategy == "checkpoint":
@@ -81,7 +73,7 @@ def _closure_checkpointed(e: DataFrame, max_rounds: int) -> DataFrame:
 
 
 def _closure_bucketed(e: DataFrame, max_rounds: int, buckets: int | None) -> DataFrame:
-    """Large inputs: edges and found pairs live in bucketed tables in the
+    """Edges and found pairs live in bucketed tables in the
     shared checkpoint folder, so neither is shuffled again after it is
     written. Each round appends its new pairs as one ``depth`` partition,
     which is also the next frontier (pruned read); only the frontier and

@@ -246,10 +246,10 @@ def _part_tree(spark, d):
                 .filter(F.col("node") != F.col("parent")))
 
 
-@query("j8_dependency_closure_bucketed", ORACLES["j8_dependency_closure"])
-def j8_dependency_closure_bucketed(spark, d):
-    # The large-input plan (state in bucketed tables), forced at any size.
-    return CL.dependency_closure(_part_tree(spark, d), strategy="bucketed")
+@query("j8_dependency_closure_checkpoint", ORACLES["j8_dependency_closure"])
+def j8_dependency_closure_checkpoint(spark, d):
+    # The alternative plan: checkpointed rounds instead of bucketed tables.
+    return CL.dependency_closure(_part_tree(spark, d), strategy="checkpoint")
 
 
 # ================================================================ aggregates

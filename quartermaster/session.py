@@ -92,3 +92,4 @@ def scratch_dir(spark: SparkSession, label: str) -> str:
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """Read one generated table. Parquet gives column pruning and pushdown."""
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
+
