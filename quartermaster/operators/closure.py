@@ -6,7 +6,7 @@ import re
 import uuid
 from functools import reduce
 
-from pyspark.sql import DataFrame, Observation
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import scratch_dir
@@ -80,7 +80,7 @@ def _closure_bucketed(e: DataFrame, max_rounds: int, buckets: int | None) -> Dat
     the candidates are shuffled, and the candidates' shuffle already matches
     the pair table's buckets for the anti join."""
     spark = e.sparkSession
-    n = buckets or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    n = buckets or _bucket_count(e)
     root = scratch_dir(spark, "closure")
     tag = uuid.uuid4().hex[:12]
     step_t, pairs_t = f"qm_closure_step_{tag}", f"qm_closure_pairs_{tag}"
@@ -96,16 +96,28 @@ def _closure_bucketed(e: DataFrame, max_rounds: int, buckets: int | None) -> Dat
                         .select("node", F.col("next").alias("ancestor"))
                         .dropDuplicates(["node", "ancestor"]))
         new = cand.join(pairs.select("node", "ancestor"), on=["node", "ancestor"], how="left_anti")
-        found = Observation(f"closure_round_{depth}")
-        new = new.observe(found, F.count(F.lit(1)).alias("n"))
         _append_pairs(new.withColumn("depth", F.lit(depth + 1)), pairs_t, f"{root}/pairs", n)
         spark.catalog.refreshTable(pairs_t)
         pairs = spark.table(pairs_t)
-        if found.get["n"] == 0:  # counted while writing: no extra job
+        if pairs.filter(F.col("depth") == depth + 1).isEmpty():  # pruned to one partition
             return pairs.select("node", "ancestor", "depth")
     raise RuntimeError(f"closure did not converge in {max_rounds} rounds")
 
 
+# Target edges per bucket. The pair table grows to about edges x depth, so
+# this keeps a bucket of pairs in the tens of megabytes for deep hierarchies.
+EDGES_PER_BUCKET = 250_000
+
+
+def _bucket_count(e: DataFrame) -> int:
+    """Buckets sized to the data, never more than the shuffle partitions.
+    The count is bounded (``limit``), so probing a huge edge table stops
+    as soon as the cap is reached."""
+    most = int(e.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    seen = e.limit(most * EDGES_PER_BUCKET).count()
+    return max(1, min(most, -(-seen // EDGES_PER_BUCKET)))
+
+
 def _append_pairs(df: DataFrame, name: str, path: str, n: int) -> None:
     """Append one depth as a partition. Rows are clustered by bucket first
     (free after the de-duplication shuffle, which has the same keys), so a
