@@ -171,6 +171,19 @@ def test_closure_strategies_agree_on_part_tree(spark):
                  .filter(F.col("node") != F.col("parent")))
     a = CL.dependency_closure(edges, strategy="checkpoint")
     b = CL.dependency_closure(edges, strategy="bucketed", buckets=4)
+    c = CL.dependency_closure(edges)  # auto: small input, checkpointed rounds
     assert a.count() == b.count() == 19953
-    assert a.exceptAll(b).count() == 0
+    assert a.exceptAll(b).count() == 0 and c.exceptAll(a).count() == 0
     assert a.agg(F.max("depth")).first()[0] == 11
+
+
+def test_closure_hot_ancestor_is_salted_and_exact(spark):
+    # Node 0 is the parent of 2000 nodes (a hub) and has a parent itself;
+    # 100 more nodes hang below the hub's children, so the hub is hot in two rounds.
+    star = [(i, 0) for i in range(1, 2001)] + [(0, -1)] + [(2000 + i, i) for i in range(1, 101)]
+    edges = spark.createDataFrame(star, "node long, parent long")
+    hot = CL.dependency_closure(edges, strategy="bucketed", hot_key_rows=50)
+    ref = CL.dependency_closure(edges, strategy="checkpoint")
+    assert hot.count() == ref.count() == 2000 * 2 + 1 + 100 * 3
+    assert hot.exceptAll(ref).count() == 0
+    assert {r.depth for r in hot.filter("node = 2001").collect()} == {1, 2, 3}
