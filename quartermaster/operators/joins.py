@@ -83,15 +83,19 @@ def semi_join(df: DataFrame, other: DataFrame, keys: str | Sequence[str],
 
 def unique_mapping(mapping: DataFrame, key: str) -> DataFrame:
     """The mapping with an in-plan guard: a repeated key fails the job
-    instead of multiplying rows in the join that follows."""
-    others = [c for c in mapping.columns if c != key]
-    agg = [F.count(F.lit(1)).alias("__qm_n")] + [F.any_value(c).alias(c) for c in others]
-    return (mapping.filter(F.col(key).isNotNull()).groupBy(key).agg(*agg)
-            .filter(F.when(F.col("__qm_n") > 1,
-                           F.raise_error(F.concat(F.lit(f"mapping key {key} repeats: "),
-                                                  F.col(key).cast("string"))))
-                    .otherwise(F.lit(True)))
-            .drop("__qm_n"))
+    instead of multiplying rows in the join that follows.
+
+    The check is a scalar subquery (the smallest repeated key, or null),
+    computed once before the join. The mapping itself stays a plain scan
+    feeding the join's shuffle, so AQE can still split a skewed probe key;
+    an aggregate on the join key there would block that."""
+    k = F.col(key)
+    repeated = (mapping.filter(k.isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
+                       .filter(F.col("n") > 1).select(F.min(k).cast("string")).scalar())
+    guard = F.when(repeated.isNotNull(),
+                   F.raise_error(F.concat(F.lit(f"mapping key {key} repeats: "), repeated))
+                   ).otherwise(F.lit(True))
+    return mapping.filter(k.isNotNull() & guard)
 
 
 def map_lookup(df: DataFrame, mapping: Mapping[str, str] | DataFrame, key: str,

@@ -53,9 +53,10 @@ def write_append(df: DataFrame, path: str, fmt: str = "parquet", **options) -> N
 def layout_write(df: DataFrame, path: str, partition_by: Sequence[str], fmt: str = "parquet") -> None:
     """K4: write under ``key=value`` folders; only the partitions present in
     ``df`` are replaced (dynamic overwrite), so one target never wipes
-    another. Rows are clustered by the partition keys first so each task
-    writes few files."""
-    (df.repartition(*[F.col(c) for c in partition_by])
+    another. The ``rebalance`` hint clusters rows by the partition keys (few
+    files per folder) and lets AQE split a partition value that holds a
+    large share of the rows over several writers instead of one task."""
+    (df.hint("rebalance", *partition_by)
        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
        .partitionBy(*partition_by).format(fmt).save(path))
 

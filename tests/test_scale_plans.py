@@ -71,6 +71,33 @@ def test_nearest_ancestor_root_hot_key_is_split(spark):
         assert got == {"/", "/h3"}
 
 
+def test_map_lookup_hot_probe_key_is_split(spark):
+    with conf(spark, SKEW_CONF):
+        events = spark.range(30000).select("id", F.when(F.col("id") % 3 == 0, F.lit("view"))
+                                           .otherwise(F.concat(F.lit("t"), F.col("id").cast("string"))).alias("t"))
+        mapping = spark.range(30000).select(F.concat(F.lit("t"), F.col("id").cast("string")).alias("t"),
+                                            F.col("id").alias("code")) \
+            .unionByName(spark.createDataFrame([("view", -1)], "t string, code long"))
+        out = J.map_lookup(events, mapping, "t")
+        plan = final_plan(out)
+        assert "skew=true" in plan
+        assert out.filter(F.col("code") == -1).count() == 10000
+
+
+def test_layout_write_splits_a_hot_partition_value(spark, scratch):
+    from quartermaster.sinks.writers import layout_write
+    root = scratch("hot-layout")
+    # half of all rows have status 'F'
+    df = spark.range(200000).select("id", F.when(F.col("id") % 2 == 0, F.lit("F"))
+                                    .otherwise(F.concat(F.lit("s"), (F.col("id") % 50).cast("string"))).alias("status"))
+    with conf(spark, {"spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+                      "spark.sql.adaptive.coalescePartitions.enabled": "false"}):
+        layout_write(df, root, ["status"])
+    files = spark.read.parquet(root).filter(F.col("status") == "F").inputFiles()
+    assert len(files) > 1  # the hot value was written by several tasks
+    assert spark.read.parquet(root).count() == 200000
+
+
 def test_filters_and_columns_reach_the_scan(spark):
     df = E.queries()["f2_filter_exact"](spark, SF001)
     plan = final_plan(df)
