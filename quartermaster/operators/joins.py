@@ -2,8 +2,8 @@
 
 Scale rules used throughout:
 
-* The "present" / "parent" side of an anti, semi or outer lookup join is
-  reduced with ``probe_keys``: a distinct per (key, salt), where the salt is
+* The "present" / "parent" side of an anti or semi join is reduced with
+  ``probe_keys``: a distinct per (key, salt), where the salt is
   the map task's id modulo ``KEY_SALTS``. Its partial aggregate runs before
   any shuffle, so a key that holds a third of all rows leaves each map task
   as one row and reaches the join as at most ``KEY_SALTS`` rows. The
@@ -51,9 +51,9 @@ def distinct_keys(df: DataFrame, keys: Sequence[str], rename: Mapping[str, str]
 
 def probe_keys(df: DataFrame, keys: Sequence[str], rename: Mapping[str, str] | None = None) -> DataFrame:
     """Non-null key tuples with repeats collapsed to at most ``KEY_SALTS``
-    rows per key, for joins where repeats on this side do not change the
-    result (semi, anti, and outer joins followed by an idempotent
-    aggregate). The salt is the task id, so a retried task reproduces it."""
+    rows per key, for semi and anti joins, where repeats on this side
+    change neither the result nor the output size. The salt is the task
+    id, so a retried task reproduces it."""
     rename = rename or {}
     names = [rename.get(k, k) for k in keys]
     cols = [F.col(k).alias(n) for k, n in zip(keys, names)]
@@ -181,20 +181,23 @@ def nearest_ancestor(paths: DataFrame, anchors: DataFrame, id_col: str, path_col
     """For each path, the nearest ancestor (or the path itself) that is
     in ``anchors``; null ``anchor`` / ``levels_up`` when none is.
 
-    Ancestors are exploded and equi-joined to the distinct anchors (left
-    join, so paths without a hit survive), then the smallest ``levels_up``
-    wins per path. Only that integer is aggregated (a hash aggregate, run
-    partially in each task before the shuffle); the anchor text is rebuilt
-    from the path afterwards. A hot anchor such as the root is a skewed join
-    key: AQE broadcasts small anchor sets and splits skewed partitions
+    Ancestors are exploded (fan-out = path depth) and left-semi-joined to
+    the anchors, which keeps only hits and never multiplies rows. The hits
+    are unioned with every path at a null level and the smallest
+    ``levels_up`` wins per path (``min`` skips nulls, so a path without a
+    hit keeps null): one aggregate over an int, partial in each task before
+    its shuffle, with no outer join back. The anchor text is rebuilt from
+    the path. A hot anchor such as the root is a skewed key of the semi
+    join; AQE broadcasts small anchor sets and splits skewed partitions
     otherwise.
     """
     anc = ancestors(paths.select(id_col, path_col), path_col, sep)
-    hits = (probe_keys(anchors, [anchor_col], {anchor_col: "ancestor"})
-            .withColumn("__qm_hit", F.lit(True)))
-    nearest = (anc.join(hits, on="ancestor", how="left")
-                  .groupBy(id_col, path_col)
-                  .agg(F.min(F.when(F.col("__qm_hit"), F.col("levels_up"))).alias("levels_up")))
+    hits = (anc.join(probe_keys(anchors, [anchor_col], {anchor_col: "ancestor"}),
+                     on="ancestor", how="left_semi")
+               .select(id_col, path_col, "levels_up"))
+    every = paths.select(id_col, path_col, F.lit(None).cast("int").alias("levels_up"))
+    nearest = (hits.unionByName(every).groupBy(id_col, path_col)
+                   .agg(F.min("levels_up").alias("levels_up")))
     p = F.col(path_col)
     parts = F.filter(F.split(p, re.escape(sep), -1), lambda s: s != F.lit(""))
     anchor = F.concat(F.when(p.startswith(sep), F.lit(sep)).otherwise(F.lit("")),
