@@ -12,6 +12,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ..functions.columns import default_if_empty
 from ..operators.joins import missing_work
 
 
@@ -50,12 +51,19 @@ def write_append(df: DataFrame, path: str, fmt: str = "parquet", **options) -> N
     df.write.mode("append").format(fmt).options(**options).save(path)
 
 
-def layout_write(df: DataFrame, path: str, partition_by: Sequence[str], fmt: str = "parquet") -> None:
+def layout_write(df: DataFrame, path: str, partition_by: Sequence[str], fmt: str = "parquet",
+                 fill: dict[str, str] | None = None) -> None:
     """K4: write under ``key=value`` folders; only the partitions present in
     ``df`` are replaced (dynamic overwrite), so one target never wipes
     another. The ``rebalance`` hint clusters rows by the partition keys (few
     files per folder) and lets AQE split a partition value that holds a
-    large share of the rows over several writers instead of one task."""
+    large share of the rows over several writers instead of one task.
+
+    ``fill`` gives a folder value for rows where a level does not apply
+    (null or empty), e.g. ``{"arch": "any"}`` for targets without an arch
+    level, so the layout stays even."""
+    for col, value in (fill or {}).items():
+        df = df.withColumn(col, default_if_empty(F.col(col).cast("string"), value))
     (df.hint("rebalance", *partition_by)
        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
        .partitionBy(*partition_by).format(fmt).save(path))

@@ -111,3 +111,18 @@ def test_expand_matrix_counts(spark):
     dims = spark.createDataFrame([("classical",), ("mono",)], "flavour string")
     m2 = S.expand_matrix(base, {"flavour": dims}, exclusions=[{"platform": "web", "flavour": "mono"}])
     assert rows(m2) == [("web", "classical")]
+
+
+def test_expand_matrix_web_build_runs(spark):
+    # Web compile runs: flavour x target x dynamic link x threads, with mono
+    # switched off and the editor built only with threads and no dynamic link.
+    base = spark.createDataFrame([("web",)], "platform string")
+    runs = S.expand_matrix(
+        base,
+        {"flavour": ["classical", "mono"], "target": ["template_debug", "template_release", "editor"],
+         "dlink": ["no", "yes"], "threads": ["yes", "no"]},
+        exclusions=[{"flavour": "mono"}, {"target": "editor", "dlink": "yes"},
+                    {"target": "editor", "threads": "no"}])
+    by_flavour = {r.flavour: r["count"] for r in runs.groupBy("flavour").count().collect()}
+    assert by_flavour == {"classical": 9}
+    assert runs.filter("target = 'editor'").count() == 1

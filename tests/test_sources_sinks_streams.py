@@ -65,6 +65,17 @@ def test_layout_write_dynamic_keeps_other_targets_and_prunes(spark, scratch):
     assert "PartitionFilters: [isnotnull(platform" in plan
 
 
+def test_layout_uneven_levels_use_any(spark, scratch):
+    root = scratch("uneven")
+    df = spark.createDataFrame([("linux", "x86_64", "editor", "a.zip"), ("web", None, "template", "b.zip"),
+                                ("ios", "", "template", "c.zip")],
+                               "platform string, arch string, kind string, file string")
+    K.layout_write(df, root, ["platform", "arch", "kind"], fill={"arch": "any"})
+    got = {(r.platform, r.arch) for r in spark.read.parquet(root).collect()}
+    assert got == {("linux", "x86_64"), ("web", "any"), ("ios", "any")}
+    assert os.path.isdir(os.path.join(root.replace("file:", ""), "platform=web", "arch=any", "kind=template"))
+
+
 def test_write_if_absent_twice_and_half_written(spark, scratch):
     path = scratch("k1")
     df = spark.range(5)
