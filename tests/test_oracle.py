@@ -8,7 +8,7 @@ from collections import Counter
 import pytest
 
 import __spark_entry__ as E
-from conftest import SF01
+from conftest import SF001, SF01
 
 ORACLES = E.oracle_sql()
 QUERIES = E.queries()
@@ -68,3 +68,32 @@ def test_survey_probe_numbers(spark):
     assert QUERIES["j8_dependency_closure"](spark, SF01).count() == 19953
     assert QUERIES["h1_digest_sha256"](spark, SF01).select("digest").distinct().count() == 927
     assert QUERIES["a5_resolve_layers"](spark, SF01).count() == 750
+
+
+def test_sha512_manifest_against_hashlib(spark):
+    import hashlib
+
+    import pyarrow.parquet as pq
+    docs = pq.read_table(f"{SF001}/documents.parquet", columns=["doc_id", "text"]).to_pylist()
+    want = {str(d["doc_id"]): hashlib.sha512(d["text"].encode("utf-8")).hexdigest() for d in docs}
+    got = {r.name: r.digest for r in QUERIES["h1_digest_sha512"](spark, SF001).collect()}
+    assert got == want
+
+
+def test_file_inventory_against_os_walk(spark):
+    import os
+    want = {}
+    for folder, _, files in os.walk(SF001):
+        for f in files:
+            if f != "_SUCCESS" and not f.startswith((".", "_")):
+                want[f] = os.path.getsize(os.path.join(folder, f))
+    got = {r.name: r.length for r in QUERIES["s1_file_inventory"](spark, SF001).collect()}
+    assert got == want
+
+
+def test_glob_scan_against_fnmatch(spark):
+    import fnmatch
+    import os
+    want = sorted(f for f in os.listdir(SF001) if fnmatch.fnmatchcase(f, "[lo]*.parquet"))
+    got = sorted(r.name for r in QUERIES["s2_glob_scan"](spark, SF001).collect())
+    assert got == want == ["labels.parquet", "lineitem.parquet", "orders.parquet"]
