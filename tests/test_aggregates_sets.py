@@ -68,6 +68,7 @@ def test_collect_args_keeps_repeats_in_order(spark):
                                "key string, seq int, value string")
     got = [(r.position, r.value) for r in A.collect_args(df, "key", "seq", "value").orderBy("position").collect()]
     assert got == [(1, "ios"), (2, "linux"), (3, "linux")]
+    assert A.args_count(df, "key").first().n_args == 3
 
 
 def test_ordered_manifest_byte_order(spark):
