@@ -246,6 +246,25 @@ def _part_tree(spark, d):
                 .filter(F.col("node") != F.col("parent")))
 
 
+@query("j8_dependency_order", """
+with recursive e as (select p_partkey as node, p_partkey // 2 as parent from part
+                     where p_partkey <> p_partkey // 2),
+c(node, ancestor, depth) as (
+  select node, parent, 1 from e
+  union all
+  select c.node, e.parent, c.depth + 1 from c join e on c.ancestor = e.node)
+select p.p_partkey as node, count(distinct c.ancestor) as n_ancestors
+from part p left join c on c.node = p.p_partkey
+where p.p_partkey is not null
+group by p.p_partkey
+""")
+def j8_dependency_order(spark, d):
+    """Dependencies first: every part key with its number of ancestors."""
+    closure = CL.dependency_closure(_part_tree(spark, d))
+    nodes = table(spark, d, "part").select(F.col("p_partkey").alias("node"))
+    return CL.dependency_order(nodes, closure)
+
+
 @query("j8_dependency_closure_bucketed", ORACLES["j8_dependency_closure"])
 def j8_dependency_closure_bucketed(spark, d):
     # The large-input plan (state in bucketed tables), forced at any size.

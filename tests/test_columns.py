@@ -109,3 +109,11 @@ def test_map_lookup_literal_and_table(spark):
     assert got == [("linux", "Linux"), ("osx", "macOS"), ("nope", None)]
     inner = map_lookup(df, {"linux": "Linux"}, "t", how="inner").collect()
     assert [r.t for r in inner] == ["linux"]
+
+
+def test_replace_first_literal_pattern(spark):
+    df = spark.createDataFrame([("/opt/a.b/x /opt/a.b/y",), ("/opt/axb/x",), ("q\\Eq",)], "v string")
+    got = [r.o for r in df.select(C.replace_first("v", "/opt/a.b", "/new", literal=True).alias("o")).collect()]
+    assert got == ["/new/x /opt/a.b/y", "/opt/axb/x", "q\\Eq"]
+    odd = [r.o for r in df.select(C.replace_first("v", "\\E", "!", literal=True).alias("o")).collect()]
+    assert odd[2] == "q!q"
