@@ -491,6 +491,18 @@ def p5_compose_name(spark, d):
                        C.compose_name("game.{platform}.{target}{arch}", **parts).alias("name_joined"))
 
 
+@query("p5_p7_supplier_names", """
+select s_suppkey, 'supplier.' || cast(s_nationkey as varchar) || '.' || cast(s_suppkey as varchar) as name,
+       regexp_replace(s_name, '#', ' no. ') as label
+from supplier
+""")
+def p5_p7_supplier_names(spark, d):
+    supp = table(spark, d, "supplier")
+    name = C.compose_name("supplier.{nation}.{key}", nation=F.col("s_nationkey"), key=F.col("s_suppkey"))
+    return supp.select("s_suppkey", name.alias("name"),
+                       C.replace_first("s_name", "#", " no. ", literal=True).alias("label"))
+
+
 @query("p6_default_if_empty", """
 select p_partkey, coalesce(nullif(case when p_size > 45 then '' when p_size > 40 then null
                                        else p_brand end, ''), 'Brand#none') as brand
