@@ -15,6 +15,8 @@ from ..session import scratch_dir
 
 # ``auto`` keeps closure state in bucketed tables from this many edges on.
 BUCKETED_MIN_EDGES = 1_000_000
+# Up to this many (checked) edges, the checkpointed plan broadcasts them.
+BROADCAST_MAX_EDGES = 1_000_000
 # A frontier ancestor with at least this many rows in one round is "hot":
 # its rows are spread over HOT_SALTS partitions instead of one bucket.
 HOT_KEY_ROWS = 1_000_000
@@ -60,21 +62,27 @@ def dependency_closure(edges: DataFrame, node: str = "node", parent: str = "pare
     """
     e = (edges.select(F.col(node).alias("node"), F.col(parent).alias("parent"))
               .dropna().dropDuplicates())
-    n_edges = _edge_count(e) if strategy == "auto" or (strategy == "bucketed" and not buckets) else None
+    if strategy not in ("auto", "bucketed", "checkpoint"):
+        raise ValueError(f"unknown strategy {strategy!r}")
+    n_edges = None if strategy == "bucketed" and buckets else _edge_count(e)
     if strategy == "auto":
         strategy = "bucketed" if n_edges >= BUCKETED_MIN_EDGES else "checkpoint"
     if strategy == "bucketed":
         return _closure_bucketed(e, max_rounds, buckets or _bucket_count(e, n_edges), hot_key_rows)
-    if strategy == "checkpoint":
-        return _closure_checkpointed(e, max_rounds)
-    raise ValueError(f"unknown strategy {strategy!r}")
+    return _closure_checkpointed(e, max_rounds, broadcast_edges=n_edges <= BROADCAST_MAX_EDGES)
 
 
-def _closure_checkpointed(e: DataFrame, max_rounds: int) -> DataFrame:
+def _closure_checkpointed(e: DataFrame, max_rounds: int, broadcast_edges: bool) -> DataFrame:
     """Small inputs: each round's new pairs are a checkpointed DataFrame;
-    the anti join reads the union of all earlier rounds."""
+    the anti join reads the union of all earlier rounds. When the bounded
+    edge count is at most ``BROADCAST_MAX_EDGES`` the edges are broadcast,
+    so the frontier is joined in place: no shuffle of either side, and a hot
+    ancestor never lands in one task. (A checkpointed frame carries no size
+    statistics, so Spark would not broadcast it by itself.)"""
     e = e.checkpoint(eager=True)
     step = e.select(F.col("node").alias("ancestor"), F.col("parent").alias("next"))
+    if broadcast_edges:
+        step = F.broadcast(step)
     frontier = e.select("node", F.col("parent").alias("ancestor"),
                         F.lit(1).alias("depth")).checkpoint(eager=True)
     seen = [frontier]
@@ -169,10 +177,10 @@ MIN_EDGES_PER_BUCKET = 1_000
 
 
 def _edge_count(e: DataFrame) -> int:
-    """Distinct edges, counted only up to what the choices below can use
+    """Distinct edges, counted only up to what the choices here can use
     (``limit``), so probing a huge edge table stops at the cap."""
     most = int(e.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return e.limit(max(most * EDGES_PER_BUCKET, BUCKETED_MIN_EDGES)).count()
+    return e.limit(max(most * EDGES_PER_BUCKET, BUCKETED_MIN_EDGES, BROADCAST_MAX_EDGES + 1)).count()
 
 
 def _bucket_count(e: DataFrame, n_edges: int) -> int:
