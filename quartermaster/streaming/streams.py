@@ -11,11 +11,10 @@ from __future__ import annotations
 import os
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
-from ..sinks.writers import publish_new
+from ..sinks.writers import Sink, fan_out, publish_new
 
 
 def table_stream(spark: SparkSession, folder: str, file_glob: str = "*.parquet",
@@ -47,13 +46,8 @@ def stream_fan_out(stream: DataFrame, sink_roots: Sequence[str], checkpoint: str
     At-least-once per sink; because each batch overwrites
     ``<sink>/batch_id=<N>``, a replayed batch leaves no duplicates."""
     def write_batch(batch: DataFrame, batch_id: int) -> None:
-        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
-        try:
-            for root in sink_roots:
-                batch.write.mode("overwrite").format(fmt).save(
-                    os.path.join(root, f"batch_id={batch_id}"))
-        finally:
-            batch.unpersist()
+        fan_out(batch, [Sink(os.path.join(root, f"batch_id={batch_id}"), fmt=fmt, mode="overwrite")
+                        for root in sink_roots])
 
     return _start(stream, write_batch, checkpoint, available_now, processing_time)
 
