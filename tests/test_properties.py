@@ -152,3 +152,80 @@ def test_ordinal_matches_sorted_enumeration(spark, rows):
         for pos, s in enumerate(sorted(s for kk, s in rows if kk == k), start=1):
             want[(k, s)] = pos
     assert got == want
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.sampled_from(["k1", "k2"]), st.integers(0, 1), st.integers(0, 5),
+                          st.one_of(st.none(), st.sampled_from(["", "x", "y"]))),
+                min_size=1, max_size=15, unique_by=lambda t: (t[0], t[1], t[2])))
+def test_resolve_layers_matches_last_wins(spark, settings_rows):
+    df = spark.createDataFrame(settings_rows, "key string, layer int, seq int, value string")
+    got = {r.key: r.value for r in A.resolve_layers(df, "key", "layer", "seq", "value").collect()}
+    want = {}
+    for key in {r[0] for r in settings_rows}:
+        want[key] = max((r for r in settings_rows if r[0] == key), key=lambda r: (r[1], r[2]))[3]
+    assert got == want
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.integers(0, 4), st.sampled_from(["a", "b", "all", "c"])), min_size=1, max_size=15),
+       st.lists(st.sampled_from(["a", "b", "c", "d", "all"]), min_size=1, max_size=6))
+def test_expand_all_matches_sets(spark, selection, domain):
+    from quartermaster.operators import sets as S
+    sel = spark.createDataFrame(selection, "req int, t string")
+    dom = spark.createDataFrame([(d,) for d in domain], "name string")
+    got = {(r.req, r.t) for r in S.expand_all(sel, "t", dom, "name", keys=["req"]).collect()}
+    full = set(domain) - {"all"}
+    want = set()
+    for req, t in selection:
+        want |= {(req, v) for v in full} if t == "all" else {(req, t)}
+    assert got == want
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.integers(0, 6), st.sampled_from(["x", "y"])), max_size=10, unique_by=lambda t: t[0]),
+       st.lists(st.tuples(st.integers(0, 6), st.sampled_from(["p", "q"])), max_size=10, unique_by=lambda t: t[0]))
+def test_union_sets_second_wins(spark, a_rows, b_rows):
+    from quartermaster.operators import sets as S
+    a = spark.createDataFrame(a_rows or [(99, "x")], "k int, v string")
+    b = spark.createDataFrame(b_rows or [(98, "p")], "k int, v string")
+    got = {r.k: r.v for r in S.union_sets(a, b, "k").collect()}
+    want = dict(a_rows or [(99, "x")])
+    want.update(dict(b_rows or [(98, "p")]))
+    assert got == want
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.integers(0, 3), st.sampled_from(["view", "purchase", "click"]), st.integers(0, 50)),
+                min_size=1, max_size=25))
+def test_pair_merge_matches_groups(spark, events):
+    df = spark.createDataFrame(events, "user int, kind string, eid int")
+    got = {r.user: (r.n_view, r.n_purchase, r.first_view, r.first_purchase)
+           for r in J.pair_merge(df, "user", "kind", "view", "purchase", "eid").collect()}
+    want = {}
+    for u in {e[0] for e in events}:
+        v = [e[2] for e in events if e[0] == u and e[1] == "view"]
+        p = [e[2] for e in events if e[0] == u and e[1] == "purchase"]
+        if v and p:
+            want[u] = (len(v), len(p), min(v), min(p))
+    assert got == want
+
+
+@SETTINGS
+@given(st.lists(st.lists(st.integers(0, 12), max_size=8), min_size=1, max_size=4))
+def test_publish_new_keeps_every_key_once(spark, batches):
+    from quartermaster.session import scratch_dir
+    from quartermaster.sinks.writers import publish_new
+    target = scratch_dir(spark, "prop-k7")
+    for i, keys in enumerate(batches):
+        if keys:
+            publish_new(spark.createDataFrame([(k, i) for k in keys], "k int, batch int"), target, "k")
+    got = [r.k for r in spark.read.parquet(target).collect()] if any(batches) else []
+    assert sorted(got) == sorted({k for keys in batches for k in keys})
+    # the first batch that had a key is the one that published it
+    if any(batches):
+        first = {}
+        for i, keys in enumerate(batches):
+            for k in keys:
+                first.setdefault(k, i)
+        assert {r.k: r.batch for r in spark.read.parquet(target).collect()} == first
