@@ -129,8 +129,11 @@ def publish_new(df: DataFrame, target: str, keys: str | Sequence[str], fmt: str
     ks = [keys] if isinstance(keys, str) else list(keys)
     fresh = df.dropDuplicates(ks)
     spark = df.sparkSession
-    if path_exists(spark, target):
+    try:  # one listing: a missing (or still empty) target has no keys yet
         existing = spark.read.format(fmt).load(target)
+    except AnalysisException:
+        existing = None
+    if existing is not None:
         if exclude_from_target:
             existing = existing.filter(f"NOT ({exclude_from_target})")
         fresh = missing_work(fresh, existing, ks)
