@@ -156,3 +156,19 @@ def test_stream_publish_new_overlapping_batches_and_retry(spark, scratch):
     K.publish_new(own, target, "id", exclude_from_target=f"batch_id = {last}", mode="overwrite",
                   path=os.path.join(target, f"batch_id={last}"))
     assert rows(spark.read.parquet(target).select("id")) == rows(spark.range(30))
+
+
+def test_release_manifest_over_files(spark, scratch):
+    import hashlib
+
+    from quartermaster.functions.columns import digest_manifest
+    from quartermaster.operators.sets import ordered_manifest
+    root = _tree(RELEASE)
+    files = SRC.glob_scan(spark, root, "[Gg]*", content=True)
+    manifest = ordered_manifest(digest_manifest(files, "name", "content", 512), "name")
+    out = scratch("manifest")
+    K.write_replace(manifest.select(F.concat_ws("  ", "digest", "name").alias("line")), out, fmt="text")
+    lines = sorted(r.value for r in spark.read.text(out).collect())
+    names = sorted(["Game_a.zip", "game-lib.aar"])
+    assert lines == sorted(f"{hashlib.sha512(RELEASE[n]).hexdigest()}  {n}" for n in names)
+    assert [r.name for r in manifest.collect()] == names  # byte order
