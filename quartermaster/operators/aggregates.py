@@ -1,6 +1,6 @@
 """Aggregations A1-A5 and exact ordinals.
 
-All aggregates here are distributive (count, sum, min, max, max_by), so Spark
+All aggregates here are distributive (count, sum, max, max_by), so Spark
 runs them partially in every task before the shuffle: a group holding a
 third of all rows is one partial row per map task. Nothing collects a group
 into one row; ordered lists are kept as long tables with exact positions.
@@ -62,15 +62,15 @@ def ordinal(df: DataFrame, order_by: Sequence[str], partition_by: Sequence[str]
 
 # ---------------------------------------------------------------- A2
 
-def bundle_summary(df: DataFrame, bundle: str, member: str, size: str | Column) -> DataFrame:
-    """A2: one row per bundle: member count, total bytes, first and last
-    member in byte order. Member lists are ``bundle_members``."""
+def bundle_summary(df: DataFrame, bundle: str, size: str | Column) -> DataFrame:
+    """A2: one row per bundle: member count and total bytes. Only
+    fixed-width counters, so it is a hash aggregate, partial in every task
+    before the shuffle. The members themselves, in order, are
+    ``bundle_members``."""
     sz = F.col(size) if isinstance(size, str) else size
     return (df.groupBy(bundle)
               .agg(F.count(F.lit(1)).alias("n_members"),
-                   F.sum(sz.cast("long")).alias("total_bytes"),
-                   F.min(F.col(member).cast("string")).alias("first_member"),
-                   F.max(F.col(member).cast("string")).alias("last_member")))
+                   F.sum(sz.cast("long")).alias("total_bytes")))
 
 
 def bundle_members(df: DataFrame, bundle: str, member: str) -> DataFrame:
@@ -123,4 +123,4 @@ def resolve_layers(df: DataFrame, key: str | Sequence[str], layer: str, seq: str
     order = F.struct(F.col(layer), F.col(seq))
     return (df.groupBy(*_cols(key))
               .agg(F.max_by(F.col(value), order).alias(out),
-                   F.max(order).getField(layer).alias("winning_layer")))
+                   F.max(layer).alias("winning_layer")))

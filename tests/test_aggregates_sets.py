@@ -36,7 +36,7 @@ def test_distinct_selection(spark):
 
 def test_bundle_summary_counts_sum_to_input(spark):
     docs = table(spark, SF01, "documents")
-    summ = A.bundle_summary(docs, "source", "doc_id", "n_chars")
+    summ = A.bundle_summary(docs, "source", "n_chars")
     assert summ.agg(F.sum("n_members")).first()[0] == docs.count()
     mem = A.bundle_members(docs, "source", "doc_id")
     per = {r.source: r.c for r in mem.groupBy("source").agg(F.max("position").alias("c")).collect()}
