@@ -85,15 +85,16 @@ def unique_mapping(mapping: DataFrame, key: str) -> DataFrame:
     """The mapping with an in-plan guard: a repeated key fails the job
     instead of multiplying rows in the join that follows.
 
-    The check is a scalar subquery (the smallest repeated key, or null),
-    computed once before the join. The mapping itself stays a plain scan
-    feeding the join's shuffle, so AQE can still split a skewed probe key;
-    an aggregate on the join key there would block that."""
+    The check is a scalar subquery (how many keys repeat; hash aggregates
+    only), computed once before the join. The mapping itself stays a plain
+    scan feeding the join's shuffle, so AQE can still split a skewed probe
+    key; an aggregate on the join key there would block that."""
     k = F.col(key)
     repeated = (mapping.filter(k.isNotNull()).groupBy(key).agg(F.count(F.lit(1)).alias("n"))
-                       .filter(F.col("n") > 1).select(F.min(k).cast("string")).scalar())
-    guard = F.when(repeated.isNotNull(),
-                   F.raise_error(F.concat(F.lit(f"mapping key {key} repeats: "), repeated))
+                       .agg(F.count_if(F.col("n") > 1)).scalar())
+    guard = F.when(repeated > 0,
+                   F.raise_error(F.concat(F.lit(f"mapping key {key} is not unique: "),
+                                          repeated.cast("string"), F.lit(" keys repeat")))
                    ).otherwise(F.lit(True))
     return mapping.filter(k.isNotNull() & guard)
 
