@@ -112,29 +112,53 @@ def fan_out(df: DataFrame, sinks: Sequence[Sink]) -> None:
         df.unpersist()
 
 
+# A publish batch with at most this many distinct keys (checked by a bounded
+# count) has its keys broadcast, so the target is scanned without a shuffle.
+BROADCAST_BATCH_KEYS = 1_000_000
+
+
 def publish_new(df: DataFrame, target: str, keys: str | Sequence[str], fmt: str = "parquet",
                 exclude_from_target: str | None = None, mode: str = "append",
                 path: str | None = None) -> None:
     """K7: append only rows whose key is not at the target yet.
 
     The batch is de-duplicated on the key first (an anti join alone would
-    let two copies of a new key in), then anti-joined against the target's
-    distinct keys. The existing row wins; nothing is updated. Plain files
-    have no lock: one writer per target.
+    let two copies of a new key in). The existing row wins; nothing is
+    updated. Plain files have no lock: one writer per target.
+
+    Finding the keys already published: a left anti join can only
+    broadcast its right side, which here is the ever-growing target, so a
+    small batch would shuffle every target key. Instead, when a bounded
+    count shows at most ``BROADCAST_BATCH_KEYS`` batch keys, those keys are
+    broadcast and the target is semi-joined against them in place (no
+    shuffle of the target); the anti join then runs against that handful.
+    Larger batches use the shuffled anti join (``missing_work``).
 
     ``exclude_from_target`` (a SQL predicate on the target, e.g. its own
     ``batch_id``) leaves out rows a retried stream batch wrote before it
     failed; ``path`` / ``mode`` let such a batch overwrite its own folder.
     """
     ks = [keys] if isinstance(keys, str) else list(keys)
-    fresh = df.dropDuplicates(ks)
     spark = df.sparkSession
     try:  # one listing: a missing (or still empty) target has no keys yet
         existing = spark.read.format(fmt).load(target)
     except AnalysisException:
         existing = None
-    if existing is not None:
-        if exclude_from_target:
-            existing = existing.filter(f"NOT ({exclude_from_target})")
-        fresh = missing_work(fresh, existing, ks)
-    fresh.write.mode(mode).format(fmt).save(path or target)
+    fresh = df.dropDuplicates(ks)
+    if existing is None:
+        fresh.write.mode(mode).format(fmt).save(path or target)
+        return
+    if exclude_from_target:
+        existing = existing.filter(f"NOT ({exclude_from_target})")
+    fresh = fresh.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        small = fresh.limit(BROADCAST_BATCH_KEYS + 1).count() <= BROADCAST_BATCH_KEYS
+        if small:
+            batch_keys = F.broadcast(fresh.select(*ks).dropna())
+            published = existing.select(*ks).join(batch_keys, on=ks, how="left_semi")
+            out = fresh.join(published, on=ks, how="left_anti")
+        else:
+            out = missing_work(fresh, existing, ks)
+        out.write.mode(mode).format(fmt).save(path or target)
+    finally:
+        fresh.unpersist()

@@ -172,3 +172,26 @@ def test_release_manifest_over_files(spark, scratch):
     names = sorted(["Game_a.zip", "game-lib.aar"])
     assert lines == sorted(f"{hashlib.sha512(RELEASE[n]).hexdigest()}  {n}" for n in names)
     assert [r.name for r in manifest.collect()] == names  # byte order
+
+
+def test_publish_new_large_batch_path(spark, scratch, monkeypatch):
+    monkeypatch.setattr(K, "BROADCAST_BATCH_KEYS", 1)  # every batch counts as large
+    target = scratch("k7-large")
+    K.publish_new(spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string"), target, "k")
+    K.publish_new(spark.createDataFrame([(2, "x"), (3, "c"), (3, "c")], "k int, v string"), target, "k")
+    assert rows(spark.read.parquet(target)) == [(1, "a"), (2, "b"), (3, "c")]
+
+
+def test_publish_new_small_batch_does_not_shuffle_target(spark, scratch):
+    target = scratch("k7-plan")
+    spark.range(0, 5000).select(F.col("id").alias("k")).write.parquet(target)
+    batch = spark.range(4990, 5010).select(F.col("id").alias("k"))
+    keys = F.broadcast(batch.select("k"))
+    published = spark.read.parquet(target).select("k").join(keys, on="k", how="left_semi")
+    published.collect()
+    plan = published._jdf.queryExecution().executedPlan().toString()
+    scan_side = plan.split("BroadcastHashJoin")[1]
+    assert "LeftSemi, BuildRight" in scan_side
+    assert "Exchange hashpartitioning" not in plan
+    K.publish_new(batch, target, "k")
+    assert spark.read.parquet(target).count() == 5010
