@@ -65,6 +65,7 @@ def test_survey_probe_numbers(spark):
     assert QUERIES["j1_missing_work"](spark, SF01).count() == 257
     done = QUERIES["j7_completeness"](spark, SF01)
     assert done.count() == 1500
+    assert done.filter("complete").count() == 1332
     assert QUERIES["j8_dependency_closure"](spark, SF01).count() == 19953
     assert QUERIES["h1_digest_sha256"](spark, SF01).select("digest").distinct().count() == 927
     assert QUERIES["a5_resolve_layers"](spark, SF01).count() == 750
