@@ -53,8 +53,9 @@ def dependency_closure(edges: DataFrame, node: str = "node", parent: str = "pare
     ``strategy``: ``bucketed`` (state in bucketed tables, so neither the
     edges nor the pairs found so far are shuffled again after they are
     written; hot ancestors are salted), ``checkpoint`` (checkpointed
-    DataFrames: every round re-shuffles the edges and all earlier pairs,
-    AQE splits skewed keys; lowest fixed cost per round), or ``auto``
+    DataFrames: edges broadcast under a counted bound, every round
+    re-shuffles all earlier pairs for the anti join, AQE splits skewed
+    keys; lowest fixed cost per round), or ``auto``
     (default): a bounded count of the distinct edges picks ``bucketed`` at
     ``BUCKETED_MIN_EDGES`` and above. Measured warm at sf0.1 (20,000 edges,
     15 rounds): 5.2 s checkpointed, 7.2 s bucketed, the difference being
