@@ -72,6 +72,6 @@ from .sources.files import (  # S1-S5
     line_scan,
     split_lines,
 )
-from .streaming.streams import stream_fan_out, stream_publish_new, table_stream  # T1, T2
+from .streaming.streams import line_stream, stream_fan_out, stream_publish_new, table_stream  # T1, T2
 
 __all__ = [name for name in dir() if not name.startswith("_")]

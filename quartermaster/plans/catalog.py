@@ -760,6 +760,23 @@ def t1_stream_fan_out(spark, d):
             .unionByName(spark.read.parquet(f"{root}/b").select(F.lit("b").alias("sink"), *_EVENT_COLS)))
 
 
+@query("t1_stream_lines", """
+select s.sink, l.line
+from (select unnest(string_split(text, chr(10))) as line from documents) l, (values ('a'), ('b')) s(sink)
+""")
+def t1_stream_lines(spark, d):
+    # The document texts written as text files play a growing log; its
+    # lines are streamed to two sinks and read back.
+    root = scratch_dir(spark, "t1-lines")
+    K.write_replace(table(spark, d, "documents").select("text"), f"{root}/log", fmt="text")
+    stream = T.line_stream(spark, f"{root}/log", "*.txt")
+    q = T.stream_fan_out(stream, [f"{root}/a", f"{root}/b"], f"{root}/_checkpoint", fmt="text")
+    q.awaitTermination()
+    return (spark.read.text(f"{root}/a").select(F.lit("a").alias("sink"), F.col("value").alias("line"))
+            .unionByName(spark.read.text(f"{root}/b").select(F.lit("b").alias("sink"),
+                                                             F.col("value").alias("line"))))
+
+
 @query("t2_stream_publish_new", "select event_id, user_id, event_type, value from events")
 def t2_stream_publish_new(spark, d):
     root = scratch_dir(spark, "t2")

@@ -28,6 +28,16 @@ def table_stream(spark: SparkSession, folder: str, file_glob: str = "*.parquet",
     return reader.parquet(folder)
 
 
+def line_stream(spark: SparkSession, folder: str, file_glob: str = "*",
+                max_files_per_trigger: int | None = None) -> DataFrame:
+    """A stream of text lines (one ``value`` row per line) from the files
+    of ``folder``, such as a build log growing file by file."""
+    reader = spark.readStream.format("text").option("pathGlobFilter", file_glob)
+    if max_files_per_trigger:
+        reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
+    return reader.load(folder)
+
+
 def _start(stream: DataFrame, fn, checkpoint: str, available_now: bool,
            processing_time: str | None) -> StreamingQuery:
     w = stream.writeStream.foreachBatch(fn).option("checkpointLocation", checkpoint)
