@@ -442,6 +442,17 @@ def s3_split_lines(spark, d):
                       C.field("url", "/", -1).alias("last_segment"))
 
 
+@query("s3_line_scan", """
+select split_part(url, '/', 1) as scheme, split_part(url, '/', 3) as host,
+       split_part(url, '/', 4) as first_segment from pages
+""")
+def s3_line_scan(spark, d):
+    # The page URLs written as a line listing, then read line by line.
+    root = scratch_dir(spark, "s3-listing")
+    K.write_replace(table(spark, d, "pages").select("url"), root, fmt="text")
+    return SRC.line_scan(spark, root, "/", ["scheme", "_empty", "host", "first_segment"]).drop("_empty")
+
+
 def _package_paths(spark, d):
     part = table(spark, d, "part")
     path = F.concat(F.lit("/pkgs/"), F.regexp_replace("p_brand", "#", ""), F.lit("."),
