@@ -12,6 +12,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 
 def _cols(x: str | Sequence[str]) -> list[str]:
@@ -115,12 +116,36 @@ def args_count(df: DataFrame, key: str | Sequence[str]) -> DataFrame:
 
 # ---------------------------------------------------------------- A5
 
+_FIXED_WIDTH = (T.BooleanType, T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
+                T.DoubleType, T.DateType, T.TimestampType, T.TimestampNTZType)
+
+
+def _fixed_width(dt: T.DataType) -> bool:
+    return isinstance(dt, _FIXED_WIDTH) or (isinstance(dt, T.DecimalType) and dt.precision <= 18)
+
+
 def resolve_layers(df: DataFrame, key: str | Sequence[str], layer: str, seq: str,
                    value: str, out: str = "value") -> DataFrame:
     """A5: per key, the value of the highest (layer, seq): a flag beats the
     file default and the last repeat wins. An empty or null winning value
-    still wins (it is not skipped)."""
+    still wins (it is not skipped).
+
+    Fixed-width values (numbers, booleans, dates, timestamps) and a
+    fixed-width ``seq`` take two hash aggregates: the last value per (key,
+    layer), partial in every task, then the highest layer per key over that
+    small table. Other values (strings) need ``max_by`` over a struct
+    ordering, which Spark runs as a sort-based aggregate (still partial
+    before the shuffle)."""
+    ks = _cols(key)
+    fields = df.schema
+    if _fixed_width(fields[value].dataType) and _fixed_width(fields[seq].dataType) \
+            and _fixed_width(fields[layer].dataType):
+        per_layer = (df.groupBy(*ks, layer)
+                       .agg(F.max_by(F.col(value), F.col(seq)).alias("__qm_v")))
+        return (per_layer.groupBy(*ks)
+                         .agg(F.max_by(F.col("__qm_v"), F.col(layer)).alias(out),
+                              F.max(layer).alias("winning_layer")))
     order = F.struct(F.col(layer), F.col(seq))
-    return (df.groupBy(*_cols(key))
+    return (df.groupBy(*ks)
               .agg(F.max_by(F.col(value), order).alias(out),
                    F.max(layer).alias("winning_layer")))

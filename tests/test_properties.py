@@ -229,3 +229,17 @@ def test_publish_new_keeps_every_key_once(spark, batches):
             for k in keys:
                 first.setdefault(k, i)
         assert {r.k: r.batch for r in spark.read.parquet(target).collect()} == first
+
+
+@SETTINGS
+@given(st.lists(st.tuples(st.sampled_from(["k1", "k2", "k3"]), st.integers(0, 2), st.integers(0, 5),
+                          st.one_of(st.none(), st.floats(-5, 5, allow_nan=False))),
+                min_size=1, max_size=20, unique_by=lambda t: (t[0], t[1], t[2])))
+def test_resolve_layers_fixed_width_matches_last_wins(spark, settings_rows):
+    df = spark.createDataFrame(settings_rows, "key string, layer int, seq long, value double")
+    got = {r.key: (r.value, r.winning_layer) for r in A.resolve_layers(df, "key", "layer", "seq", "value").collect()}
+    want = {}
+    for key in {r[0] for r in settings_rows}:
+        best = max((r for r in settings_rows if r[0] == key), key=lambda r: (r[1], r[2]))
+        want[key] = (best[3], best[1])
+    assert got == want
