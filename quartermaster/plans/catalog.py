@@ -757,6 +757,18 @@ def k7_publish_new(spark, d):
     return spark.read.parquet(target).select(*_EVENT_COLS)
 
 
+@query("k7_publish_new_bucketed", "select event_id, user_id, event_type, value from events")
+def k7_publish_new_bucketed(spark, d):
+    # Same publishes into a target partitioned by key bucket, so small
+    # batches read only the buckets they touch.
+    target = scratch_dir(spark, "k7b")
+    ev = table(spark, d, "events").select(*_EVENT_COLS, "ts")
+    first, second = _overlapping_parts(ev)
+    for part in (first, second, second):
+        K.publish_new(part.drop("ts"), target, "event_id", key_buckets=16)
+    return spark.read.parquet(target).select(*_EVENT_COLS)
+
+
 # ================================================================ streams
 
 @query("t1_stream_fan_out", """

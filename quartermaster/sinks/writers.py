@@ -115,11 +115,13 @@ def fan_out(df: DataFrame, sinks: Sequence[Sink]) -> None:
 # A publish batch with at most this many distinct keys (checked by a bounded
 # count) has its keys broadcast, so the target is scanned without a shuffle.
 BROADCAST_BATCH_KEYS = 1_000_000
+# Partition column of a target written with ``key_buckets``.
+KEY_BUCKET = "key_bucket"
 
 
 def publish_new(df: DataFrame, target: str, keys: str | Sequence[str], fmt: str = "parquet",
                 exclude_from_target: str | None = None, mode: str = "append",
-                path: str | None = None) -> None:
+                path: str | None = None, key_buckets: int | None = None) -> None:
     """K7: append only rows whose key is not at the target yet.
 
     The batch is de-duplicated on the key first (an anti join alone would
@@ -134,6 +136,12 @@ def publish_new(df: DataFrame, target: str, keys: str | Sequence[str], fmt: str
     shuffle of the target); the anti join then runs against that handful.
     Larger batches use the shuffled anti join (``missing_work``).
 
+    ``key_buckets``: partition the target by ``pmod(xxhash64(keys), n)``.
+    A small batch then reads only the target partitions of the buckets it
+    touches (at most ``n`` bucket ids, listed first), so an incremental
+    publish reads a fraction of the target instead of all of it. Use the
+    same value for every publish to one target.
+
     ``exclude_from_target`` (a SQL predicate on the target, e.g. its own
     ``batch_id``) leaves out rows a retried stream batch wrote before it
     failed; ``path`` / ``mode`` let such a batch overwrite its own folder.
@@ -145,8 +153,18 @@ def publish_new(df: DataFrame, target: str, keys: str | Sequence[str], fmt: str
     except AnalysisException:
         existing = None
     fresh = df.dropDuplicates(ks)
+    if key_buckets:
+        fresh = fresh.withColumn(KEY_BUCKET, F.pmod(F.xxhash64(*ks), F.lit(key_buckets)).cast("int"))
+
+    def write(out: DataFrame) -> None:
+        if key_buckets:  # about one file per bucket; buckets of distinct keys are even
+            out.hint("rebalance", KEY_BUCKET).write.mode(mode).format(fmt) \
+               .partitionBy(KEY_BUCKET).save(path or target)
+        else:
+            out.write.mode(mode).format(fmt).save(path or target)
+
     if existing is None:
-        fresh.write.mode(mode).format(fmt).save(path or target)
+        write(fresh)
         return
     if exclude_from_target:
         existing = existing.filter(f"NOT ({exclude_from_target})")
@@ -154,11 +172,14 @@ def publish_new(df: DataFrame, target: str, keys: str | Sequence[str], fmt: str
     try:
         small = fresh.limit(BROADCAST_BATCH_KEYS + 1).count() <= BROADCAST_BATCH_KEYS
         if small:
+            if key_buckets:
+                touched = [r[0] for r in fresh.select(KEY_BUCKET).distinct().collect()]
+                existing = existing.filter(F.col(KEY_BUCKET).isin(touched))
             batch_keys = F.broadcast(fresh.select(*ks).dropna())
             published = existing.select(*ks).join(batch_keys, on=ks, how="left_semi")
             out = fresh.join(published, on=ks, how="left_anti")
         else:
             out = missing_work(fresh, existing, ks)
-        out.write.mode(mode).format(fmt).save(path or target)
+        write(out)
     finally:
         fresh.unpersist()

@@ -64,13 +64,15 @@ def stream_fan_out(stream: DataFrame, sink_roots: Sequence[str], checkpoint: str
 
 def stream_publish_new(stream: DataFrame, target: str, keys: str | Sequence[str], checkpoint: str,
                        fmt: str = "parquet", available_now: bool = True,
-                       processing_time: str | None = None) -> StreamingQuery:
+                       processing_time: str | None = None,
+                       key_buckets: int | None = None) -> StreamingQuery:
     """``publish_new`` per micro-batch. The anti join reads the target
     without the batch's own folder, so a retry does not drop its own rows;
     no state store is needed because the target is the state."""
     def publish_batch(batch: DataFrame, batch_id: int) -> None:
         publish_new(batch, target, keys, fmt=fmt,
                     exclude_from_target=f"batch_id = {int(batch_id)}",
-                    mode="overwrite", path=os.path.join(target, f"batch_id={batch_id}"))
+                    mode="overwrite", path=os.path.join(target, f"batch_id={batch_id}"),
+                    key_buckets=key_buckets)
 
     return _start(stream, publish_batch, checkpoint, available_now, processing_time)

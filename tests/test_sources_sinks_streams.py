@@ -195,3 +195,34 @@ def test_publish_new_small_batch_does_not_shuffle_target(spark, scratch):
     assert "Exchange hashpartitioning" not in plan
     K.publish_new(batch, target, "k")
     assert spark.read.parquet(target).count() == 5010
+
+
+def test_publish_new_key_buckets_prunes_target(spark, scratch):
+    target = scratch("k7-buckets")
+    K.publish_new(spark.range(0, 4000).select(F.col("id").alias("k")), target, "k", key_buckets=32)
+    assert os.path.isdir(os.path.join(target.replace("file:", ""), "key_bucket=0"))
+    small = spark.createDataFrame([(3999,), (4000,), (4001,)], "k long")
+    K.publish_new(small, target, "k", key_buckets=32)
+    K.publish_new(small, target, "k", key_buckets=32)  # a rerun adds nothing
+    back = spark.read.parquet(target)
+    assert back.count() == 4002 and back.select("k").distinct().count() == 4002
+    # the buckets a small batch touches are a fraction of the target's files
+    touched = [r[0] for r in small.select(F.pmod(F.xxhash64("k"), F.lit(32)).cast("int")).distinct().collect()]
+    read = back.filter(F.col("key_bucket").isin(touched))
+    read_files = read.select(F.input_file_name()).distinct().count()
+    all_files = back.select(F.input_file_name()).distinct().count()
+    assert 0 < read_files < all_files
+    plan = read._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [key_bucket" in plan
+
+
+def test_stream_publish_new_with_key_buckets(spark, scratch):
+    root = scratch("t2-buckets")
+    inc = f"{root}/in"
+    spark.range(0, 20).write.mode("append").parquet(inc)
+    spark.range(10, 30).write.mode("append").parquet(inc)
+    target = f"{root}/target"
+    q = T.stream_publish_new(T.table_stream(spark, inc, max_files_per_trigger=1), target, "id",
+                             f"{root}/ck", key_buckets=8)
+    q.awaitTermination()
+    assert rows(spark.read.parquet(target).select("id")) == rows(spark.range(30))
