@@ -61,16 +61,34 @@ def probe_keys(df: DataFrame, keys: Sequence[str], rename: Mapping[str, str] | N
     return salted.dropDuplicates([*names, "__qm_salt"]).drop("__qm_salt")
 
 
+# ``required_small``: at most this many required rows (checked by a bounded
+# count) are broadcast so the present side is never shuffled.
+SMALL_REQUIRED_ROWS = 1_000_000
+
+
 def missing_work(required: DataFrame, present: DataFrame, keys: str | Sequence[str],
-                 present_keys: str | Sequence[str] | None = None) -> DataFrame:
+                 present_keys: str | Sequence[str] | None = None,
+                 required_small: bool = False) -> DataFrame:
     """Required rows with no matching present row (left anti join).
 
     A required row with a null key never matches, so it is always missing.
+
+    ``required_small=True`` is for a short wanted list checked against a
+    huge listing. A left anti join can only broadcast the present side, so
+    by default the listing is shuffled. With this flag, if a bounded count
+    shows at most ``SMALL_REQUIRED_ROWS`` required rows, their keys are
+    broadcast and the listing is semi-joined against them in place (no
+    shuffle of the listing); the anti join then runs against those few
+    hits. Otherwise the default plan is used.
     """
     ks = _keys(keys)
     pks = _keys(present_keys) if present_keys is not None else ks
-    right = probe_keys(present, pks, dict(zip(pks, ks)))
-    return required.join(right, on=ks, how="left_anti")
+    renamed = present.select(*[F.col(p).alias(k) for p, k in zip(pks, ks)])
+    if required_small and required.limit(SMALL_REQUIRED_ROWS + 1).count() <= SMALL_REQUIRED_ROWS:
+        wanted = F.broadcast(required.select(*ks).dropna().dropDuplicates())
+        hits = renamed.join(wanted, on=ks, how="left_semi")
+        return required.join(probe_keys(hits, ks), on=ks, how="left_anti")
+    return required.join(probe_keys(renamed, ks), on=ks, how="left_anti")
 
 
 def semi_join(df: DataFrame, other: DataFrame, keys: str | Sequence[str],
