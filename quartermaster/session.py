@@ -32,6 +32,9 @@ BASE_CONF = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.localShuffleReader.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Delete reliable checkpoint files (closure rounds, ordinal ranges) once
+    # nothing refers to them any more, so the shared folder does not grow.
+    "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
 }
 
 
