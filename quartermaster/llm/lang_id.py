@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import pack
+from .common import Scratch, pack
 
 UNKNOWN = "und"
 MAX_DOCS = 10_000
@@ -71,7 +71,8 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def train(docs: DataFrame, text: str = "text", lang: str = "lang", max_docs: int = MAX_DOCS,
           max_langs: int = MAX_LANGS, max_entries: int = MAX_ENTRIES) -> dict:
-    """The model: languages and, per n (0: words), token -> log probabilities.
+    """The model: languages, per n (0: words) the row of each token, and the
+    log probabilities of each row.
 
     ``docs`` holds the rows that may be learned from. ``max_docs`` bounds the
     sample per language, ``max_langs`` and ``max_entries`` the model."""
@@ -82,7 +83,7 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", max_docs: int
              .orderBy(F.desc("n"), "lang").limit(max_langs).collect())
     langs = sorted(r["lang"] for r in sizes)
     if not langs:
-        return {"langs": [], "tokens": {}}
+        return {"langs": [], "tokens": {}, "logs": None}
     limit = F.create_map(*[F.lit(x) for r in sizes
                            for x in (r["lang"], int((1 << 20) * min(1.0, max_docs / r["n"])))])
     sample = rows.where(F.col("draw") < F.coalesce(limit[F.col("lang")], F.lit(0))).select("lang", "text")
@@ -91,72 +92,61 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", max_docs: int
     per_token = (counts.groupBy("n", "token")
                  .agg(F.sum("count").alias("total"),
                       F.collect_list(F.struct("lang", "count")).alias("by_lang"))
-                 .where("total >= 2").orderBy(F.desc("total"), "n", "token"))
+                 .where("total >= 2"))
+    per_token = Scratch(docs.sparkSession, "lang-id").result(per_token)
     of_lang = {x: i for i, x in enumerate(langs)}
-    tokens: dict[int, dict[str, np.ndarray]] = {n: {} for n in (0, *NGRAMS)}
-    for r in per_token.limit(max(1, max_entries // len(langs))).toLocalIterator():
-        freq = np.zeros(len(langs))
-        for x in r["by_lang"]:
-            freq[of_lang[x["lang"]]] = x["count"]
-        tokens[r["n"]][r["token"]] = freq
+    tokens: dict[int, dict[str, int]] = {n: {} for n in (0, *NGRAMS)}
+    freqs = []
+    room = max(1, max_entries // (2 * len(langs)))
+    for kind in ("n = 0", "n > 0"):  # half of the room for words, half for n-grams
+        best = per_token.where(kind).orderBy(F.desc("total"), "n", "token").limit(room)
+        for r in best.toLocalIterator():
+            tokens[r["n"]][r["token"]] = len(freqs)
+            freqs.append([0.0] * len(langs))
+            for x in r["by_lang"]:
+                freqs[-1][of_lang[x["lang"]]] = x["count"]
+    logs = np.array(freqs, np.float64).reshape(-1, len(langs))
     for table in tokens.values():
-        total = sum(table.values(), np.zeros(len(langs)))
-        for token, freq in table.items():
-            table[token] = np.log((freq + 0.1) / (total + 0.1 * len(table) + 1)).astype(np.float32)
-    return {"langs": langs, "tokens": tokens}
+        at = list(table.values())
+        if at:
+            logs[at] = np.log((logs[at] + 0.1) / (logs[at].sum(axis=0) + 0.1 * len(at) + 1))
+    return {"langs": langs, "tokens": tokens, "logs": logs}
 
 
-def score_word(word: str, tokens: dict, size: int) -> np.ndarray:
-    """Log score of one word per language: the word itself, else the mean
-    over its known n-grams at the longest length that has any."""
+def evidence(word: str, tokens: dict) -> list[int]:
+    """Rows of the model that speak for one word: the word itself, else its
+    known n-grams of the longest length that has any."""
     known = tokens[0].get(word)
     if known is not None:
-        return known
+        return [known]
+    if not any(map(str.isalpha, word)):
+        return []
     for n in NGRAMS:
         found = [x for g in _grams(word, n) if (x := tokens[n].get(g)) is not None]
         if found:
-            return np.mean(found, axis=0)
-    return np.zeros(size, np.float32)
-
-
-class _Scorer:
-    """Word scores as rows of one matrix; refilled when it grows too large."""
-
-    LIMIT = 200_000
-
-    def __init__(self, model: dict):
-        self.tokens, self.size = model["tokens"], len(model["langs"])
-        self.clear()
-
-    def clear(self) -> None:
-        self.at: dict[str, int] = {}
-        self.rows = np.zeros((1024, self.size), np.float32)
-
-    def add(self, word: str) -> int:
-        if not any(ch.isalpha() for ch in word):
-            return -1
-        k = len(self.at)
-        if k >= len(self.rows):
-            self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
-        self.rows[k] = score_word(word, self.tokens, self.size)
-        self.at[word] = k
-        return k
-
-    def posterior(self, text: str) -> np.ndarray | None:
-        """Probability of each language, or None without a letter."""
-        words = Counter(LETTERS.findall(text.lower()))
-        if len(self.at) > self.LIMIT:
-            self.clear()
-        ids = np.fromiter((self.at.get(w, -2) for w in words), np.int64, len(words))
-        for i, w in enumerate(words):
-            if ids[i] == -2:
-                ids[i] = self.add(w)
-        weight = np.fromiter(words.values(), np.float64, len(words))[ids >= 0]
-        if not len(weight):
-            return None
-        total = weight @ self.rows[ids[ids >= 0]].astype(np.float64)
-        p = np.exp(total - total.max())
-        return p / p.sum()
+            return found
+    return []
+
+
+def posterior(text: str, model: dict) -> np.ndarray | None:
+    """Probability of each language, or None without a letter. A word's
+    n-grams share its weight, so each word counts once."""
+    words = Counter(LETTERS.findall(text.lower()))
+    tokens, ids, weights = model["tokens"], [], []
+    get = tokens[0].get
+    for w, c in words.items():
+        known = get(w)
+        if known is not None:
+            ids.append(known)
+            weights.append(c)
+        elif found := evidence(w, tokens):
+            ids += found
+            weights += [c / len(found)] * len(found)
+    if not ids and not any(any(map(str.isalpha, w)) for w in words):
+        return None
+    total = np.array(weights) @ model["logs"][ids] if ids else np.zeros(len(model["langs"]))
+    p = np.exp(total - total.max())
+    return p / p.sum()
 
 
 def predict(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:
@@ -168,11 +158,10 @@ def predict(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        scorer = _Scorer(model) if model["langs"] else None
         for batch in batches:
             langs, scores = [], []
             for t in batch.column(1).to_pylist():
-                p = scorer.posterior(t) if t and scorer else None
+                p = posterior(t, model) if t and model["langs"] else None
                 best = None if p is None else int(p.argmax())
                 langs.append(UNKNOWN if best is None else model["langs"][best])
                 scores.append(0.0 if best is None else float(p[best]))

@@ -33,22 +33,23 @@ def test_prediction_ignores_lang_source_and_id(make_docs, spark):
 
 
 def test_words_come_first_and_unseen_words_back_off():
-    model = {0: {"hello": 1}, 5: {}, 4: {}, 3: {"^he": 3}, 2: {}, 1: {"h": 5}}
-    assert lang_id.score_word("hello", model, 1) == 1
-    assert lang_id.score_word("hey", model, 1) == 3
-    assert lang_id.score_word("oh", model, 1) == 5
-    assert lang_id.score_word("zzz", model, 1) == 0
+    model = {0: {"hello": 1}, 5: {}, 4: {}, 3: {"^he": 3}, 2: {}, 1: {"h": 5, "o": 6}}
+    assert lang_id.evidence("hello", model) == [1]
+    assert lang_id.evidence("hey", model) == [3]
+    assert lang_id.evidence("oh", model) == [6, 5]
+    assert lang_id.evidence("zzz", model) == []
 
 
 def test_scores_match_a_plain_version(spark):
     docs = spark.read.parquet(SF01).limit(60)
     model = lang_id.train(spark.read.parquet(SF01).where(~lang_id.held_out()))
     for r in lang_id.predict(docs, model).collect():
-        import numpy as np
-        total = sum((lang_id.score_word(w, model["tokens"], 4).astype(float)
-                     for w in lang_id.LETTERS.findall(r["row"]["text"].lower()) if any(map(str.isalpha, w))),
-                    np.zeros(4))
-        assert r["lang_pred"] == model["langs"][int(total.argmax())]
+        total = [0.0] * 4
+        for w in lang_id.LETTERS.findall(r["row"]["text"].lower()):
+            found = lang_id.evidence(w, model["tokens"])
+            for k in range(4):
+                total[k] += sum(model["logs"][x][k] for x in found) / max(1, len(found))
+        assert r["lang_pred"] == model["langs"][total.index(max(total))]
 
 
 def test_edge_cases(make_docs, clashes, spark):
