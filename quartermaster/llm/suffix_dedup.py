@@ -44,9 +44,10 @@ from pyspark.sql import functions as F
 from .common import KEY, Scratch, doc_key, key_id
 
 LENGTH = 200
-GRAM = 16
-BLOCK_BYTES = 1 << 20
-CHUNK = 1 << 23  # bytes handled at once in step 1
+GRAM = 64
+BLOCK_BYTES = 1 << 19
+HOT_BLOCKS = 4  # an anchor with more than so many blocks of pieces is hot
+CHUNK = 1 << 21  # bytes handled at once in step 1
 BASE = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -145,8 +146,9 @@ def _cut_long(text: bytes, length: int, gram: int):
 # ------------------------------------------------- step 3: suffix arrays
 
 def suffix_array(codes: np.ndarray, depth: int) -> np.ndarray:
-    """Suffixes of ``codes`` (0: end of a piece) in order of their first
-    ``depth`` codes at least, by two-stage sorting.
+    """Suffixes of ``codes`` (bytes plus one, which UTF-8 leaves room for;
+    0: end of a piece) in order of their first ``depth`` codes at least, by
+    two-stage sorting.
 
     Type B suffixes (not greater than their successor) are sorted directly;
     a type A suffix is greater than its successor, so one scan from small to
@@ -154,35 +156,14 @@ def suffix_array(codes: np.ndarray, depth: int) -> np.ndarray:
     n = len(codes)
     if n == 0:
         return np.zeros(0, np.int64)
-    follow = np.append(codes[1:], -1)
+    follow = np.append(codes[1:].astype(np.int16), -1)
     differs = np.flatnonzero(codes != follow)
     type_a = (codes > follow)[differs[np.searchsorted(differs, np.arange(n))]]
-    # Direct sort: eight codes at a time, only among suffixes still tied.
-    b = np.flatnonzero(~type_a)
-    padded = np.concatenate([codes, np.zeros(depth + 8, codes.dtype)]).astype(np.uint64)
-    word = np.zeros(n + depth, np.uint64)  # seven codes of nine bits
-    for k in range(7):
-        word = (word << np.uint64(9)) | padded[k:k + n + depth]
-    order, rank = b, np.zeros(len(b), np.int64)
-    tied = np.arange(len(b))
-    for at in range(0, depth if len(b) else 0, 7):
-        key = word[order[tied] + at]
-        sub = np.lexsort((key, rank[tied]))
-        order[tied] = order[tied][sub]
-        key, group = key[sub], rank[tied]
-        new = np.flatnonzero((np.diff(key, prepend=key[:1]) != 0) | (np.diff(group, prepend=group[:1]) != 0))
-        head = np.zeros(len(tied), np.int64)
-        head[new] = new
-        head = np.maximum.accumulate(head)
-        fresh = tied[head]
-        rank[tied] = fresh
-        same = np.append(fresh[1:] == fresh[:-1], False) | np.append(False, fresh[1:] == fresh[:-1])
-        tied = tied[same]
-        if not len(tied):
-            break
+    raw = codes.tobytes()
+    order = np.array(sorted(np.flatnonzero(~type_a).tolist(), key=lambda i: raw[i:i + depth]), np.int64)
     # Induce: buckets by first code, type A in front of type B.
-    size_a = np.bincount(codes[type_a], minlength=257)
-    size_b = np.bincount(codes[~type_a], minlength=257)
+    size_a = np.bincount(codes[type_a], minlength=256)
+    size_b = np.bincount(codes[~type_a], minlength=256)
     start = np.concatenate([[0], np.cumsum(size_a + size_b)[:-1]])
     out = np.full(n, -1, np.int64)
     offset_b = start + size_a
@@ -204,19 +185,19 @@ def suffix_array(codes: np.ndarray, depth: int) -> np.ndarray:
 
 def repeated_starts(pieces: list[bytes], length: int) -> list[np.ndarray]:
     """Per piece, the starts of its windows that some other window equals."""
-    codes = np.concatenate([np.append(np.frombuffer(p, np.uint8).astype(np.int64) + 1, 0) for p in pieces])
+    codes = np.frombuffer(b"\xff".join([*pieces, b""]), np.uint8) + np.uint8(1)  # 0xff, never in UTF-8, ends a piece
     sizes = np.array([len(p) + 1 for p in pieces])
     ends = np.cumsum(sizes) - 1
     sa = suffix_array(codes, length)
     piece = np.repeat(np.arange(len(pieces)), sizes)
     sa = sa[ends[piece[sa]] - sa >= length]  # suffixes that hold a window
-    # Common prefixes of neighbours, seven codes at a time, cut at ``length``.
-    padded = np.concatenate([codes, np.zeros(length + 8, np.int64)]).astype(np.uint64)
+    # Common prefixes of neighbours, eight codes at a time, cut at ``length``.
+    padded = np.concatenate([codes, np.zeros(length + 8, np.uint8)]).astype(np.uint64)
     word = np.zeros(len(codes) + length, np.uint64)
-    for k in range(7):
-        word = (word << np.uint64(9)) | padded[k:k + len(word)]
+    for k in range(8):
+        word = (word << np.uint64(8)) | padded[k:k + len(word)]
     same = np.arange(len(sa) - 1) if len(sa) > 1 else np.zeros(0, np.int64)
-    for at in [*range(0, length - 6, 7), length - 7]:
+    for at in [*range(0, length - 7, 8), length - 8]:
         same = same[word[sa[same] + at] == word[sa[same + 1] + at]]
     hit = np.unique(np.concatenate([sa[same], sa[same + 1]])) if len(same) else np.zeros(0, np.int64)
     begin = ends - sizes + 1
@@ -285,13 +266,13 @@ def _fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for k, (body, wanted) in enumerate(zip(batch.column(3).to_pylist(), batch.column(4).to_pylist())):
             for w in wanted:
                 rows.append(k)
-                out.append((w["anchor"], w["n"], w["start"], body[w["start"]:w["start"] + w["size"]]))
-        cols = list(zip(*out)) or [()] * 4
+                out.append((w["anchor"], w["hot"], w["n"], w["start"], body[w["start"]:w["start"] + w["size"]]))
+        cols = list(zip(*out)) or [()] * 5
         at = pa.array(rows, pa.int64())
         yield pa.RecordBatch.from_arrays(
             [*[batch.column(c).take(at) for c in range(3)],
-             *[pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.int64(), pa.int64(), pa.binary()))]],
-            names=[*KEY, "anchor", "n", "start", "body"])
+             *[pa.array(c, t) for c, t in zip(cols, (pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.binary()))]],
+            names=[*KEY, "anchor", "hot", "n", "start", "body"])
 
 
 def remove_ranges(body: bytes, ranges: list[dict]) -> tuple[int, int, bytes]:
@@ -329,28 +310,25 @@ def repeated_ranges(docs: DataFrame, scratch: Scratch, length: int = LENGTH, gra
         .agg(F.count(F.lit(1)).alias("n_contents"), F.sum("size").alias("bytes"),
              F.count(F.when(F.col("n") == 1, 1)).alias("n_single"))
         .where("n_contents > 1 and n_single > 0"), "anchors")
-    is_hot = F.col("bytes") > 2 * block_bytes
+    is_hot = F.col("bytes") > HOT_BLOCKS * block_bytes
     total = anchors.where(~is_hot).agg(F.sum("bytes")).first()[0] or 0
     blocks = max(1, math.ceil(total / block_bytes))
     wanted = scratch.table(contents.join(anchors, F.col("anchor") == F.col("c_anchor"))
-                           .select(*KEY, "anchor", "n", "start", "size"), "wanted")
+                           .select(*KEY, "anchor", "n", "start", "size", is_hot.alias("hot")), "wanted")
     per_doc = (wanted.groupBy(*[F.col(c).alias(f"w_{c}") for c in KEY])
-               .agg(F.collect_list(F.struct("anchor", "n", "start", "size")).alias("wanted")))
+               .agg(F.collect_list(F.struct("anchor", "hot", "n", "start", "size")).alias("wanted")))
     found = docs.join(
         per_doc, [F.col(c) == F.col(f"w_{c}") for c in KEY]).select(*KEY, "body", "wanted")
     # A repeated row is fetched twice, but its contents have n > 1 already.
-    fetched = found.mapInArrow(_fetch, "k_id long, k_null boolean, k_hash long, anchor long, n long, "
+    fetched = found.mapInArrow(_fetch, "k_id long, k_null boolean, k_hash long, anchor long, hot boolean, n long, "
                                "start long, body binary")
-    hot = anchors.where(is_hot).select(F.col("c_anchor").alias("hot_anchor"))
-    if hot.isEmpty():
-        return whole.unionByName(_sorted_blocks(fetched, blocks, length))
-    fetched = scratch.table(fetched, "fetched")
-    cold = fetched.join(hot, F.col("anchor") == F.col("hot_anchor"), "left_anti")
-    windows = scratch.table(fetched.join(hot, F.col("anchor") == F.col("hot_anchor"), "left_semi").mapInArrow(
-        _windows(length), "digest binary, n long, k_id long, k_null boolean, k_hash long, lo long, hi long"), "windows")
+    out = whole.unionByName(_sorted_blocks(fetched.where("not hot"), blocks, length))
+    if anchors.where(is_hot).isEmpty():
+        return out
+    windows = fetched.where("hot").mapInArrow(
+        _windows(length), "digest binary, n long, k_id long, k_null boolean, k_hash long, lo long, hi long")
     many = windows.groupBy(F.col("digest").alias("m_digest")).agg(F.sum("n").alias("m")).where("m > 1")
-    equal = windows.join(many, F.col("digest") == F.col("m_digest"), "left_semi").select(*KEY, "lo", "hi")
-    return whole.unionByName(_sorted_blocks(cold, blocks, length)).unionByName(equal)
+    return out.unionByName(windows.join(many, F.col("digest") == F.col("m_digest"), "left_semi").select(*KEY, "lo", "hi"))
 
 
 def _sorted_blocks(fetched: DataFrame, blocks: int, length: int) -> DataFrame:
