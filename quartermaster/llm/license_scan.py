@@ -113,7 +113,7 @@ def spans(found: DataFrame) -> DataFrame:
 def license_report(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per document with places, labels and score."""
     scratch = Scratch(docs.sparkSession, "licenses")
-    found = scratch.table(spans(hits(docs, doc_id, text)), "spans")
+    found = scratch.table(spans(scratch.table(hits(docs, doc_id, text), "hits")), "spans")
     base = F.col("is_phrase")
     joined = lambda c: F.array_join(F.array_sort(F.collect_set(c)), ",")
     per_doc = found.groupBy(*[F.col(c).alias(f"f_{c}") for c in KEY]).agg(
