@@ -155,21 +155,21 @@ def default_if_empty(col: ColumnOrName, default) -> Column:
 # ---------------------------------------------------------------- P7 first match
 
 def replace_first(col: ColumnOrName, pattern: str, replacement: str, literal: bool = False) -> Column:
-    """Replace only the first regex match on each row (one row = one line).
-
-    ``regexp_replace`` replaces every match, so the text is instead split
-    once at the first match (``split`` with limit 2) and re-joined around
-    the replacement: one linear regex pass, no back-tracking over the whole
-    text, no character-position arithmetic. The replacement is literal;
-    ``literal=True`` makes the pattern literal too (``\\Q...\\E``), so the
-    dots of a path are not wildcards.
+    """Replace only the first regex match on each line of a text.
+
+    ``regexp_replace`` replaces every match, so the match is anchored to the
+    start of the line behind a lazy prefix, which is put back. A pattern that
+    can match nothing matches at the start of the line, like sed. The
+    replacement is literal; ``literal=True`` makes the pattern literal too
+    (``\\Q...\\E``), so the dots of a path are not wildcards. A numbered back
+    reference inside the pattern counts the prefix as group 1.
     """
     c = _c(col)
     if literal:
         pattern = "\\Q" + pattern.replace("\\E", "\\E\\\\E\\Q") + "\\E"
-    parts = F.split(c, pattern, 2)
-    return F.when(F.size(parts) == 2,
-                  F.concat(F.get(parts, 0), F.lit(replacement), F.get(parts, 1))).otherwise(c)
+    put = replacement.replace("\\", "\\\\").replace("$", "\\$")
+    return F.array_join(F.transform(F.split(c, "\n", -1), lambda line: F.regexp_replace(
+        line, F.lit(f"(?s)\\A(.*?)(?:{pattern})"), F.lit("$1" + put))), "\n")
 
 
 # ---------------------------------------------------------------- P8 flags

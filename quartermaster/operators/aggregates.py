@@ -12,7 +12,6 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 
 def _cols(x: str | Sequence[str]) -> list[str]:
@@ -32,33 +31,40 @@ def ordinal(df: DataFrame, order_by: Sequence[str], partition_by: Sequence[str]
             name: str = "position", num_partitions: int | None = None) -> DataFrame:
     """Exact 1-based position of each row within ``partition_by`` (or over
     the whole frame) in ``order_by`` order, without putting a group into
-    one task.
-
-    1. Range-partition on ``partition_by + order_by``: a big group is cut
-       into many ranges. The result is checkpointed to the shared folder so
-       the partition ids cannot change between the two uses below.
-    2. Per (range, group): a local row number (its shuffle key includes the
-       range id, so a hot group is spread out) and a row count.
-    3. Per group, a running sum of the counts over range ids gives each
-       range's offset; that table has at most (#groups + #ranges) rows.
+    one task. Null keys are a group like any other.
+
+    1. The input is checkpointed once (range partitioning samples its input,
+       which would otherwise be evaluated twice), range-partitioned on
+       ``partition_by + order_by`` and sorted inside the ranges: one shuffle
+       of the rows, and a big group is cut into many ranges. The low 33 bits
+       of ``monotonically_increasing_id`` are the place within the range.
+    2. Per (range, group): the first place and the row count. A running sum
+       of the counts over the ranges of a group gives its offset; that table
+       has at most (#groups + #ranges) rows and is joined back null-safe.
     ``order_by`` should be unique within a group: equal sort keys cannot be
     split across ranges.
     """
     spark = df.sparkSession
     n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     part, order = list(partition_by), list(order_by)
-    ranged = (df.repartitionByRange(n, *[F.col(c) for c in part + order])
-                .withColumn("__qm_pid", F.spark_partition_id())
-                .checkpoint(eager=True))
-    counts = ranged.groupBy("__qm_pid", *part).agg(F.count(F.lit(1)).alias("__qm_cnt"))
-    before = Window.partitionBy(*part).orderBy("__qm_pid").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("__qm_pid", *part,
-                            F.coalesce(F.sum("__qm_cnt").over(before), F.lit(0)).alias("__qm_off"))
-    local = F.row_number().over(Window.partitionBy("__qm_pid", *part).orderBy(*order))
-    return (ranged.withColumn("__qm_local", local)
-                  .join(offsets, on=["__qm_pid", *part], how="inner")
-                  .withColumn(name, F.col("__qm_off") + F.col("__qm_local"))
-                  .drop("__qm_pid", "__qm_off", "__qm_local"))
+    keys = [F.col(c) for c in part + order]
+    ranged = (df.checkpoint(eager=True).repartitionByRange(n, *keys).sortWithinPartitions(*keys)
+                .withColumn("__qm_id", F.monotonically_increasing_id()).checkpoint(eager=True))
+    pid = F.shiftright("__qm_id", 33)
+    place = F.col("__qm_id").bitwiseAND(F.lit((1 << 33) - 1))
+    counts = (ranged.groupBy(pid.alias("__qm_pid"), *[F.col(c).alias(f"__qm_{c}") for c in part])
+              .agg(F.count(F.lit(1)).alias("__qm_cnt"), F.min(place).alias("__qm_first")))
+    groups = [f"__qm_{c}" for c in part]
+    before = Window.partitionBy(*groups).orderBy("__qm_pid").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select("__qm_pid", *groups, (
+        F.coalesce(F.sum("__qm_cnt").over(before), F.lit(0)) - F.col("__qm_first") + 1).alias("__qm_off"))
+    if not part:  # one row per range
+        offsets = F.broadcast(offsets)
+    same = pid == F.col("__qm_pid")
+    for c in part:
+        same = same & F.col(c).eqNullSafe(F.col(f"__qm_{c}"))
+    return (ranged.join(offsets, same).withColumn(name, F.col("__qm_off") + place)
+                  .select(*df.columns, name))
 
 
 # ---------------------------------------------------------------- A2
@@ -116,35 +122,14 @@ def args_count(df: DataFrame, key: str | Sequence[str]) -> DataFrame:
 
 # ---------------------------------------------------------------- A5
 
-_FIXED_WIDTH = (T.BooleanType, T.ByteType, T.ShortType, T.IntegerType, T.LongType, T.FloatType,
-                T.DoubleType, T.DateType, T.TimestampType, T.TimestampNTZType)
-
-
-def _fixed_width(dt: T.DataType) -> bool:
-    return isinstance(dt, _FIXED_WIDTH) or (isinstance(dt, T.DecimalType) and dt.precision <= 18)
-
-
 def resolve_layers(df: DataFrame, key: str | Sequence[str], layer: str, seq: str,
                    value: str, out: str = "value") -> DataFrame:
     """A5: per key, the value of the highest (layer, seq): a flag beats the
     file default and the last repeat wins. An empty or null winning value
-    still wins (it is not skipped).
-
-    Fixed-width values (numbers, booleans, dates, timestamps) and a
-    fixed-width ``seq`` take two hash aggregates: the last value per (key,
-    layer), partial in every task, then the highest layer per key over that
-    small table. Other values (strings) need ``max_by`` over a struct
-    ordering, which Spark runs as a sort-based aggregate (still partial
-    before the shuffle)."""
+    still wins (it is not skipped). Nulls order
+    lowest, in ``layer`` as in ``seq``, whatever the column types. ``max_by``
+    over a struct is partial in every task before the shuffle."""
     ks = _cols(key)
-    fields = df.schema
-    if _fixed_width(fields[value].dataType) and _fixed_width(fields[seq].dataType) \
-            and _fixed_width(fields[layer].dataType):
-        per_layer = (df.groupBy(*ks, layer)
-                       .agg(F.max_by(F.col(value), F.col(seq)).alias("__qm_v")))
-        return (per_layer.groupBy(*ks)
-                         .agg(F.max_by(F.col("__qm_v"), F.col(layer)).alias(out),
-                              F.max(layer).alias("winning_layer")))
     order = F.struct(F.col(layer), F.col(seq))
     return (df.groupBy(*ks)
               .agg(F.max_by(F.col(value), order).alias(out),

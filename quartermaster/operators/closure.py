@@ -3,206 +3,45 @@
 from __future__ import annotations
 
 import re
-import uuid
-from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructField, StructType
-
-from ..session import scratch_dir
-
-
-# ``auto`` keeps closure state in bucketed tables from this many edges on.
-BUCKETED_MIN_EDGES = 1_000_000
-# Up to this many (checked) edges, the checkpointed plan broadcasts them.
-BROADCAST_MAX_EDGES = 1_000_000
-# A frontier ancestor with at least this many rows in one round is "hot":
-# its rows are spread over HOT_SALTS partitions instead of one bucket.
-HOT_KEY_ROWS = 1_000_000
-HOT_SALTS = 64
-# At most this many hot ancestors are split per round (each one holds at
-# least HOT_KEY_ROWS rows, so more than this many cannot all be extreme);
-# any others take the ordinary bucketed join, which is still exact.
-MAX_HOT_KEYS = 10_000
 
 
 def direct_edges(df: DataFrame, node: str, deps: str, sep: str = ",") -> DataFrame:
     """Expand ``node -> "a,b"`` into one ``(node, parent)`` row per entry
     (blank entries dropped)."""
-    parents = F.transform(F.split(F.col(deps), re.escape(sep)), F.trim)
+    parents = F.transform(F.split(F.col(deps), re.escape(sep)), lambda x: F.trim(x))
     return (df.select(F.col(node).alias("node"), F.explode(parents).alias("parent"))
               .filter(F.col("parent") != ""))
 
 
-def dependency_closure(edges: DataFrame, node: str = "node", parent: str = "parent",
-                       max_rounds: int = 10_000, strategy: str = "auto",
-                       buckets: int | None = None, hot_key_rows: int = HOT_KEY_ROWS) -> DataFrame:
+def dependency_closure(edges: DataFrame, node: str = "node", parent: str = "parent") -> DataFrame:
     """Every ``(node, ancestor)`` reachable over ``node -> parent`` edges,
     with ``depth`` = the shortest number of hops.
 
-    Breadth first: each round joins the frontier (last round's new pairs)
-    to the edges, de-duplicates the candidates and anti-joins them against
-    every pair found so far (which also ends cycles). State is written to
-    the shared checkpoint folder every round, so lineage stays one round
-    long and a lost executor costs one round at most. The loop stops when a
-    round finds nothing new; on acyclic input that is the longest chain.
-    ``max_rounds`` only guards against a runaway loop and never trims
-    results: reaching it raises.
-
-    ``strategy``: ``bucketed`` (state in bucketed tables, so neither the
-    edges nor the pairs found so far are shuffled again after they are
-    written; hot ancestors are salted), ``checkpoint`` (checkpointed
-    DataFrames: edges broadcast under a counted bound, every round
-    re-shuffles all earlier pairs for the anti join, AQE splits skewed
-    keys; lowest fixed cost per round), or ``auto``
-    (default): a bounded count of the distinct edges picks ``bucketed`` at
-    ``BUCKETED_MIN_EDGES`` and above. Measured warm at sf0.1 (20,000 edges,
-    15 rounds): 5.2 s checkpointed, 7.2 s bucketed, the difference being
-    per-round table appends; at scale the re-shuffles dominate instead.
+    Path doubling: round k joins the pairs exactly ``2**k`` hops apart to all
+    pairs found so far (up to ``2**k`` hops) on the node in the middle and
+    keeps the least depth per pair, so the number of rounds is the logarithm
+    of the longest shortest path, at any size, and cycles end by themselves.
+    All pairs are one frame, checkpointed to the shared folder each round: a
+    lost executor costs one round, and the plan does not grow. The join is a
+    plain equality join, so AQE splits the partitions of a hot ancestor.
     """
-    e = (edges.select(F.col(node).alias("node"), F.col(parent).alias("parent"))
-              .dropna().dropDuplicates())
-    if strategy not in ("auto", "bucketed", "checkpoint"):
-        raise ValueError(f"unknown strategy {strategy!r}")
-    n_edges = None if strategy == "bucketed" and buckets else _edge_count(e)
-    if strategy == "auto":
-        strategy = "bucketed" if n_edges >= BUCKETED_MIN_EDGES else "checkpoint"
-    if strategy == "bucketed":
-        return _closure_bucketed(e, max_rounds, buckets or _bucket_count(e, n_edges), hot_key_rows)
-    return _closure_checkpointed(e, max_rounds, broadcast_edges=n_edges <= BROADCAST_MAX_EDGES)
-
-
-def _closure_checkpointed(e: DataFrame, max_rounds: int, broadcast_edges: bool) -> DataFrame:
-    """Small inputs: each round's new pairs are a checkpointed DataFrame;
-    the anti join reads the union of all earlier rounds. When the bounded
-    edge count is at most ``BROADCAST_MAX_EDGES`` the edges are broadcast,
-    so the frontier is joined in place: no shuffle of either side, and a hot
-    ancestor never lands in one task. (A checkpointed frame carries no size
-    statistics, so Spark would not broadcast it by itself.)"""
-    e = e.checkpoint(eager=True)
-    step = e.select(F.col("node").alias("ancestor"), F.col("parent").alias("next"))
-    if broadcast_edges:
-        step = F.broadcast(step)
-    frontier = e.select("node", F.col("parent").alias("ancestor"),
-                        F.lit(1).alias("depth")).checkpoint(eager=True)
-    seen = [frontier]
-    for _ in range(max_rounds):
-        cand = (frontier.join(step, on="ancestor", how="inner")
-                        .select("node", F.col("next").alias("ancestor"),
-                                (F.col("depth") + 1).alias("depth"))
-                        .dropDuplicates(["node", "ancestor"]))
-        known = reduce(DataFrame.unionByName, [s.select("node", "ancestor") for s in seen])
-        new = cand.join(known, on=["node", "ancestor"], how="left_anti").checkpoint(eager=True)
-        if new.isEmpty():
-            return reduce(DataFrame.unionByName, seen)
-        seen.append(new)
-        frontier = new
-    raise RuntimeError(f"closure did not converge in {max_rounds} rounds")
-
-
-def _closure_bucketed(e: DataFrame, max_rounds: int, n: int,
-                      hot_key_rows: int = HOT_KEY_ROWS) -> DataFrame:
-    """Edges and found pairs live in bucketed tables in the shared
-    checkpoint folder, so neither is shuffled again after it is written.
-    Each round appends its new pairs as one ``depth`` partition, which is
-    also the next frontier (pruned read); only the frontier and the
-    candidates are shuffled, and the candidates' shuffle already matches
-    the pair table's buckets for the anti join.
-
-    One small aggregate per round reads the frontier's size (the loop ends
-    at zero) and its hot ancestors. A hot ancestor's frontier rows are
-    salted by node and joined to that ancestor's edges replicated over the
-    salts, so no single task gets them all; the other keys use the
-    bucketed join."""
-    spark = e.sparkSession
-    root = scratch_dir(spark, "closure")
-    tag = uuid.uuid4().hex[:12]
-    step_t, pairs_t = f"qm_closure_step_{tag}", f"qm_closure_pairs_{tag}"
-    (e.select(F.col("node").alias("ancestor"), F.col("parent").alias("next"))
-      .repartition(n, "ancestor")
-      .write.bucketBy(n, "ancestor").option("path", f"{root}/step").saveAsTable(step_t))
-    first = e.select("node", F.col("parent").alias("ancestor"), F.lit(1).alias("depth"))
-    _append_pairs(first, pairs_t, f"{root}/pairs", n)
-    step, pairs = spark.table(step_t), spark.table(pairs_t)
-    key_type = step.schema["ancestor"].dataType
-    for depth in range(1, max_rounds + 1):
-        frontier = pairs.filter(F.col("depth") == depth).select("node", "ancestor")
-        total, hot = _frontier_stats(frontier, hot_key_rows)
-        if total == 0:
-            return pairs.select("node", "ancestor", "depth")
-        if hot:
-            hot_df = F.broadcast(spark.createDataFrame([(k,) for k in hot],
-                                                       StructType([StructField("ancestor", key_type)])))
-            salted = (frontier.join(hot_df, "ancestor", "left_semi")
-                              .withColumn("__qm_salt", F.pmod(F.xxhash64("node"), F.lit(HOT_SALTS))))
-            spread = (step.join(hot_df, "ancestor", "left_semi")
-                          .withColumn("__qm_salt", F.explode(F.sequence(F.lit(0), F.lit(HOT_SALTS - 1)))))
-            joined = (salted.join(spread, ["ancestor", "__qm_salt"]).select("node", "next")
-                      .unionByName(frontier.join(hot_df, "ancestor", "left_anti")
-                                           .join(step, "ancestor").select("node", "next")))
-        else:
-            joined = frontier.join(step, "ancestor").select("node", "next")
-        cand = joined.select("node", F.col("next").alias("ancestor")).dropDuplicates(["node", "ancestor"])
-        new = cand.join(pairs.select("node", "ancestor"), on=["node", "ancestor"], how="left_anti")
-        _append_pairs(new.withColumn("depth", F.lit(depth + 1)), pairs_t, f"{root}/pairs", n)
-        spark.catalog.refreshTable(pairs_t)
-        pairs = spark.table(pairs_t)
-    raise RuntimeError(f"closure did not converge in {max_rounds} rounds")
-
-
-def _frontier_stats(frontier: DataFrame, hot_key_rows: int) -> tuple[int, list]:
-    """Rows in the frontier and its hot ancestors. A key can only be hot
-    when the frontier has at least ``hot_key_rows`` rows, so a bounded count
-    (as cheap as an emptiness check) settles small frontiers. Larger ones
-    get one aggregate: counts are partial per task, and only keys at or
-    above ``hot_key_rows`` are listed, so the list is bounded by
-    rows / hot_key_rows (and ``MAX_HOT_KEYS``)."""
-    probe = frontier.limit(hot_key_rows).count()
-    if probe < hot_key_rows:
-        return probe, []
-    per_key = frontier.groupBy("ancestor").agg(F.count(F.lit(1)).alias("n"))
-    row = per_key.agg(
-        F.coalesce(F.sum("n"), F.lit(0)).alias("total"),
-        F.slice(F.array_sort(F.collect_list(F.when(F.col("n") >= hot_key_rows, F.col("ancestor")))),
-                1, MAX_HOT_KEYS).alias("hot")).first()
-    return int(row["total"]), list(row["hot"] or [])
-
-
-# Target edges per bucket. The pair table grows to about edges x depth, so
-# this keeps a bucket of pairs in the tens of megabytes for deep hierarchies.
-EDGES_PER_BUCKET = 250_000
-# Below the size target, still give every core a bucket once each bucket
-# would get at least this many edges.
-MIN_EDGES_PER_BUCKET = 1_000
-
-
-def _edge_count(e: DataFrame) -> int:
-    """Distinct edges, counted only up to what the choices here can use
-    (``limit``), so probing a huge edge table stops at the cap."""
-    most = int(e.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return e.limit(max(most * EDGES_PER_BUCKET, BUCKETED_MIN_EDGES, BROADCAST_MAX_EDGES + 1)).count()
-
-
-def _bucket_count(e: DataFrame, n_edges: int) -> int:
-    """Buckets sized to the data and the cores, never more than the shuffle
-    partitions."""
-    spark = e.sparkSession
-    most = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cores = spark.sparkContext.defaultParallelism
-    by_size = -(-n_edges // EDGES_PER_BUCKET)
-    by_cores = min(cores, -(-n_edges // MIN_EDGES_PER_BUCKET))
-    return max(1, min(most, max(by_size, by_cores)))
-
-
-def _append_pairs(df: DataFrame, name: str, path: str, n: int) -> None:
-    """Append one depth as a partition. Rows are clustered by bucket first
-    (free after the de-duplication shuffle, which has the same keys), so a
-    round adds at most ``n`` files."""
-    (df.select("node", "ancestor", F.col("depth").cast("int").alias("depth"))
-       .repartition(n, "node", "ancestor")
-       .write.mode("append").partitionBy("depth").bucketBy(n, "node", "ancestor")
-       .option("path", path).saveAsTable(name))
+    pairs = (edges.select(F.col(node).alias("node"), F.col(parent).alias("ancestor"), F.lit(1).alias("depth"))
+             .dropna().dropDuplicates().checkpoint(eager=True))
+    hops = 1
+    while True:
+        far = pairs.filter(F.col("depth") == hops)
+        if far.isEmpty():
+            return pairs
+        onward = pairs.select(F.col("node").alias("middle"), F.col("ancestor").alias("next"),
+                              F.col("depth").alias("more"))
+        longer = (far.join(onward, F.col("ancestor") == F.col("middle"))
+                  .select("node", F.col("next").alias("ancestor"), (F.lit(hops) + F.col("more")).alias("depth")))
+        pairs = (pairs.unionByName(longer).groupBy("node", "ancestor")
+                 .agg(F.min("depth").alias("depth")).checkpoint(eager=True))
+        hops *= 2
 
 
 def dependency_order(nodes: DataFrame, closure: DataFrame, node: str = "node") -> DataFrame:

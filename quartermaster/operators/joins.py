@@ -142,7 +142,8 @@ def pair_merge(df: DataFrame, keys: str | Sequence[str], variant_col: str, a: st
 
     Only keys that have both variants produce a row. One grouped aggregate
     (partial aggregation before the shuffle) instead of a self join, so a
-    key with many rows never emits all its pairs.
+    key with many rows never emits all its pairs. ``measure`` is summed in its
+    own type.
     """
     ks = _keys(keys)
     v = F.col(variant_col)
@@ -153,9 +154,7 @@ def pair_merge(df: DataFrame, keys: str | Sequence[str], variant_col: str, a: st
         F.min(F.when(v == b, F.col(member))).alias(f"first_{b}"),
     ]
     if measure is not None:
-        cents = F.col(measure).cast("decimal(18,2)")
-        aggs += [F.sum(F.when(v == a, cents)).cast("double").alias(f"{measure}_{a}"),
-                 F.sum(F.when(v == b, cents)).cast("double").alias(f"{measure}_{b}")]
+        aggs += [F.sum(F.when(v == x, F.col(measure))).alias(f"{measure}_{x}") for x in (a, b)]
     return (df.filter(v.isin(a, b)).groupBy(*ks).agg(*aggs)
               .filter((F.col(f"n_{a}") > 0) & (F.col(f"n_{b}") > 0)))
 
@@ -214,9 +213,12 @@ def nearest_ancestor(paths: DataFrame, anchors: DataFrame, id_col: str, path_col
     hits = (anc.join(probe_keys(anchors, [anchor_col], {anchor_col: "ancestor"}),
                      on="ancestor", how="left_semi")
                .select(id_col, path_col, "levels_up"))
-    every = paths.select(id_col, path_col, F.lit(None).cast("int").alias("levels_up"))
+    hits = hits.withColumn("__qm_row", F.lit(0))
+    every = paths.select(id_col, path_col, F.lit(None).cast("int").alias("levels_up"),
+                         F.lit(1).alias("__qm_row"))
     nearest = (hits.unionByName(every).groupBy(id_col, path_col)
-                   .agg(F.min("levels_up").alias("levels_up")))
+                   .agg(F.min("levels_up").alias("levels_up"), F.sum("__qm_row").alias("__qm_times"))
+                   .withColumn("__qm_copy", F.explode(F.sequence(F.lit(1), F.col("__qm_times").cast("int")))))
     p = F.col(path_col)
     parts = F.filter(F.split(p, re.escape(sep), -1), lambda s: s != F.lit(""))
     anchor = F.concat(F.when(p.startswith(sep), F.lit(sep)).otherwise(F.lit("")),

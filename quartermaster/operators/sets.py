@@ -18,11 +18,13 @@ MAX_DOMAIN = 10_000
 def _bounded_array(domain: DataFrame, col: str, max_size: int) -> Column:
     """The distinct values of ``domain.col`` as one array column, computed
     once as a scalar subquery. The job fails if the domain is too big to be
-    attached to every row."""
+    attached to every row; at most one value more than the bound is ever
+    collected."""
     arr = F.array_sort(F.collect_set(F.col(col)))
     guarded = F.when(F.size(arr) <= max_size, arr).otherwise(
         F.raise_error(F.lit(f"domain {col} has more than {max_size} values")))
-    return domain.select(guarded).scalar()
+    few = domain.select(col).distinct().limit(max_size + 2)  # a null is not collected
+    return few.select(guarded).scalar()
 
 
 # ---------------------------------------------------------------- U1
@@ -107,5 +109,5 @@ def ordered_manifest(df: DataFrame, order_by: str | Sequence[str],
     the exact 1-based line number without a single-task window."""
     cols = [order_by] if isinstance(order_by, str) else list(order_by)
     if with_position:
-        return ordinal(df, cols, (), name="position").orderBy("position")
+        return ordinal(df, cols, (), name="position")
     return df.orderBy(*cols)

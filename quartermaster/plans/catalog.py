@@ -158,8 +158,8 @@ select user_id, cast(cast(ts as date) as varchar) as day,
        count(*) filter (where event_type = 'purchase') as n_purchase,
        min(event_id) filter (where event_type = 'view') as first_view,
        min(event_id) filter (where event_type = 'purchase') as first_purchase,
-       cast(sum(cast(value as decimal(18,2))) filter (where event_type = 'view') as double) as value_view,
-       cast(sum(cast(value as decimal(18,2))) filter (where event_type = 'purchase') as double) as value_purchase
+       round(sum(value) filter (where event_type = 'view'), 4) as value_view,
+       round(sum(value) filter (where event_type = 'purchase'), 4) as value_purchase
 from events where event_type in ('view', 'purchase')
 group by 1, 2
 having count(*) filter (where event_type = 'view') > 0
@@ -167,8 +167,10 @@ having count(*) filter (where event_type = 'view') > 0
 """)
 def j4_pair_merge(spark, d):
     ev = table(spark, d, "events").withColumn("day", F.to_date("ts").cast("string"))
-    return J.pair_merge(ev, ["user_id", "day"], "event_type", "view", "purchase",
-                        member="event_id", measure="value")
+    merged = J.pair_merge(ev, ["user_id", "day"], "event_type", "view", "purchase",
+                          member="event_id", measure="value")
+    # Sums of doubles depend on their order in the last digits.
+    return merged.withColumns({c: F.round(c, 4) for c in ("value_view", "value_purchase")})
 
 
 @query("j5_orphan_rows", """
@@ -267,8 +269,10 @@ def j8_dependency_order(spark, d):
 
 @query("j8_dependency_closure_bucketed", ORACLES["j8_dependency_closure"])
 def j8_dependency_closure_bucketed(spark, d):
-    # The large-input plan (state in bucketed tables), forced at any size.
-    return CL.dependency_closure(_part_tree(spark, d), strategy="bucketed")
+    # The same edges, written as one "a,b" list of dependencies per part.
+    listed = _part_tree(spark, d).select("node", F.concat_ws(",", "parent", F.lit("")).alias("deps"))
+    edges = CL.direct_edges(listed, "node", "deps").withColumn("parent", F.col("parent").cast("long"))
+    return CL.dependency_closure(edges)
 
 
 # ================================================================ aggregates
@@ -320,6 +324,18 @@ def a5_resolve_layers(spark, d):
     return A.resolve_layers(ev, ["user_id", "event_type"], "layer", "event_id", "value")
 
 
+@query("a2_bundle_members_null_bundle", """
+select nullif(source, 'src0') as source,
+       row_number() over (partition by nullif(source, 'src0') order by cast(doc_id as varchar)) as position,
+       cast(doc_id as varchar) as doc_id
+from documents
+""")
+def a2_bundle_members_null_bundle(spark, d):
+    # The largest source becomes the null group: it keeps its members.
+    docs = table(spark, d, "documents").withColumn("source", F.nullif("source", F.lit("src0")))
+    return A.bundle_members(docs, "source", "doc_id")
+
+
 @query("o1_ordered_manifest", """
 select row_number() over (order by cast(doc_id as varchar)) as position,
        sha256(text) as digest, cast(doc_id as varchar) as name
@@ -335,10 +351,16 @@ def h1_digest_sha256(spark, d):
     return C.digest_manifest(table(spark, d, "documents"), "doc_id", "text", 256)
 
 
-@query("h1_digest_sha512")
+@query("h1_digest_sha512", """
+select cast(doc_id as varchar) as name, 128 as digest_length,
+       min(cast(doc_id as varchar)) over (partition by text) as least_same
+from documents
+""")
 def h1_digest_sha512(spark, d):
-    # DuckDB has no SHA-512, so this one is checked by row count only.
-    return C.digest_manifest(table(spark, d, "documents"), "doc_id", "text", 512)
+    # DuckDB has no SHA-512: equal digests must be equal texts, exactly.
+    manifest = C.digest_manifest(table(spark, d, "documents"), "doc_id", "text", 512)
+    least = manifest.groupBy("digest").agg(F.min("name").alias("least_same"))
+    return manifest.join(least, "digest").select("name", F.length("digest").alias("digest_length"), "least_same")
 
 
 # ================================================================ set ops
@@ -538,7 +560,9 @@ def p7_replace_first(spark, d):
 
 
 @query("p7_replace_first_text", """
-select doc_id, regexp_replace(text, 'e[a-z]', 'E_') as text_fixed from documents
+select doc_id, array_to_string(list_transform(string_split(text, chr(10)),
+                                              lambda x: regexp_replace(x, 'e[a-z]', 'E_')), chr(10)) as text_fixed
+from documents
 """)
 def p7_replace_first_text(spark, d):
     docs = table(spark, d, "documents")
@@ -622,12 +646,36 @@ def f6_split_valid(spark, d):
     return FL.validity_counts(ev, P.is_allowed("event_type", ALLOWED_EVENTS))
 
 
+@query("f6_split_valid_rows", """
+select event_id, coalesce(event_type in ('signup','view','click','purchase'), false) as valid
+from events
+""")
+def f6_split_valid_rows(spark, d):
+    # Permissive: both halves; strict passes over what the first half kept.
+    rule = P.is_allowed("event_type", ALLOWED_EVENTS)
+    good, rejects = FL.split_valid(table(spark, d, "events"), rule)
+    good = FL.split_valid(good, rule, mode="strict")
+    return (good.select("event_id", F.lit(True).alias("valid"))
+            .unionByName(rejects.select("event_id", F.lit(False).alias("valid"))))
+
+
 # ================================================================ sources
 
-@query("s1_file_inventory")
+def _text_tree(spark, d):
+    """The documents as text files, one folder per language."""
+    root = scratch_dir(spark, "tree")
+    docs = table(spark, d, "documents").select("lang", "text")
+    docs.write.partitionBy("lang").text(root)
+    return root
+
+
+@query("s1_file_inventory", """
+select lang, cast(sum(strlen(text) + 1) as bigint) as bytes from documents group by lang
+""")
 def s1_file_inventory(spark, d):
-    # Listing of the data folder itself: checked by row count only.
-    return SRC.file_inventory(spark, d, exclude_names=["_SUCCESS"]).select("path", "name", "length")
+    inv = SRC.file_inventory(spark, _text_tree(spark, d), exclude_names=["index.txt"])
+    lang = F.regexp_extract("path", "/lang=([^/]+)/", 1).alias("lang")
+    return inv.groupBy(lang).agg(F.sum("length").alias("bytes"))
 
 
 @query("s1_page_inventory", """
@@ -641,10 +689,13 @@ def s1_page_inventory(spark, d):
     return inv.filter(~F.col("name").isin("index.html", "0"))
 
 
-@query("s2_glob_scan")
+@query("s2_glob_scan", """
+select cast(sum(strlen(text) + 1) as bigint) as bytes from documents where lang = 'en'
+""")
 def s2_glob_scan(spark, d):
-    # Files directly in the data folder whose name matches a glob; row count only.
-    return SRC.glob_scan(spark, d, "[lo]*.parquet")
+    # Files directly in one folder whose name matches a glob.
+    found = SRC.glob_scan(spark, f"{_text_tree(spark, d)}/lang=en", "[op]*.txt")
+    return found.agg(F.sum("length").alias("bytes"))
 
 
 @query("s2_glob_filter", """
@@ -656,7 +707,7 @@ def s2_glob_filter(spark, d):
 
 
 _LAYOUT_ORACLE = """
-select o_orderkey, o_custkey, o_orderstatus, cast(year(o_orderdate) as integer) as year from orders
+select *, cast(year(o_orderdate) as integer) as year from orders
 where o_orderstatus in ('F', 'O') and year(o_orderdate) in (1996, 1997)
 """
 
@@ -664,19 +715,17 @@ where o_orderstatus in ('F', 'O') and year(o_orderdate) in (1996, 1997)
 @query("s4_layout_scan", _LAYOUT_ORACLE)
 def s4_layout_scan(spark, d):
     root = scratch_dir(spark, "layout")
-    orders = table(spark, d, "orders").select("o_orderkey", "o_custkey", "o_orderstatus",
-                                             F.year("o_orderdate").alias("year"))
+    orders = table(spark, d, "orders").withColumn("year", F.year("o_orderdate"))
     # Two writers, each replacing only its own partitions (K4).
     K.layout_write(orders.filter(F.col("o_orderstatus") == "F"), root, ["o_orderstatus", "year"])
     K.layout_write(orders.filter(F.col("o_orderstatus") != "F"), root, ["o_orderstatus", "year"])
-    back = SRC.layout_scan(spark, root, o_orderstatus=["F", "O"], year=[1996, 1997])
-    return back.select("o_orderkey", "o_custkey", "o_orderstatus", F.col("year").cast("int").alias("year"))
+    return SRC.layout_scan(spark, root, schema=orders.schema, o_orderstatus=["F", "O"], year=[1996, 1997])
 
 
 # ================================================================ sinks
 
-_DOC_COLS = ["doc_id", "source", "lang"]
-_DOCS_ORACLE = "select doc_id, source, lang from documents"
+_DOC_COLS = ["doc_id", "text", "lang", "source", "n_chars"]
+_DOCS_ORACLE = "select doc_id, text, lang, source, n_chars from documents"
 
 
 @query("k1_write_if_absent", _DOCS_ORACLE)
@@ -726,11 +775,11 @@ def k5_write_compressed(spark, d):
     return out
 
 
-_EVENT_COLS = ["event_id", "user_id", "event_type", "value"]
+_EVENT_COLS = ["event_id", "ts", "user_id", "event_type", "value", "props"]
 
 
 @query("k6_fan_out", """
-select s.sink, event_id, user_id, event_type, value from events, (values ('a'), ('b')) s(sink)
+select s.sink, event_id, ts, user_id, event_type, value, props from events, (values ('a'), ('b')) s(sink)
 """)
 def k6_fan_out(spark, d):
     root = scratch_dir(spark, "k6")
@@ -742,37 +791,50 @@ def k6_fan_out(spark, d):
 
 def _overlapping_parts(ev: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Two parts of the whole table that overlap (hours 8-15 are in both)."""
-    h = F.hour("ts")
+    h = F.coalesce(F.hour("ts"), F.lit(8))
     return ev.filter(h < 16), ev.filter(h >= 8)
 
 
-@query("k7_publish_new", "select event_id, user_id, event_type, value from events")
+@query("k7_publish_new", "select event_id, ts, user_id, event_type, value, props from events")
 def k7_publish_new(spark, d):
     target = scratch_dir(spark, "k7")
-    ev = table(spark, d, "events").select(*_EVENT_COLS, "ts")
+    ev = table(spark, d, "events").select(*_EVENT_COLS)
     first, second = _overlapping_parts(ev)
-    K.publish_new(first.drop("ts"), target, "event_id")
-    K.publish_new(second.drop("ts"), target, "event_id")
-    K.publish_new(second.drop("ts"), target, "event_id")  # a rerun adds nothing
+    K.publish_new(first, target, "event_id")
+    K.publish_new(second, target, "event_id")
+    K.publish_new(second, target, "event_id")  # a rerun adds nothing
     return spark.read.parquet(target).select(*_EVENT_COLS)
 
 
-@query("k7_publish_new_bucketed", "select event_id, user_id, event_type, value from events")
+@query("k7_publish_new_null_key", """
+select distinct case when event_id % 7 <> 0 then event_id end as key, 1 as n from events
+""")
+def k7_publish_new_null_key(spark, d):
+    # Keys with nulls: the null key is published once, like any other key.
+    target = scratch_dir(spark, "k7n")
+    key = F.when(F.col("event_id") % 7 != 0, F.col("event_id"))
+    ev = table(spark, d, "events").select(key.alias("key"), "value")
+    for _ in range(2):
+        K.publish_new(ev, target, "key")
+    return spark.read.parquet(target).groupBy("key").agg(F.count(F.lit(1)).alias("n"))
+
+
+@query("k7_publish_new_bucketed", "select event_id, ts, user_id, event_type, value, props from events")
 def k7_publish_new_bucketed(spark, d):
     # Same publishes into a target partitioned by key bucket, so small
     # batches read only the buckets they touch.
     target = scratch_dir(spark, "k7b")
-    ev = table(spark, d, "events").select(*_EVENT_COLS, "ts")
+    ev = table(spark, d, "events").select(*_EVENT_COLS)
     first, second = _overlapping_parts(ev)
     for part in (first, second, second):
-        K.publish_new(part.drop("ts"), target, "event_id", key_buckets=16)
+        K.publish_new(part, target, "event_id", key_buckets=16)
     return spark.read.parquet(target).select(*_EVENT_COLS)
 
 
 # ================================================================ streams
 
 @query("t1_stream_fan_out", """
-select s.sink, event_id, user_id, event_type, value from events, (values ('a'), ('b')) s(sink)
+select s.sink, event_id, ts, user_id, event_type, value, props from events, (values ('a'), ('b')) s(sink)
 """)
 def t1_stream_fan_out(spark, d):
     root = scratch_dir(spark, "t1")
@@ -800,14 +862,14 @@ def t1_stream_lines(spark, d):
                                                              F.col("value").alias("line"))))
 
 
-@query("t2_stream_publish_new", "select event_id, user_id, event_type, value from events")
+@query("t2_stream_publish_new", "select event_id, ts, user_id, event_type, value, props from events")
 def t2_stream_publish_new(spark, d):
     root = scratch_dir(spark, "t2")
-    ev = table(spark, d, "events").select(*_EVENT_COLS, "ts")
+    ev = table(spark, d, "events").select(*_EVENT_COLS)
     first, second = _overlapping_parts(ev)
     # Both parts land as files in one folder; one file per micro-batch.
-    K.write_append(first.drop("ts"), f"{root}/incoming")
-    K.write_append(second.drop("ts"), f"{root}/incoming")
+    K.write_append(first, f"{root}/incoming")
+    K.write_append(second, f"{root}/incoming")
     stream = T.table_stream(spark, f"{root}/incoming", "*.parquet", max_files_per_trigger=1)
     q = T.stream_publish_new(stream, f"{root}/target", "event_id", f"{root}/_checkpoint")
     q.awaitTermination()

@@ -9,6 +9,7 @@ folder (never under a machine-local temp directory on a cluster).
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
@@ -62,7 +63,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 
 
 def _is_local(spark: SparkSession) -> bool:
-    return spark.sparkContext.master.startswith("local")
+    return re.fullmatch(r"local(\[.*\])?", spark.sparkContext.master) is not None
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:

@@ -14,16 +14,33 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions.columns import default_if_empty
-from ..operators.joins import missing_work
+
+
+def _fs(spark: SparkSession, path: str):
+    """Hadoop's file system of ``path`` and the path in it."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark._jsc.hadoopConfiguration()), p
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    """True when ``path`` (file or folder) exists; Spark lists it eagerly."""
+    """True when ``path`` (file or folder) exists. Any other trouble raises."""
+    fs, p = _fs(spark, path)
+    return fs.exists(p)
+
+
+def _load(spark: SparkSession, path: str, fmt: str) -> DataFrame | None:
+    """The rows at ``path``; None when nothing has been written there yet.
+    A target that exists but can't be read raises."""
     try:
-        spark.read.format("text").load(path)
-        return True
-    except AnalysisException:
-        return False
+        return spark.read.format(fmt).load(path)
+    except AnalysisException as e:
+        if e.getCondition() == "PATH_NOT_FOUND":
+            return None
+        if e.getCondition() == "UNABLE_TO_INFER_SCHEMA":  # also raised for a folder without files
+            files = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(path)
+            if files.select("path").isEmpty():
+                return None
+        raise
 
 
 def is_complete(spark: SparkSession, path: str) -> bool:
@@ -85,26 +102,26 @@ class Sink:
 
 
 def write_all(df: DataFrame, sinks: Sequence[Sink]) -> None:
-    """Write ``df`` to every sink. The writes are independent jobs, so they
-    are submitted together (one driver thread each) and share the cluster;
-    the first failure is raised after all have finished."""
+    """Write ``df`` to every sink: the first one alone, so that a persisted
+    ``df`` is complete before anyone else reads it (two jobs started together
+    could both compute a block that neither has stored yet), then the others
+    together, one driver thread each. The first failure is raised after all
+    have finished."""
     def one(s: Sink) -> None:
         df.write.mode(s.mode).format(s.fmt).options(**s.options).save(s.path)
 
-    if len(sinks) <= 1:
-        for s in sinks:
-            one(s)
-        return
-    with ThreadPoolExecutor(max_workers=len(sinks)) as pool:
-        futures = [pool.submit(one, s) for s in sinks]
-    for f in futures:
-        f.result()
+    for s in sinks[:1]:
+        one(s)
+    if len(sinks) > 1:
+        with ThreadPoolExecutor(max_workers=len(sinks) - 1) as pool:
+            futures = [pool.submit(one, s) for s in sinks[1:]]
+        for f in futures:
+            f.result()
 
 
 def fan_out(df: DataFrame, sinks: Sequence[Sink]) -> None:
     """K6: the same rows to several sinks, computed once (persisted in
-    memory and disk; a lost block is recomputed from lineage) and written
-    concurrently."""
+    memory and disk; a lost block is recomputed from lineage)."""
     df = df.persist(StorageLevel.MEMORY_AND_DISK)
     try:
         write_all(df, sinks)
@@ -112,9 +129,6 @@ def fan_out(df: DataFrame, sinks: Sequence[Sink]) -> None:
         df.unpersist()
 
 
-# A publish batch with at most this many distinct keys (checked by a bounded
-# count) has its keys broadcast, so the target is scanned without a shuffle.
-BROADCAST_BATCH_KEYS = 1_000_000
 # Partition column of a target written with ``key_buckets``.
 KEY_BUCKET = "key_bucket"
 
@@ -128,19 +142,19 @@ def publish_new(df: DataFrame, target: str, keys: str | Sequence[str], fmt: str
     let two copies of a new key in). The existing row wins; nothing is
     updated. Plain files have no lock: one writer per target.
 
-    Finding the keys already published: a left anti join can only
-    broadcast its right side, which here is the ever-growing target, so a
-    small batch would shuffle every target key. Instead, when a bounded
-    count shows at most ``BROADCAST_BATCH_KEYS`` batch keys, those keys are
-    broadcast and the target is semi-joined against them in place (no
-    shuffle of the target); the anti join then runs against that handful.
-    Larger batches use the shuffled anti join (``missing_work``).
+    Null keys are keys: a row whose key is null is published once.
+
+    Finding the keys already published: a left anti join can only broadcast
+    its right side, which here is the ever-growing target. So the target's
+    keys are first semi-joined against the batch's keys, which Spark
+    broadcasts by itself when the persisted batch is small (the target is
+    then scanned in place, without a shuffle); the anti join runs against
+    the hits, never more rows than the batch has keys after de-duplication.
 
-    ``key_buckets``: partition the target by ``pmod(xxhash64(keys), n)``.
-    A small batch then reads only the target partitions of the buckets it
-    touches (at most ``n`` bucket ids, listed first), so an incremental
-    publish reads a fraction of the target instead of all of it. Use the
-    same value for every publish to one target.
+    ``key_buckets``: partition the target by ``pmod(xxhash64(keys), n)``, so a
+    small batch reads only the buckets it touches (at most ``n`` ids, listed
+    first). ``n`` is recorded with the target (``_key_buckets_<n>``); another
+    number, or none, raises.
 
     ``exclude_from_target`` (a SQL predicate on the target, e.g. its own
     ``batch_id``) leaves out rows a retried stream batch wrote before it
@@ -148,10 +162,8 @@ def publish_new(df: DataFrame, target: str, keys: str | Sequence[str], fmt: str
     """
     ks = [keys] if isinstance(keys, str) else list(keys)
     spark = df.sparkSession
-    try:  # one listing: a missing (or still empty) target has no keys yet
-        existing = spark.read.format(fmt).load(target)
-    except AnalysisException:
-        existing = None
+    _check_buckets(spark, target, key_buckets)
+    existing = _load(spark, target, fmt)
     fresh = df.dropDuplicates(ks)
     if key_buckets:
         fresh = fresh.withColumn(KEY_BUCKET, F.pmod(F.xxhash64(*ks), F.lit(key_buckets)).cast("int"))
@@ -170,16 +182,33 @@ def publish_new(df: DataFrame, target: str, keys: str | Sequence[str], fmt: str
         existing = existing.filter(f"NOT ({exclude_from_target})")
     fresh = fresh.persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        small = fresh.limit(BROADCAST_BATCH_KEYS + 1).count() <= BROADCAST_BATCH_KEYS
-        if small:
-            if key_buckets:
-                touched = [r[0] for r in fresh.select(KEY_BUCKET).distinct().collect()]
-                existing = existing.filter(F.col(KEY_BUCKET).isin(touched))
-            batch_keys = F.broadcast(fresh.select(*ks).dropna())
-            published = existing.select(*ks).join(batch_keys, on=ks, how="left_semi")
-            out = fresh.join(published, on=ks, how="left_anti")
-        else:
-            out = missing_work(fresh, existing, ks)
-        write(out)
+        if key_buckets:
+            touched = [r[0] for r in fresh.select(KEY_BUCKET).distinct().collect()]
+            existing = existing.filter(F.col(KEY_BUCKET).isin(touched))
+        batch_keys = fresh.select(*[F.col(k).alias(f"__qm_b_{k}") for k in ks])
+        found = existing.select(*[F.col(k).alias(f"__qm_t_{k}") for k in ks])
+        published = found.join(batch_keys, _same(ks, "__qm_t_", "__qm_b_"), "left_semi").dropDuplicates()
+        write(fresh.join(published, _same(ks, "", "__qm_t_"), "left_anti"))
     finally:
         fresh.unpersist()
+
+
+def _same(keys: Sequence[str], left: str, right: str):
+    """Null-safe equality of two sets of key columns."""
+    out = F.lit(True)
+    for k in keys:
+        out = out & F.col(f"{left}{k}").eqNullSafe(F.col(f"{right}{k}"))
+    return out
+
+
+def _check_buckets(spark: SparkSession, target: str, key_buckets: int | None) -> None:
+    """The number of key buckets a target was made with must not change."""
+    fs, root = _fs(spark, target)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    found = fs.globStatus(path(root, "_key_buckets_*")) or []
+    made_with = [int(f.getPath().getName().rsplit("_", 1)[1]) for f in found]
+    if key_buckets and not made_with and not path_exists(spark, target):
+        fs.mkdirs(root)
+        fs.create(path(root, f"_key_buckets_{key_buckets}"), True).close()
+    elif made_with != ([key_buckets] if key_buckets else []):
+        raise ValueError(f"{target} has key buckets {made_with or None}, not {key_buckets}")

@@ -61,11 +61,14 @@ def line_scan(spark: SparkSession, path: str, sep: str, names: Sequence[str]) ->
     return split_lines(spark.read.text(path), "value", sep, names).drop("value")
 
 
-def layout_scan(spark: SparkSession, root: str, **partition_values) -> DataFrame:
+def layout_scan(spark: SparkSession, root: str, schema: StructType | str | None = None,
+                **partition_values) -> DataFrame:
     """Read a ``key=value`` partitioned layout, keeping only the given
     partition values. The filter is on partition columns, so Spark prunes
-    whole folders before listing files (``PartitionFilters`` in the plan)."""
-    df = spark.read.parquet(root)
+    whole folders before listing files (``PartitionFilters`` in the plan).
+    Give a ``schema`` to fix the types of the partition values; without one
+    Spark guesses them, and a folder ``arch=001`` reads back as the number 1."""
+    df = spark.read.schema(schema).parquet(root) if schema is not None else spark.read.parquet(root)
     for k, v in partition_values.items():
         df = df.filter(F.col(k).isin(list(v)) if isinstance(v, (list, tuple, set)) else F.col(k) == v)
     return df

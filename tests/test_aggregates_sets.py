@@ -127,3 +127,29 @@ def test_expand_matrix_web_build_runs(spark):
     by_flavour = {r.flavour: r["count"] for r in runs.groupBy("flavour").count().collect()}
     assert by_flavour == {"classical": 9}
     assert runs.filter("target = 'editor'").count() == 1
+
+
+def test_null_groups_keep_their_rows(spark):
+    df = spark.createDataFrame([("a", "x"), (None, "z"), (None, "y"), ("b", None)], "g string, m string")
+    got = {(r.g, r.position, r.m) for r in A.bundle_members(df, "g", "m").collect()}
+    assert got == {("a", 1, "x"), (None, 1, "y"), (None, 2, "z"), ("b", 1, None)}
+
+
+def test_ordinal_evaluates_its_input_once(spark):
+    seen = spark.sparkContext.accumulator(0)
+    def count(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+    df = spark.range(500).mapInArrow(count, "id long")
+    assert A.ordinal(df, ["id"]).count() == 500
+    assert seen.value == 500
+
+
+def test_resolve_layers_same_answer_for_every_type(spark):
+    rows_ = [("k", 0, 1, "10"), ("k", 0, None, "20"), ("z", 1, None, "40"), ("z", 0, 5, "50")]
+    df = spark.createDataFrame(rows_, "k string, layer int, seq int, v string")
+    text = {r.k: r.value for r in A.resolve_layers(df, "k", "layer", "seq", "v").collect()}
+    ints = {r.k: r.value for r in A.resolve_layers(df.withColumn("v", F.col("v").cast("int")),
+                                                   "k", "layer", "seq", "v").collect()}
+    assert text == {"k": "10", "z": "40"} and ints == {"k": 10, "z": 40}

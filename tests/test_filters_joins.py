@@ -127,15 +127,13 @@ def test_completeness_fixture(spark):
     assert J.missing_members(req, have, "grp", "member").count() == 5
 
 
-STRATEGIES = ["checkpoint", "bucketed"]
 
 
-@pytest.mark.parametrize("strategy", STRATEGIES)
-def test_closure_base_images_fixture(spark, strategy):
+def test_closure_base_images_fixture(spark):
     edges = spark.createDataFrame([("linux", "fedora"), ("windows", "fedora"), ("web", "fedora"),
                                    ("android", "fedora"), ("xcode", "fedora"), ("osx", "fedora"),
                                    ("ios", "osx")], "node string, parent string")
-    cl = CL.dependency_closure(edges, strategy=strategy)
+    cl = CL.dependency_closure(edges)
     got = {(r.node, r.ancestor): r.depth for r in cl.collect()}
     assert len(got) == 8 and got[("ios", "fedora")] == 2
     assert all(n != a for n, a in got)  # no (x, x) on acyclic input
@@ -152,42 +150,57 @@ def test_closure_direct_dependency_list(spark):
     assert got == {("osx", "xcode"): 1, ("ios", "osx"): 1, ("ios", "xcode"): 1}
 
 
-@pytest.mark.parametrize("strategy", STRATEGIES)
-def test_closure_stops_on_cycle(spark, strategy):
+def test_closure_stops_on_cycle(spark):
     edges = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "a")], "node string, parent string")
-    got = {(r.node, r.ancestor): r.depth for r in CL.dependency_closure(edges, strategy=strategy).collect()}
+    got = {(r.node, r.ancestor): r.depth for r in CL.dependency_closure(edges).collect()}
     assert len(got) == 9 and got[("a", "a")] == 3 and got[("a", "c")] == 2
 
 
-@pytest.mark.parametrize("strategy", STRATEGIES)
-def test_closure_shortest_depth_on_dag(spark, strategy):
+def test_closure_shortest_depth_on_dag(spark):
     edges = spark.createDataFrame([("d", "c"), ("c", "b"), ("b", "a"), ("d", "a")], "node string, parent string")
-    got = {(r.node, r.ancestor): r.depth for r in CL.dependency_closure(edges, strategy=strategy).collect()}
+    got = {(r.node, r.ancestor): r.depth for r in CL.dependency_closure(edges).collect()}
     assert got[("d", "a")] == 1 and len(got) == 6
 
 
-def test_closure_strategies_agree_on_part_tree(spark):
+def test_closure_of_the_part_tree(spark):
     from conftest import SF01
     part = spark.read.parquet(f"{SF01}/part.parquet")
     edges = (part.select(F.col("p_partkey").alias("node"), F.expr("p_partkey div 2").alias("parent"))
                  .filter(F.col("node") != F.col("parent")))
-    a = CL.dependency_closure(edges, strategy="checkpoint")
-    b = CL.dependency_closure(edges, strategy="bucketed", buckets=4)
-    c = CL.dependency_closure(edges)  # auto: small input, checkpointed rounds
-    assert a.count() == b.count() == 19953
-    assert a.exceptAll(b).count() == 0 and c.exceptAll(a).count() == 0
-    assert a.agg(F.max("depth")).first()[0] == 11
+    a = CL.dependency_closure(edges)
+    assert a.count() == 19953 and a.agg(F.max("depth")).first()[0] == 11
+
+
+def test_closure_of_a_long_chain_doubles(spark):
+    n = 400
+    found = CL.dependency_closure(spark.range(n).selectExpr("id as node", "id + 1 as parent"))
+    assert found.count() == n * (n + 1) // 2
+    assert found.filter("depth <> ancestor - node").count() == 0
+
+
+def test_nearest_ancestor_keeps_repeated_rows(spark):
+    paths = spark.createDataFrame([(1, "/a/b"), (1, "/a/b"), (2, "x")], "id int, path string")
+    anchors = spark.createDataFrame([("/a",)], "anchor string")
+    got = sorted((r.id, r.anchor) for r in J.nearest_ancestor(paths, anchors, "id", "path").collect()
+                 if r.anchor)
+    assert got == [(1, "/a"), (1, "/a")]
+
+
+def test_pair_merge_keeps_small_measures(spark):
+    df = spark.createDataFrame([("k", "a", 1, 0.004), ("k", "a", 2, 0.004), ("k", "b", 3, 0.001)],
+                               "k string, v string, m int, x double")
+    r = J.pair_merge(df, "k", "v", "a", "b", member="m", measure="x").first()
+    assert (r.x_a, r.x_b) == (0.008, 0.001)
+
 
 
-def test_closure_hot_ancestor_is_salted_and_exact(spark):
+def test_closure_hot_ancestor_is_exact(spark):
     # Node 0 is the parent of 2000 nodes (a hub) and has a parent itself;
     # 100 more nodes hang below the hub's children, so the hub is hot in two rounds.
     star = [(i, 0) for i in range(1, 2001)] + [(0, -1)] + [(2000 + i, i) for i in range(1, 101)]
     edges = spark.createDataFrame(star, "node long, parent long")
-    hot = CL.dependency_closure(edges, strategy="bucketed", hot_key_rows=50)
-    ref = CL.dependency_closure(edges, strategy="checkpoint")
-    assert hot.count() == ref.count() == 2000 * 2 + 1 + 100 * 3
-    assert hot.exceptAll(ref).count() == 0
+    hot = CL.dependency_closure(edges)
+    assert hot.count() == 2000 * 2 + 1 + 100 * 3
     assert {r.depth for r in hot.filter("node = 2001").collect()} == {1, 2, 3}
 
 

@@ -110,7 +110,7 @@ def test_nearest_ancestor_matches_brute_force(spark, paths, anchors):
 @given(st.lists(st.tuples(st.integers(0, 7), st.integers(0, 7)), min_size=1, max_size=20))
 def test_closure_matches_bfs(spark, edges):
     df = spark.createDataFrame(edges, "node int, parent int")
-    got = {(r.node, r.ancestor): r.depth for r in CL.dependency_closure(df, strategy="checkpoint").collect()}
+    got = {(r.node, r.ancestor): r.depth for r in CL.dependency_closure(df).collect()}
     adj = {}
     for n, p in set(edges):
         adj.setdefault(n, set()).add(p)

@@ -7,6 +7,7 @@ import tempfile
 
 from pyspark.sql import functions as F
 
+import pytest
 from conftest import SF01, rows
 from quartermaster.sinks import writers as K
 from quartermaster.sources import files as SRC
@@ -174,8 +175,7 @@ def test_release_manifest_over_files(spark, scratch):
     assert [r.name for r in manifest.collect()] == names  # byte order
 
 
-def test_publish_new_large_batch_path(spark, scratch, monkeypatch):
-    monkeypatch.setattr(K, "BROADCAST_BATCH_KEYS", 1)  # every batch counts as large
+def test_publish_new_keeps_the_existing_row(spark, scratch):
     target = scratch("k7-large")
     K.publish_new(spark.createDataFrame([(1, "a"), (2, "b")], "k int, v string"), target, "k")
     K.publish_new(spark.createDataFrame([(2, "x"), (3, "c"), (3, "c")], "k int, v string"), target, "k")
@@ -226,3 +226,35 @@ def test_stream_publish_new_with_key_buckets(spark, scratch):
                              f"{root}/ck", key_buckets=8)
     q.awaitTermination()
     assert rows(spark.read.parquet(target).select("id")) == rows(spark.range(30))
+
+
+def test_publish_new_null_keys_once(spark, scratch):
+    target = scratch("k7-null")
+    batch = spark.createDataFrame([(1, "a"), (None, "n"), (None, "m")], "k int, v string")
+    for _ in range(3):
+        K.publish_new(batch, target, "k")
+    assert sorted(str(r.k) for r in spark.read.parquet(target).collect()) == ["1", "None"]
+
+
+def test_publish_new_refuses_another_bucket_count(spark, scratch):
+    target = scratch("k7-n")
+    K.publish_new(spark.range(100), target, "id", key_buckets=16)
+    for n in (32, None):
+        with pytest.raises(ValueError, match="key buckets"):
+            K.publish_new(spark.range(100), target, "id", key_buckets=n)
+    K.publish_new(spark.range(102), target, "id", key_buckets=16)
+    assert spark.read.parquet(target).count() == 102
+
+
+def test_publish_new_raises_on_an_unreadable_target(spark, scratch):
+    target = scratch("k7-bad")
+    spark.range(3).selectExpr("cast(id as string) s").write.text(target)
+    with pytest.raises(Exception):
+        K.publish_new(spark.range(3), target, "id")
+
+
+def test_layout_scan_keeps_partition_values(spark, scratch):
+    root = scratch("s4-schema")
+    df = spark.createDataFrame([(1, "001"), (2, "010")], "id int, arch string")
+    K.layout_write(df, root, ["arch"])
+    assert rows(SRC.layout_scan(spark, root, schema=df.schema, arch="001")) == [(1, "001")]
