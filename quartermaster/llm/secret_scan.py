@@ -17,9 +17,10 @@ operations and Spark ML only, no Python in the tasks).
 4. Every candidate of every document is scored.
 
 Defined results: null and empty texts have no candidate; repeated rows are
-each reported; with fewer than two labels nothing can be learned and the
-score is the only label's (0 without any); no token leaves the operator in
-clear, only its SHA-256.
+each reported; very long texts cost in proportion to their length; with
+fewer than two labels nothing can be learned and the score is the only
+label's (0 without any); no token leaves the operator in clear, only its
+SHA-256.
 """
 
 from __future__ import annotations
@@ -27,7 +28,7 @@ from __future__ import annotations
 from pyspark.ml.classification import RandomForestClassifier
 from pyspark.ml.feature import VectorAssembler
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import Scratch, lower_ascii
@@ -51,18 +52,20 @@ def candidates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """``(doc_id, path, start, token, before, after)``: every candidate with
     its character offset and up to ``CONTEXT`` characters on each side."""
     parts = docs.select(
-        F.col(doc_id).alias("doc_id"),
+        F.monotonically_increasing_id().alias("doc_row"), F.col(doc_id).alias("doc_id"),
         (F.col(path).cast("string") if path else F.lit("")).alias("path"),
         F.regexp_extract_all(F.col(text), F.lit(TOKEN), F.lit(0)).alias("tokens"),
         F.split(F.col(text), TOKEN, -1).alias("gaps")).where(F.size("tokens") > 0)
-    rows = parts.select("doc_id", "path", "tokens", "gaps", F.posexplode("tokens").alias("at", "token"))
-    # Start of token k: the k + 1 gaps and k tokens in front of it.
-    length = lambda xs: F.aggregate(xs, F.lit(0), lambda s, x: s + F.length(x))
-    start = length(F.slice("gaps", F.lit(1), F.col("at") + 1)) + length(F.slice("tokens", F.lit(1), F.col("at")))
-    return rows.select(
-        "doc_id", "path", start.cast("long").alias("start"), "token",
-        F.right(F.get("gaps", F.col("at")), F.lit(CONTEXT)).alias("before"),
-        F.left(F.get("gaps", F.col("at") + 1), F.lit(CONTEXT)).alias("after"))
+    # A candidate leaves with its context alone, never with its document.
+    near = F.transform("tokens", lambda token, k: F.struct(
+        token.alias("token"), F.right(F.get("gaps", k), F.lit(CONTEXT)).alias("before"),
+        F.left(F.get("gaps", k + 1), F.lit(CONTEXT)).alias("after"), F.length(F.get("gaps", k)).alias("gap")))
+    rows = parts.select("doc_row", "doc_id", "path", F.posexplode(near).alias("at", "x"))
+    # Start of a token: the gaps and tokens up to it, itself left out.
+    so_far = F.sum(F.col("x.gap").cast("long") + F.length("x.token")).over(
+        Window.partitionBy("doc_row").orderBy("at"))
+    return rows.select("doc_id", "path", (so_far - F.length("x.token")).alias("start"),
+                       "x.token", "x.before", "x.after")
 
 
 def dictionary(docs: DataFrame, text: str = "text", size: int = DICTIONARY) -> list[str]:

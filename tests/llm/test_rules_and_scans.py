@@ -153,6 +153,16 @@ def test_secret_scan_edge_cases(make_docs, clashes):
     assert secret_scan.scan(make_docs([])).count() == 0
 
 
+def test_secret_candidates_of_a_text_full_of_them(make_docs):
+    tokens = [f"candidate{i:06d}" for i in range(20_000)]
+    text = "é" + " é ".join(tokens)
+    rows = secret_scan.candidates(make_docs([(1, text, "en", "a"), (1, text, "en", "a")])).collect()
+    assert len(rows) == 2 * len(tokens)
+    for r in rows:
+        assert text[r["start"]:r["start"] + 15] == r["token"]
+        assert r["before"] == ("é" if r["start"] == 1 else " é ") and r["after"] in (" é ", "")
+
+
 # --------------------------------------------------------------------- WARC
 
 def test_fixity_audit_locates_every_difference(spark):
