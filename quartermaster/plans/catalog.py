@@ -184,10 +184,12 @@ def j5_orphan_rows(spark, d):
 
 @query("j5_drop_orphans", """
 select doc_id, quality, toxic from labels l
-where exists (select 1 from documents d where d.doc_id = l.doc_id)
+where exists (select 1 from documents d where d.doc_id = l.doc_id and d.lang = 'en')
 """)
 def j5_drop_orphans(spark, d):
-    return J.drop_orphans(table(spark, d, "labels"), table(spark, d, "documents"), "doc_id")
+    # Labels of other languages have no parent here and go.
+    english = table(spark, d, "documents").filter(F.col("lang") == "en")
+    return J.drop_orphans(table(spark, d, "labels"), english, "doc_id")
 
 
 def _page_paths(spark, d):
@@ -363,6 +365,16 @@ def h1_digest_sha512(spark, d):
     return manifest.join(least, "digest").select("name", F.length("digest").alias("digest_length"), "least_same")
 
 
+@query("h1_digest_named", """
+select sha256(html) as digest, split_part(url, '/', -1) as name from pages
+where split_part(url, '/', -1) glob '[1-3]*'
+""")
+def h1_digest_named(spark, d):
+    # Only members whose name matches the glob are digested.
+    pages = table(spark, d, "pages").select(C.base_name("url").alias("name"), "html")
+    return C.digest_manifest(pages, "name", "html", 256, name_glob="[1-3]*")
+
+
 # ================================================================ set ops
 
 @query("u1_union_sets", """
@@ -447,10 +459,10 @@ def p2_split_ref(spark, d):
 
 
 @query("f1_filter_contains_refs", _REFS + """
-select p_partkey, ref from r where contains(ref, 'game') and not contains(ref, '/')
+select p_partkey, ref from r where contains(ref, ':') and not contains(ref, 'extra')
 """)
 def f1_filter_contains_refs(spark, d):
-    return FL.filter_contains(_refs(spark, d), "ref", "game", "/")
+    return FL.filter_contains(_refs(spark, d), "ref", ":", "extra")
 
 
 @query("s3_split_lines", """
@@ -610,21 +622,26 @@ def f3_allow_list(spark, d):
 
 @query("f3_allow_list_table", """
 select event_id, event_type from events
-where event_type in (select event_type from events where value >= 99)
+where event_type in (select event_type from events where value >= 99 and event_type <> 'view')
 """)
 def f3_allow_list_table(spark, d):
     ev = table(spark, d, "events")
-    allowed = ev.filter(F.col("value") >= 99).select("event_type")
+    allowed = ev.filter((F.col("value") >= 99) & (F.col("event_type") != "view")).select("event_type")
     return FL.allow_list(ev.select("event_id", "event_type"), "event_type", allowed) \
              .select("event_id", "event_type")
 
 
 @query("f4_all_present", """
 select doc_id from documents
-where coalesce(text, '') <> '' and coalesce(lang, '') <> '' and coalesce(source, '') <> ''
+where coalesce(text, '') <> '' and coalesce(case when lang = 'en' then '' else lang end, '') <> ''
+  and coalesce(nullif(source, 'src0'), '') <> ''
 """)
 def f4_all_present(spark, d):
-    return FL.all_present(table(spark, d, "documents"), ["text", "lang", "source"]).select("doc_id")
+    # One field is made empty for some rows, another null for others.
+    docs = table(spark, d, "documents").withColumns({
+        "lang": F.when(F.col("lang") == "en", "").otherwise(F.col("lang")),
+        "source": F.nullif("source", F.lit("src0"))})
+    return FL.all_present(docs, ["text", "lang", "source"]).select("doc_id")
 
 
 @query("f5_exclude_prefixes", """
@@ -636,12 +653,12 @@ def f5_exclude_prefixes(spark, d):
     return FL.exclude_prefixes(pages, "name", ["1", "2"])
 
 
-@query("f6_split_valid", """
+@query("f6_validity_counts", """
 select case when coalesce(event_type in ('signup','view','click','purchase'), false)
             then 'good' else 'reject' end as verdict, count(*) as n
 from events group by 1
 """)
-def f6_split_valid(spark, d):
+def f6_validity_counts(spark, d):
     ev = table(spark, d, "events")
     return FL.validity_counts(ev, P.is_allowed("event_type", ALLOWED_EVENTS))
 
@@ -678,11 +695,11 @@ def s1_file_inventory(spark, d):
     return inv.groupBy(lang).agg(F.sum("length").alias("bytes"))
 
 
-@query("s1_page_inventory", """
+@query("p4_page_inventory", """
 select page_id, split_part(url, '/', -1) as name, cast(strlen(html) as bigint) as size from pages
 where split_part(url, '/', -1) not in ('index.html', '0')
 """)
-def s1_page_inventory(spark, d):
+def p4_page_inventory(spark, d):
     pages = table(spark, d, "pages")
     inv = pages.select("page_id", C.base_name("url").alias("name"),
                        F.octet_length("html").cast("long").alias("size"))
@@ -722,6 +739,20 @@ def s4_layout_scan(spark, d):
     return SRC.layout_scan(spark, root, schema=orders.schema, o_orderstatus=["F", "O"], year=[1996, 1997])
 
 
+@query("k4_layout_fill", """
+select *, case when event_type in ('view', 'click') or coalesce(event_type, '') = '' then 'any'
+               else event_type end as kind
+from events
+""")
+def k4_layout_fill(spark, d):
+    # Rows without a level (null or empty) go to the folder "any".
+    root = scratch_dir(spark, "layout-fill")
+    kind = F.when(F.col("event_type") == "click", "").when(F.col("event_type") != "view", F.col("event_type"))
+    ev = table(spark, d, "events").withColumn("kind", kind)
+    K.layout_write(ev, root, ["kind"], fill={"kind": "any"})
+    return SRC.layout_scan(spark, root, schema=ev.schema)
+
+
 # ================================================================ sinks
 
 _DOC_COLS = ["doc_id", "text", "lang", "source", "n_chars"]

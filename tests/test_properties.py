@@ -248,10 +248,8 @@ def test_resolve_layers_fixed_width_matches_last_wins(spark, settings_rows):
 @SETTINGS
 @given(st.lists(st.one_of(st.none(), st.integers(0, 15)), min_size=1, max_size=20),
        st.lists(st.integers(0, 15), max_size=30))
-def test_missing_work_both_plans_match_sets(spark, required, present):
+def test_missing_work_matches_sets(spark, required, present):
     req = spark.createDataFrame([(k, i) for i, k in enumerate(required)], "k int, row int")
     have = spark.createDataFrame([(k,) for k in present] or [(99,)], "k int")
     want = sorted(i for i, k in enumerate(required) if k is None or k not in set(present or [99]))
-    for small in (False, True):
-        got = sorted(r.row for r in J.missing_work(req, have, "k", required_small=small).collect())
-        assert got == want
+    assert sorted(r.row for r in J.missing_work(req, have, "k").collect()) == want
