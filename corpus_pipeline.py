@@ -49,9 +49,17 @@ def decontaminate_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The mix: documents taken at least once, with the number of copies."""
+    """The mix: documents taken at least once, with the number of copies. A
+    column of the mix whose name the documents have already is called
+    ``mix_<name>``."""
+    taken = {c.lower() for c in docs.columns}
+    names = {}
+    for c in ("size", "source_size", "target", "copies", "taken"):
+        names[c] = c
+        while names[c].lower() in taken:
+            names[c] = f"mix_{names[c]}"
     return (mixing.mix(docs).where("copies > 0")
-            .select("row.*", "size", "source_size", "target", "copies", "taken"))
+            .select("row.*", *[F.col(c).alias(n) for c, n in names.items()]))
 
 
 STAGES = [

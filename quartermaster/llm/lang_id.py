@@ -26,6 +26,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
 from .common import Scratch, pack
 
@@ -169,8 +170,8 @@ def predict(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:
                 [batch.column(0), pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
                 names=["row", "lang_pred", "score"])
 
-    row_type = rows.schema["row"].dataType.simpleString()
-    return rows.mapInArrow(run, f"row {row_type}, lang_pred string, score double")
+    return rows.mapInArrow(run, StructType([rows.schema["row"], StructField("lang_pred", StringType()),
+                                            StructField("score", DoubleType())]))
 
 
 def identify(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id",
