@@ -7,9 +7,15 @@ at which any of its n-grams is known down to single characters.
 Training runs on Spark: every task counts the words and n-grams of its
 documents and Spark adds the counts up. It reads a sample bounded per
 language (``max_docs``, chosen by a hash of the row, so it does not depend
-on the layout), and keeps the most frequent entries, at most ``max_entries``
-in all; that bound is what makes the model fit a broadcast. Prediction reads
-every whole text and never looks at ``lang``, ``source`` or ``doc_id``.
+on the layout), and keeps every language and every word and n-gram counted
+twice or more in a written table. Prediction reads every whole text and never
+looks at ``lang``, ``source`` or ``doc_id``.
+
+A model of at most ``max_entries`` numbers (tokens times languages) is
+broadcast whole. Of a larger one the most frequent words are, and the tasks
+score those. All other words leave as (document, word, count) for a join with
+the table; each distinct one is looked up, or taken apart into n-grams, once.
+``max_entries`` decides what is broadcast, not what is predicted.
 
 Defined results: null text or text without a letter gives ``und`` with score
 0; an empty training set gives ``und`` for everything; ties go to the first
@@ -24,6 +30,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
@@ -32,8 +39,8 @@ from .common import Scratch, pack
 
 UNKNOWN = "und"
 MAX_DOCS = 10_000
-MAX_LANGS = 200
 MAX_ENTRIES = 400_000
+SCALE = 1 << 28  # joined log ratios are added as whole numbers, in any order
 NGRAMS = (5, 4, 3, 2, 1)
 LETTERS = re.compile(r"[^\W\d_]+")
 
@@ -51,67 +58,77 @@ def _grams(word: str, n: int) -> list[str]:
 
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        per_lang: dict[str, Counter] = {}
-        for lang, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-            per_lang.setdefault(lang, Counter()).update(LETTERS.findall(text.lower()))
-        out: list[tuple[str, int, str, int]] = []
-        for lang, words in per_lang.items():
-            out += [(lang, 0, w, c) for w, c in words.items()]
+        per_lang: dict[int, Counter] = {}
+        for at, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            per_lang.setdefault(at, Counter()).update(LETTERS.findall(text.lower()))
+        out: list[tuple[int, int, str, int]] = []
+        for at, words in per_lang.items():
+            out += [(at, 0, w, c) for w, c in words.items()]
             for n in NGRAMS:
                 grams: Counter = Counter()
                 for w, c in words.items():
                     for g in _grams(w, n):
                         grams[g] += c
-                out += [(lang, n, g, c) for g, c in grams.items()]
+                out += [(at, n, g, c) for g, c in grams.items()]
         cols = list(zip(*out)) or [(), (), (), ()]
         yield pa.RecordBatch.from_arrays(
-            [pa.array(cols[0], pa.string()), pa.array(cols[1], pa.int32()),
+            [pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.int32()),
              pa.array(cols[2], pa.string()), pa.array(cols[3], pa.int64())],
-            names=["lang", "n", "token", "count"])
+            names=["at", "n", "token", "count"])
 
 
 def train(docs: DataFrame, text: str = "text", lang: str = "lang", max_docs: int = MAX_DOCS,
-          max_langs: int = MAX_LANGS, max_entries: int = MAX_ENTRIES) -> dict:
-    """The model: languages, per n (0: words) the row of each token, and the
-    log probabilities of each row.
+          max_entries: int = MAX_ENTRIES) -> dict:
+    """The model: languages, per n (0: words) the row of each broadcast token,
+    the log probabilities of each row, and for a model that is not broadcast
+    whole the ``table`` of all tokens and the log probabilities ``floor`` of a
+    token that a language lacks, per n.
 
     ``docs`` holds the rows that may be learned from. ``max_docs`` bounds the
-    sample per language, ``max_langs`` and ``max_entries`` the model."""
+    sample per language, ``max_entries`` the broadcast part of the model."""
+    spark = docs.sparkSession
     rows = docs.select(F.col(lang).alias("lang"), F.col(text).alias("text"),
                        F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]),
                               F.lit(1 << 20)).alias("draw")).where("lang is not null and text is not null")
-    sizes = (rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n"))
-             .orderBy(F.desc("n"), "lang").limit(max_langs).collect())
-    langs = sorted(r["lang"] for r in sizes)
+    sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
+    langs = sorted(sizes)
     if not langs:
-        return {"langs": [], "tokens": {}, "logs": None}
-    limit = F.create_map(*[F.lit(x) for r in sizes
-                           for x in (r["lang"], int((1 << 20) * min(1.0, max_docs / r["n"])))])
-    sample = rows.where(F.col("draw") < F.coalesce(limit[F.col("lang")], F.lit(0))).select("lang", "text")
-    counts = (sample.mapInArrow(_count, "lang string, n int, token string, count long")
-              .groupBy("n", "token", "lang").agg(F.sum("count").alias("count")))
+        return {"langs": [], "tokens": {}, "logs": None, "table": None}
+    known = spark.createDataFrame([(x, i, int((1 << 20) * min(1.0, max_docs / sizes[x])))
+                                   for i, x in enumerate(langs)], "known string, at int, below long")
+    sample = (rows.join(F.broadcast(known), F.col("lang") == F.col("known"))
+              .where(F.col("draw") < F.col("below")).select("at", "text"))
+    counts = (sample.mapInArrow(_count, "at int, n int, token string, count long")
+              .groupBy("n", "token", "at").agg(F.sum("count").alias("count")))
     per_token = (counts.groupBy("n", "token")
                  .agg(F.sum("count").alias("total"),
-                      F.collect_list(F.struct("lang", "count")).alias("by_lang"))
+                      F.collect_list(F.struct("at", "count")).alias("by_lang"))
                  .where("total >= 2"))
-    per_token = Scratch(docs.sparkSession, "lang-id").result(per_token)
-    of_lang = {x: i for i, x in enumerate(langs)}
-    tokens: dict[int, dict[str, int]] = {n: {} for n in (0, *NGRAMS)}
-    freqs = []
-    room = max(1, max_entries // (2 * len(langs)))
-    for kind in ("n = 0", "n > 0"):  # half of the room for words, half for n-grams
-        best = per_token.where(kind).orderBy(F.desc("total"), "n", "token").limit(room)
-        for r in best.toLocalIterator():
-            tokens[r["n"]][r["token"]] = len(freqs)
-            freqs.append([0.0] * len(langs))
-            for x in r["by_lang"]:
-                freqs[-1][of_lang[x["lang"]]] = x["count"]
-    logs = np.array(freqs, np.float64).reshape(-1, len(langs))
-    for table in tokens.values():
-        at = list(table.values())
-        if at:
-            logs[at] = np.log((logs[at] + 0.1) / (logs[at].sum(axis=0) + 0.1 * len(at) + 1))
-    return {"langs": langs, "tokens": tokens, "logs": logs}
+    per_token = Scratch(spark, "lang-id").result(per_token)
+    kinds = {n: k for k, n in enumerate((0, *NGRAMS))}
+    sums = np.zeros((len(kinds), len(langs)))
+    n_tokens = np.zeros((len(kinds), 1))
+    for r in per_token.groupBy("n").agg(F.count(F.lit(1)).alias("tokens")).collect():
+        n_tokens[kinds[r["n"]]] = r["tokens"]
+    for r in (per_token.select("n", F.inline("by_lang")).groupBy("n", "at")
+              .agg(F.sum("count").alias("count")).collect()):
+        sums[kinds[r["n"]], r["at"]] = r["count"]
+    floor = np.log(0.1 / (sums + 0.1 * n_tokens + 1))
+    room = max(1, max_entries // len(langs))
+    whole = n_tokens.sum() <= room
+    tokens: dict[int, dict[str, int]] = {n: {} for n in kinds}
+    freqs, of = [], []
+    shared = per_token if whole else per_token.where("n = 0").orderBy(F.desc("total"), "token").limit(room)
+    for r in shared.toLocalIterator():
+        tokens[r["n"]][r["token"]] = len(freqs)
+        of.append(kinds[r["n"]])
+        freqs.append([0.0] * len(langs))
+        for x in r["by_lang"]:
+            freqs[-1][x["at"]] = x["count"]
+    freqs = np.array(freqs, np.float64).reshape(-1, len(langs))
+    logs = np.log((freqs + 0.1) / 0.1) + floor[np.array(of, np.int64)]
+    return {"langs": langs, "tokens": tokens, "logs": logs, "floor": floor,
+            "table": None if whole else per_token}
 
 
 def evidence(word: str, tokens: dict) -> list[int]:
@@ -150,9 +167,17 @@ def posterior(text: str, model: dict) -> np.ndarray | None:
     return p / p.sum()
 
 
+def _name(p: np.ndarray | None, langs: list[str]) -> tuple[str, float]:
+    """Language and probability of a posterior."""
+    best = None if p is None else int(p.argmax())
+    return (UNKNOWN, 0.0) if best is None else (langs[best], float(p[best]))
+
+
 def predict(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:
     """``(row, lang_pred, score)``: the input row as a struct, the predicted
-    language and its probability. No shuffle."""
+    language and its probability. No shuffle if the model is broadcast whole."""
+    if model["table"] is not None:
+        return _predict_joined(docs, model, text)
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model)
     rows = docs.select(pack(docs).alias("row"), F.col(text).alias("text"))
@@ -160,20 +185,147 @@ def predict(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         for batch in batches:
-            langs, scores = [], []
-            for t in batch.column(1).to_pylist():
-                p = posterior(t, model) if t and model["langs"] else None
-                best = None if p is None else int(p.argmax())
-                langs.append(UNKNOWN if best is None else model["langs"][best])
-                scores.append(0.0 if best is None else float(p[best]))
+            named = [_name(posterior(t, model) if t and model["langs"] else None, model["langs"])
+                     for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array(langs, pa.string()), pa.array(scores, pa.float64())],
+                [batch.column(0), pa.array([x for x, _ in named], pa.string()),
+                 pa.array([x for _, x in named], pa.float64())],
                 names=["row", "lang_pred", "score"])
 
     return rows.mapInArrow(run, StructType([rows.schema["row"], StructField("lang_pred", StringType()),
                                             StructField("score", DoubleType())]))
 
 
+def _shared_part(shared):
+    """Task side: scores the broadcast words of each text; the others leave
+    with their counts. Equal texts of a batch leave once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
+        get, logs, none = model["tokens"][0].get, model["logs"], np.zeros(len(model["langs"]))
+        number = TaskContext.get().partitionId() << 33
+        for batch in batches:
+            out: dict[tuple[int, int], tuple] = {}
+            for k_hash, k_mix, t in zip(*(c.to_pylist() for c in batch.columns)):
+                if (k_hash, k_mix) in out:
+                    continue
+                words = Counter(LETTERS.findall(t.lower())) if t else {}
+                ids, weights, rest, counts = [], [], [], []
+                for w, c in words.items():
+                    known = get(w)
+                    if known is None:
+                        rest.append(w)
+                        counts.append(c)
+                    else:
+                        ids.append(known)
+                        weights.append(c)
+                total = np.array(weights) @ logs[ids] if ids else none
+                letter = bool(ids) or any(any(map(str.isalpha, w)) for w in rest)
+                out[k_hash, k_mix] = (number, k_hash, k_mix, letter, total, rest, counts)
+                number += 1
+            cols = list(zip(*out.values())) or [()] * 7
+            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.list_(pa.float64()),
+                     pa.list_(pa.string()), pa.list_(pa.int64())]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)],
+                                             names=["doc", "k_hash", "k_mix", "letter", "total", "words", "counts"])
+
+    return run
+
+
+def _take_apart(n: int):
+    """Task side: the n-grams of words that the model lacks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            out = [(w, g, c) for w in batch.column(0).to_pylist() if any(map(str.isalpha, w))
+                   for g, c in Counter(_grams(w, n)).items()]
+            cols = list(zip(*out)) or [(), (), ()]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(cols[0], pa.string()), pa.array(cols[1], pa.string()), pa.array(cols[2], pa.int64())],
+                names=["word", "gram", "times"])
+
+    return run
+
+
+def _vectors(words: DataFrame, table: DataFrame, scratch: Scratch) -> DataFrame:
+    """``(word, vector)`` of each of ``words`` that has evidence: per language
+    the mean log ratio to ``floor`` (in units of 1 / SCALE), and 1 at -1 - n
+    for the kind of its tokens."""
+    one = F.lit(1).cast("long")
+    ratio = lambda x: F.round(F.log((x["count"] + 0.1) / 0.1) * SCALE).cast("long")
+    whole = scratch.table(words.join(table.where("n = 0").select(F.col("token").alias("word"), "by_lang"),
+                                     "word", "left"), "words")
+    vectors = whole.where("by_lang is not null").select("word", F.concat(
+        F.array(F.struct(F.lit(-1).alias("at"), one.alias("v"))),
+        F.transform("by_lang", lambda x: F.struct(x["at"].alias("at"), ratio(x).alias("v")))).alias("vector"))
+    n_found = F.filter("parts", lambda x: x["at"] < 0)[0]["v"]
+    left = whole.where("by_lang is null").select("word")
+    for n in NGRAMS:  # a word leaves with the first length that any of its n-grams is known of
+        grams = (left.repartition(words.sparkSession.sparkContext.defaultParallelism, "word")
+                 .mapInArrow(_take_apart(n), "word string, gram string, times long"))
+        found = grams.join(table.where(F.col("n") == n).select(F.col("token").alias("gram"), "by_lang"), "gram")
+        # At -1: how many of the word's n-grams are known.
+        parts = found.select("word", F.inline(F.concat(
+            F.array(F.struct(F.lit(-1).alias("at"), F.col("times").alias("v"))),
+            F.transform("by_lang", lambda x: F.struct(x["at"].alias("at"), (ratio(x) * F.col("times")).alias("v"))))))
+        parts = (parts.groupBy("word", "at").agg(F.sum("v").alias("v"))
+                 .groupBy("word").agg(F.collect_list(F.struct("at", "v")).alias("parts")))
+        backed = scratch.table(parts.withColumn("n_found", n_found).select("word", F.concat(
+            F.array(F.struct(F.lit(-1 - n).alias("at"), one.alias("v"))),
+            F.transform(F.filter("parts", lambda x: x["at"] >= 0), lambda x: F.struct(
+                x["at"].alias("at"), F.round(x["v"] / F.col("n_found")).cast("long").alias("v")))).alias("vector")),
+            f"backed-{n}")
+        vectors = vectors.unionByName(backed)
+        left = scratch.table(left.join(backed.select("word"), "word", "left_anti"), f"left-{n}")
+        if left.isEmpty():
+            break
+    return vectors
+
+
+def _predict_joined(docs: DataFrame, model: dict, text: str) -> DataFrame:
+    """:func:`predict` with the words that are not broadcast joined to the
+    model's table. A text is known by 96 bits of hash."""
+    spark = docs.sparkSession
+    scratch = Scratch(spark, "lang-id-predict")
+    table, langs, floor = model["table"], model["langs"], model["floor"]
+    shared = spark.sparkContext.broadcast({k: model[k] for k in ("langs", "tokens", "logs")})
+    key = [F.xxhash64(F.col(text)).alias("k_hash"), F.hash(F.col(text)).alias("k_mix")]
+    thin = scratch.table(docs.select(*key, F.col(text).alias("text")).mapInArrow(
+        _shared_part(shared), "doc long, k_hash long, k_mix int, letter boolean, total array<double>, "
+        "words array<string>, counts array<long>"), "thin")
+    pairs = thin.select("doc", F.inline(F.arrays_zip(F.col("words").alias("word"), F.col("counts").alias("times"))))
+    vectors = _vectors(pairs.select("word").distinct(), table, scratch)
+    sums = (pairs.join(vectors, "word").select("doc", "times", F.inline("vector"))
+            .groupBy("doc", "at").agg(F.sum(F.col("v") * F.col("times")).alias("v"))
+            .groupBy("doc").agg(F.collect_list(F.struct("at", "v")).alias("sums")))
+    kind_of = {-1 - n: k for k, n in enumerate((0, *NGRAMS))}
+
+    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            named = []
+            for letter, total, sums in zip(*(c.to_pylist() for c in batch.columns[2:])):
+                total = np.array(total)
+                for x in sums or ():
+                    if x["at"] < 0:
+                        total += x["v"] * floor[kind_of[x["at"]]]
+                    else:
+                        total[x["at"]] += x["v"] / SCALE
+                p = np.exp(total - total.max())
+                named.append(_name(p / p.sum() if letter or sums else None, langs))
+            yield pa.RecordBatch.from_arrays(
+                [*batch.columns[:2], pa.array([x for x, _ in named], pa.string()),
+                 pa.array([x for _, x in named], pa.float64())],
+                names=["k_hash", "k_mix", "lang_pred", "score"])
+
+    found = (thin.join(sums, "doc", "left").select("k_hash", "k_mix", "letter", "total", "sums")
+             .mapInArrow(finish, "k_hash long, k_mix int, lang_pred string, score double"))
+    found = scratch.result(found.groupBy(F.col("k_hash").alias("of_hash"), F.col("k_mix").alias("of_mix"))
+                           .agg(F.max_by(F.struct("lang_pred", "score"), "score").alias("found")))
+    rows = docs.select(pack(docs).alias("row"), *key)
+    return (rows.join(found, (F.col("k_hash") == F.col("of_hash")) & (F.col("k_mix") == F.col("of_mix")), "left")
+            .select("row", "found.lang_pred", "found.score"))
+
+
 def identify(docs: DataFrame, text: str = "text", lang: str = "lang", doc_id: str = "doc_id",
              learn_from: DataFrame | None = None, **bounds) -> DataFrame:
     """Train on the documents that are not held out and predict all."""

@@ -63,3 +63,31 @@ def test_edge_cases(make_docs, clashes, spark):
     assert lang_id.identify(make_docs([])).count() == 0
     nothing = docs.withColumn("lang", F.lit(None).cast("string"))
     assert {r["lang_pred"] for r in lang_id.identify(nothing).collect()} == {"und"}
+
+
+def test_what_is_broadcast_does_not_change_the_result(spark, clashes):
+    learn = spark.read.parquet(SF01).where(~lang_id.held_out()).limit(200)
+    docs = spark.read.parquet(SF01).limit(150)
+    more = spark.createDataFrame([(1, None), (2, ""), (3, "12 34"), (4, "zzqx qqz \u0416\u0416"), (4, "zzqx qqz \u0416\u0416"), (5, "\u00b2 \u00bd")],
+                                 "doc_id long, text string")
+    docs = docs.select("doc_id", "text").unionByName(more).selectExpr("*", *clashes)
+    out = []
+    for entries in (10_000_000, 400, 4):
+        model = lang_id.train(learn, max_entries=entries)
+        assert (model["table"] is None) == (entries == 10_000_000)
+        out.append(sorted(((r["row"]["doc_id"], r["row"]["text"] or "", r["lang_pred"], r["score"])
+                           for r in lang_id.predict(docs, model).collect()), key=lambda x: x[:2]))
+    assert len(out[0]) == 156
+    for got in out[1:]:
+        assert [x[:3] for x in got] == [x[:3] for x in out[0]]
+        assert all(abs(a[3] - b[3]) < 1e-6 for a, b in zip(got, out[0]))
+
+
+def test_no_language_is_left_out(make_docs):
+    name = lambda k: "".join(chr(97 + int(d)) for d in f"{k:03d}")
+    rows = [(3 * k + j, f"{name(k)}word {name(k)}text", f"l{k:03d}") for k in range(230) for j in range(3)]
+    rows += [(10_000 + j, "aaaword aaatext", "l000") for j in range(20)]
+    model = lang_id.train(make_docs(rows), max_entries=2300)
+    assert len(model["langs"]) == 230
+    out = {r["row"]["text"]: r["lang_pred"] for r in lang_id.predict(make_docs(rows), model).collect()}
+    assert all(out[text] == lang for _, text, lang in rows)
