@@ -2,7 +2,9 @@
 operations and Spark ML only, no Python in the tasks).
 
 1. Candidates: every token of at least ``MIN_LENGTH`` characters of the
-   alphabet keys are written in, with the text around it.
+   alphabet keys are written in, and after a key word with an assignment or a
+   quote the whole value of at least ``MIN_VALUE`` characters, whatever they
+   are (up to a blank or the closing quote), with the text around it.
 2. Features of a candidate: its length; its character transitions (changes
    between lower case, upper case, digits and marks, share of digits and of
    hexadecimal characters); dictionary coverage (share of its characters
@@ -34,13 +36,23 @@ from pyspark.sql import functions as F
 from .common import Scratch, lower_ascii
 
 MIN_LENGTH = 12
+MIN_VALUE = 6
 CONTEXT = 40
 DICTIONARY = 400
 MAX_LABELLED = 20_000
 THRESHOLD = 0.5
-TOKEN = r"[A-Za-z0-9_+/=.~-]{%d,}" % MIN_LENGTH
 # Words that announce a secret, provider prefixes of keys.
 KEY_WORDS = r"(?i)(passw(or)?d|passwd|pwd|secret|token|api[_-]?key|access[_-]?key|private[_-]?key|credential|auth)"
+# A value after a key word (the first lookbehind is a cheap test), a key word
+# glued to its value by ``=``, any other token.
+_KEY = "(?i:%s)" % KEY_WORDS.removeprefix("(?i)")
+_AFTER = r"(?<=%s[\"']?\s{0,4}(?:(?::=|=>|[=:])\s{0,4}[\"']?|[\"']))" % _KEY
+TOKEN = "|".join([
+    r"(?<=\")%s[^\s\"]{%d,}" % (_AFTER, MIN_VALUE),
+    r"(?<=')%s[^\s']{%d,}" % (_AFTER, MIN_VALUE),
+    r"(?<=[=:>]\s{0,4})%s[^\s\"'=>]\S{%d,}" % (_AFTER, MIN_VALUE - 1),
+    r"(?<![A-Za-z0-9_+/=.~-])[A-Za-z0-9_+/.~-]{0,64}%s=[^\s\"'=>]\S{%d,}" % (_KEY, MIN_VALUE - 1),
+    r"[A-Za-z0-9_+/=.~-]{%d,}" % MIN_LENGTH])
 PROVIDERS = r"^(AKIA|ASIA)[0-9A-Z]{16}$|^gh[pousr]_[A-Za-z0-9]{36}$|^xox[abpr]-|^sk_live_|^AIza[0-9A-Za-z_-]{35}$"
 SAMPLE_PATHS = r"(?i)(test|example|sample|mock|fixture|doc)"
 FEATURES = ["length", "transitions", "upper_digit", "lower_digit", "digits", "hexes", "marks", "coverage",
@@ -114,7 +126,7 @@ def label(found: DataFrame) -> DataFrame:
     glued to the token by ``=`` (``password=...``) counts as assignment."""
     token = F.col("token")
     value = F.regexp_replace(token, r"^[A-Za-z_]+=", "")
-    mixed = value.rlike("[0-9]") & value.rlike("[A-Za-z]") & (F.length(value) >= 12)
+    mixed = value.rlike("[0-9]") & value.rlike("[A-Za-z]") & (F.length(value) >= MIN_VALUE)
     assigned = token.rlike(KEY_WORDS + r"=") | ((F.col("key_word") == 1) & (F.col("assigned") == 1))
     plain = token.rlike(r"^[A-Za-z]+[.]?$") | token.rlike(r"^[0-9. -]+$") | token.rlike(r"^[a-z.]+\.[a-z0-9.-]+$")
     return found.withColumn("label", F.when(token.rlike(PROVIDERS) | (assigned & mixed), 1.0).when(plain, 0.0))

@@ -153,6 +153,21 @@ def test_secret_scan_edge_cases(make_docs, clashes):
     assert secret_scan.scan(make_docs([])).count() == 0
 
 
+def test_values_after_a_key_word_are_candidates_whole(make_docs):
+    texts = {"password: hunter22": "hunter22", "api_key = a1b2c3d4e5": "a1b2c3d4e5",
+             "password: P@ssw0rd!2024key then": "P@ssw0rd!2024key", 'pwd="x$9#k!"': "x$9#k!",
+             "'secret': 'it\"s4me!'": 'it"s4me!', "db_passwd=q1w2e3r4t5@z!": "db_passwd=q1w2e3r4t5@z!",
+             'aws_secret_access_key = "ab(1)*cd%"': "ab(1)*cd%", "Token => it's4me!": "it's4me!"}
+    rows = secret_scan.candidates(make_docs(list(enumerate(texts)))).collect()
+    found = {(r["doc_id"], r["start"], r["token"]) for r in rows}
+    assert found >= {(k, text.index(token), token) for k, (text, token) in enumerate(texts.items())}
+    assert secret_scan.candidates(make_docs([(1, "the secret of a token: is it"), (2, "hunter22")])).count() == 0
+    learn = [(100 + k, f"password: {t}") for k in range(20) for t in (f"k{k}Z9q#x7", "nothing")]
+    plain = [(200 + k, f"a wordlikethisone{'abcdefghij'[k]} here") for k in range(10)]
+    out = secret_scan.scan(make_docs([(1, "password: hunter22"), *learn, *plain])).where("doc_id = 1").collect()
+    assert [(r["start"], r["length"], r["is_secret"]) for r in out] == [(10, 8, True)]
+
+
 def test_secret_candidates_of_a_text_full_of_them(make_docs):
     tokens = [f"candidate{i:06d}" for i in range(20_000)]
     text = "é" + " é ".join(tokens)
