@@ -8,8 +8,9 @@ import pytest
 ROOT = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
 sys.path.insert(0, ROOT)
 
-SF001 = "/root/testdata/sf0.001"
-SF01 = "/root/testdata/sf0.01"
+sys.path.insert(0, os.path.join(ROOT, "tests"))
+
+from helpers import SF01  # noqa: E402
 
 
 @pytest.fixture(scope="session")
@@ -35,8 +36,3 @@ def scratch(spark):
     from quartermaster.session import scratch_dir
     return lambda label="t": scratch_dir(spark, label)
 
-
-def rows(df, *cols):
-    """Rows as sorted tuples (order-insensitive comparisons)."""
-    cols = cols or tuple(df.columns)
-    return sorted(tuple(r[c] for c in cols) for r in df.collect())

@@ -7,7 +7,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from conftest import SF01, rows
+from helpers import SF01, rows
 from quartermaster.operators import aggregates as A
 from quartermaster.operators import sets as S
 from quartermaster.session import table

@@ -7,7 +7,7 @@ import pytest
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from conftest import rows
+from helpers import rows
 from quartermaster.functions import predicates as P
 from quartermaster.operators import closure as CL
 from quartermaster.operators import filters as FL
@@ -162,7 +162,7 @@ def test_closure_shortest_depth_on_dag(spark):
 
 
 def test_closure_of_the_part_tree(spark):
-    from conftest import SF01
+    from helpers import SF01
     part = spark.read.parquet(f"{SF01}/part.parquet")
     edges = (part.select(F.col("p_partkey").alias("node"), F.expr("p_partkey div 2").alias("parent"))
                  .filter(F.col("node") != F.col("parent")))

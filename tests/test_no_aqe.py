@@ -6,7 +6,7 @@ import os
 import subprocess
 import sys
 
-from conftest import SF001
+from helpers import SF001
 
 
 def test_all_oracles_match_without_aqe():

@@ -9,7 +9,7 @@ import pytest
 from quartermaster.sources.files import file_inventory, glob_scan
 
 import __spark_entry__ as E
-from conftest import SF001, SF01
+from helpers import SF001, SF01
 
 ORACLES = E.oracle_sql()
 QUERIES = E.queries()

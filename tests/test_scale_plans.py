@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import __spark_entry__ as E
-from conftest import SF001
+from helpers import SF001
 from quartermaster.operators import joins as J
 
 SKEW_CONF = {

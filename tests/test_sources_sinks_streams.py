@@ -8,7 +8,7 @@ import tempfile
 from pyspark.sql import functions as F
 
 import pytest
-from conftest import SF01, rows
+from helpers import SF01, rows
 from quartermaster.sinks import writers as K
 from quartermaster.sources import files as SRC
 from quartermaster.streaming import streams as T
