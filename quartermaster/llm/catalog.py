@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import (decontaminate, lang_id, license_scan, line_dedup, mixing, quality_rules, secret_scan, simhash,
-               suffix_dedup, warc_fixity)
+from . import (decontaminate, lang_id, license_scan, line_dedup, mixing, quality_rules, secret_scan, setsketch,
+               simhash, suffix_dedup, warc_fixity)
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -73,9 +73,15 @@ def op10_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
         "row.doc_id", lang_id.held_out("row.doc_id").alias("held_out"), "lang_pred", "score")
 
 
+def op11_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate component of each document, by word shingles."""
+    return setsketch.near_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_line_dedup, op2_source_mix, op3_warc_fixity, op4_simhash_near_dedup, op5_benchmark_decontamination,
-    op6_suffix_array_dedup, op7_quality_rules, op8_license_scan, op9_secret_scan, op10_language_id)}
+    op6_suffix_array_dedup, op7_quality_rules, op8_license_scan, op9_secret_scan, op10_language_id,
+    op11_minhash_near_dedup)}
 
 ORACLES = {
     "op1_line_dedup": r"""
