@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import (decontaminate, lang_id, license_scan, line_dedup, mixing, quality_rules, secret_scan, setsketch,
-               simhash, suffix_dedup, warc_fixity)
+from . import (conversation_repair, decontaminate, lang_id, license_scan, line_dedup, mixing, quality_rules, secret_scan,
+               setsketch, simhash, suffix_dedup, warc_fixity)
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -78,10 +78,16 @@ def op11_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return setsketch.near_dedup(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Faults, cheapest repair and repaired text of each damaged conversation."""
+    damaged = conversation_repair.damage(table(spark, sf_dir, "conversations"))
+    return conversation_repair.report(damaged, gone=F.col("gone"))
+
+
 QUERIES = {f.__name__: f for f in (
     op1_line_dedup, op2_source_mix, op3_warc_fixity, op4_simhash_near_dedup, op5_benchmark_decontamination,
     op6_suffix_array_dedup, op7_quality_rules, op8_license_scan, op9_secret_scan, op10_language_id,
-    op11_minhash_near_dedup)}
+    op11_minhash_near_dedup, op12_conversation_repair)}
 
 ORACLES = {
     "op1_line_dedup": r"""
