@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..session import table
 from . import (conversation_repair, decontaminate, lang_id, license_scan, line_dedup, mixing, quality_rules, secret_scan,
-               setsketch, simhash, suffix_dedup, warc_fixity)
+               setsketch, simhash, spelling, suffix_dedup, warc_fixity)
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -84,10 +84,15 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return conversation_repair.report(damaged, gone=F.col("gone"))
 
 
+def op13_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Form and root of each word of the documents, some of which lost a letter."""
+    return spelling.variants(table(spark, sf_dir, "documents").select("doc_id", "text"), noise=97)
+
+
 QUERIES = {f.__name__: f for f in (
     op1_line_dedup, op2_source_mix, op3_warc_fixity, op4_simhash_near_dedup, op5_benchmark_decontamination,
     op6_suffix_array_dedup, op7_quality_rules, op8_license_scan, op9_secret_scan, op10_language_id,
-    op11_minhash_near_dedup, op12_conversation_repair)}
+    op11_minhash_near_dedup, op12_conversation_repair, op13_spelling_variants)}
 
 ORACLES = {
     "op1_line_dedup": r"""
