@@ -27,30 +27,41 @@ def distinct_selection(df: DataFrame, cols: str | Sequence[str]) -> DataFrame:
 
 # ---------------------------------------------------------------- ordinals
 
+def _ranged(df: DataFrame, keys: Sequence[str], num_partitions: int | None) -> tuple[DataFrame, Column]:
+    """``df`` cut into sorted ranges of ``keys``, with ``__qm_id`` (range and
+    place in it), and the range's number. Written once: the ranges come from a
+    sample, so they must not be drawn again."""
+    n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    cols = [F.col(c) for c in keys]
+    out = (df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
+             .withColumn("__qm_id", F.monotonically_increasing_id()).checkpoint(eager=True))
+    return out, F.shiftright("__qm_id", 33)
+
+
+def _free_name(df: DataFrame, name: str) -> None:
+    if name.lower() in {c.lower() for c in df.columns}:
+        raise ValueError(f"the input has a column {name} already; pass another name")
+
+
 def ordinal(df: DataFrame, order_by: Sequence[str], partition_by: Sequence[str] = (),
             name: str = "position", num_partitions: int | None = None) -> DataFrame:
     """Exact 1-based position of each row within ``partition_by`` (or over
     the whole frame) in ``order_by`` order, without putting a group into
     one task. Null keys are a group like any other.
 
-    1. The input is checkpointed once (range partitioning samples its input,
-       which would otherwise be evaluated twice), range-partitioned on
-       ``partition_by + order_by`` and sorted inside the ranges: one shuffle
-       of the rows, and a big group is cut into many ranges. The low 33 bits
-       of ``monotonically_increasing_id`` are the place within the range.
+    1. The input is range-partitioned on ``partition_by + order_by``, sorted
+       inside the ranges and checkpointed once: one shuffle of the rows, and a
+       big group is cut into many ranges. The low 33 bits of
+       ``monotonically_increasing_id`` are the place within the range.
     2. Per (range, group): the first place and the row count. A running sum
        of the counts over the ranges of a group gives its offset; that table
        has at most (#groups + #ranges) rows and is joined back null-safe.
     ``order_by`` should be unique within a group: equal sort keys cannot be
-    split across ranges.
+    split across ranges. ``name`` must be free.
     """
-    spark = df.sparkSession
-    n = num_partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
     part, order = list(partition_by), list(order_by)
-    keys = [F.col(c) for c in part + order]
-    ranged = (df.checkpoint(eager=True).repartitionByRange(n, *keys).sortWithinPartitions(*keys)
-                .withColumn("__qm_id", F.monotonically_increasing_id()).checkpoint(eager=True))
-    pid = F.shiftright("__qm_id", 33)
+    _free_name(df, name)
+    ranged, pid = _ranged(df, part + order, num_partitions)
     place = F.col("__qm_id").bitwiseAND(F.lit((1 << 33) - 1))
     counts = (ranged.groupBy(pid.alias("__qm_pid"), *[F.col(c).alias(f"__qm_{c}") for c in part])
               .agg(F.count(F.lit(1)).alias("__qm_cnt"), F.min(place).alias("__qm_first")))
@@ -67,6 +78,32 @@ def ordinal(df: DataFrame, order_by: Sequence[str], partition_by: Sequence[str]
                   .select(*df.columns, name))
 
 
+def prefix_sum(df: DataFrame, order_by: Sequence[str], partition_by: Sequence[str], value: str,
+               name: str = "offset", num_partitions: int | None = None) -> DataFrame:
+    """Sum of ``value`` over the rows before each row of its group, in
+    ``order_by`` order: 0 for the first. Nulls count as 0; null keys are a group.
+
+    The rows are cut into sorted ranges (as in :func:`ordinal`), so a hot group
+    lies in many of them. Sums per (range, group) and a running sum over the
+    ranges of a group give what every range starts with. That carry enters as
+    one more row in front of the range's rows, and one window per (range,
+    group) adds up. No window sees more than a range, and the rows are not
+    joined. Pass thin rows: they are shuffled twice. ``order_by`` should be
+    unique within a group; ``name`` must be free."""
+    part = list(partition_by)
+    _free_name(df, name)
+    ranged, pid = _ranged(df, part + list(order_by), num_partitions)
+    ranged = ranged.withColumn("__qm_pid", pid).withColumn("__qm_value", F.coalesce(F.col(value).cast("long"), F.lit(0)))
+    sums = ranged.groupBy("__qm_pid", *part).agg(F.sum("__qm_value").alias("__qm_value"))
+    before = Window.partitionBy(*part).orderBy("__qm_pid").rowsBetween(Window.unboundedPreceding, -1)
+    carry = sums.select("__qm_pid", *part, F.coalesce(F.sum("__qm_value").over(before), F.lit(0)).alias("__qm_value"),
+                        F.lit(-1).cast("long").alias("__qm_id"))
+    both = ranged.unionByName(carry, allowMissingColumns=True)
+    inside = Window.partitionBy("__qm_pid", *part).orderBy("__qm_id").rowsBetween(Window.unboundedPreceding, -1)
+    return (both.withColumn(name, F.sum("__qm_value").over(inside)).where("__qm_id >= 0")
+                .select(*df.columns, name))
+
+
 # ---------------------------------------------------------------- A2
 
 def bundle_summary(df: DataFrame, bundle: str, size: str | Column) -> DataFrame:
@@ -87,6 +124,16 @@ def bundle_members(df: DataFrame, bundle: str, member: str) -> DataFrame:
     return ordinal(m, [member], [bundle]).select(bundle, "position", member)
 
 
+def bundle_offsets(df: DataFrame, bundle: str, member: str, size: str | Column) -> DataFrame:
+    """A2: where each member lies in its bundle, members in byte order one
+    behind the other, as ``(bundle, member, offset, length)`` rows. A null
+    length is 0. Members of equal name lie behind each other in any order."""
+    sz = F.col(size) if isinstance(size, str) else size
+    m = df.select(F.col(bundle), F.col(member).cast("string").alias(member),
+                  F.coalesce(sz.cast("long"), F.lit(0)).alias("length"))
+    return prefix_sum(m, [member], [bundle], "length").select(bundle, member, "offset", "length")
+
+
 # ---------------------------------------------------------------- A3
 
 def nonempty_guard(df: DataFrame, message: str = "nothing to publish") -> DataFrame:

@@ -44,12 +44,40 @@ def dependency_closure(edges: DataFrame, node: str = "node", parent: str = "pare
         hops *= 2
 
 
-def dependency_order(nodes: DataFrame, closure: DataFrame, node: str = "node") -> DataFrame:
+def cycles(closure: DataFrame) -> DataFrame:
+    """``(node, cycle)`` of every node that depends on itself: ``cycle`` is the
+    least node that it reaches and that reaches it (its strongly connected
+    component). Two aggregations over the closure, no joins: the ancestors that
+    are also descendants are the pairs found in both directions."""
+    both = closure.select("node", "ancestor").unionByName(
+        closure.select(F.col("ancestor").alias("node"), F.col("node").alias("ancestor")))
+    mutual = both.groupBy("node", "ancestor").agg(F.count(F.lit(1)).alias("n"))
+    # A pair from a node to itself stands twice; others twice if both ways hold.
+    return mutual.where("n = 2").groupBy("node").agg(F.min("ancestor").alias("cycle"))
+
+
+def dependency_order(nodes: DataFrame, closure: DataFrame, node: str = "node", on_cycle: str = "raise") -> DataFrame:
     """Dependencies first: nodes ordered by how many ancestors they have
     (a dependency always has fewer than its dependants on acyclic input),
-    ties by name. Nodes without ancestors rank first."""
+    ties by name. Nodes without ancestors rank first.
+
+    Cyclic input has no such order. ``on_cycle="raise"`` stops with the names
+    of some nodes on cycles; ``"group"`` orders the graph of the cycles: its
+    ``cycle`` column is the cycle a node is on (null for none), nodes of one
+    cycle stand together, and ``n_ancestors`` counts ancestors outside it."""
+    if on_cycle not in ("raise", "group"):
+        raise ValueError("on_cycle is raise or group")
     counts = closure.groupBy("node").agg(F.count(F.lit(1)).alias("n_ancestors"))
     all_nodes = nodes.select(F.col(node).alias("node")).dropna().dropDuplicates()
-    return (all_nodes.join(counts, on="node", how="left")
-                     .select("node", F.coalesce("n_ancestors", F.lit(0)).alias("n_ancestors"))
-                     .orderBy("n_ancestors", "node"))
+    found = all_nodes.join(counts, on="node", how="left").select(
+        "node", F.coalesce("n_ancestors", F.lit(0)).alias("n_ancestors"))
+    if on_cycle == "raise":
+        on = [r["node"] for r in closure.where(F.col("node") == F.col("ancestor")).select("node").limit(5).collect()]
+        if on:
+            raise ValueError(f"no order: cyclic dependencies, among others of {on}")
+        return found.orderBy("n_ancestors", "node")
+    rings = cycles(closure).checkpoint(eager=True)
+    size = rings.groupBy("cycle").agg(F.count(F.lit(1)).alias("size"))
+    found = (found.join(rings, on="node", how="left").join(size, on="cycle", how="left")
+             .select("node", (F.col("n_ancestors") - F.coalesce("size", F.lit(0))).alias("n_ancestors"), "cycle"))
+    return found.orderBy("n_ancestors", F.coalesce("cycle", "node"), "node")

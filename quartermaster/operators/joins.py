@@ -239,3 +239,48 @@ def missing_members(required: DataFrame, present: DataFrame, group: str, member:
     return missing_work(distinct_keys(required, [group, member]), present,
                         [group, member], [pg, pm])
 
+
+def completeness_bitmap(required: DataFrame, present: DataFrame, group: str, member: str,
+                        present_group: str | None = None, present_member: str | None = None,
+                        domain: Sequence | None = None) -> DataFrame:
+    """J7 by bitmaps: the rows of :func:`completeness`, without a shuffle of
+    ``(group, member)`` pairs.
+
+    Members become numbers: whole numbers as they are (from 0 on), other members by
+    their place in ``domain`` (a list, attached as one literal; a required
+    member outside it fails the job, a present one is not required). 32,768
+    numbers are a bucket. Every task ors the members it sees into one bitmap
+    per (group, bucket), for required, present and either; only bitmaps are
+    shuffled and ored again. Present and required at once are the sum of the
+    two counts less the count of either. A big group is many buckets."""
+    pg, pm = present_group or group, present_member or member
+
+    def numbered(df: DataFrame, g: str, m: str, side: str) -> DataFrame:
+        df = df.select(F.col(g).alias(group), F.col(m).alias("__qm_m")).dropna()
+        if domain is None:
+            number = F.col("__qm_m").cast("long")
+            # Below 0 there are no positions; such present members can't be required.
+            wrong = number < 0
+        else:
+            number = F.array_position(F.array(*[F.lit(v) for v in domain]), F.col("__qm_m")) - 1
+            wrong = number < 0
+        if side == "required":
+            number = F.when(wrong, F.raise_error(F.concat(F.lit("required member without a number: "),
+                                                          F.col("__qm_m").cast("string"))).cast("long")).otherwise(number)
+        else:
+            df = df.where(~wrong)
+        return df.select(group, number.alias("__qm_n"), F.lit(side == "required").alias("__qm_req"))
+
+    both = numbered(required, group, member, "required").unionByName(numbered(present, pg, pm, "present"))
+    # Numbers start at 0, Spark's first bucket holds 1 to 32768.
+    at = F.bitmap_bit_position(F.col("__qm_n") + 1)
+    req = F.col("__qm_req")
+    maps = (both.groupBy(group, F.bitmap_bucket_number(F.col("__qm_n") + 1).alias("__qm_bucket"))
+            .agg(F.bitmap_construct_agg(F.when(req, at)).alias("r"), F.bitmap_construct_agg(F.when(~req, at)).alias("p"),
+                 F.bitmap_construct_agg(at).alias("either"), F.max(req).alias("needed")))
+    n = lambda c: F.bitmap_count(F.col(c))
+    return (maps.groupBy(group)
+            .agg(F.sum(n("r")).alias("n_required"), F.sum(n("r") + n("p") - n("either")).alias("n_present"),
+                 F.max("needed").alias("needed")).where("needed")
+            .select(group, "n_required", "n_present", (F.col("n_required") - F.col("n_present")).alias("n_missing"),
+                    (F.col("n_required") == F.col("n_present")).alias("complete")))

@@ -23,6 +23,7 @@ from ..operators import filters as FL
 from ..operators import joins as J
 from ..operators import sets as S
 from ..session import scratch_dir, table
+from ..sinks import published as PB
 from ..sinks import writers as K
 from ..sources import files as SRC
 from ..streaming import streams as T
@@ -117,6 +118,28 @@ def j7_completeness(spark, d):
                           "o_custkey", "o_orderstatus")
 
 
+@query("j7_completeness_bitmap", ORACLES["j7_completeness"])
+def j7_completeness_bitmap(spark, d):
+    req = _customer_status_matrix(spark, d)
+    return J.completeness_bitmap(req, table(spark, d, "orders"), "c_custkey", "status",
+                                 "o_custkey", "o_orderstatus", domain=ORDER_STATUSES)
+
+
+@query("j7_completeness_bitmap_numbers", """
+with req as (select distinct ps.s as s_suppkey, p.p_partkey from part p, (select s_suppkey % 5 as s from supplier group by 1) ps
+             where p.p_partkey % 5 = ps.s),
+have as (select distinct l_suppkey % 5 as s, l_partkey from lineitem)
+select r.s_suppkey as grp, count(*) as n_required, count(h.l_partkey) as n_present,
+       count(*) - count(h.l_partkey) as n_missing, count(*) = count(h.l_partkey) as complete
+from req r left join have h on h.s = r.s_suppkey and h.l_partkey = r.p_partkey group by 1
+""")
+def j7_completeness_bitmap_numbers(spark, d):
+    # Few groups of many members each: part keys as the members of five groups of suppliers.
+    required = table(spark, d, "part").select((F.col("p_partkey") % 5).alias("grp"), "p_partkey")
+    present = table(spark, d, "lineitem").select((F.col("l_suppkey") % 5).alias("g"), "l_partkey")
+    return J.completeness_bitmap(required, present, "grp", "p_partkey", "g", "l_partkey")
+
+
 @query("j7_missing_members", _J7_REQUIRED + """
 select r.c_custkey, r.status from req r
 where not exists (select 1 from have h where h.o_custkey = r.c_custkey and h.o_orderstatus = r.status)
@@ -269,8 +292,44 @@ def j8_dependency_order(spark, d):
     return CL.dependency_order(nodes, closure)
 
 
-@query("j8_dependency_closure_bucketed", ORACLES["j8_dependency_closure"])
-def j8_dependency_closure_bucketed(spark, d):
+_CYCLIC = """
+with recursive e as (
+  select p_partkey as node, p_partkey // 2 as parent from part where p_partkey <> p_partkey // 2
+  union all select p_partkey // 2, p_partkey from part where p_partkey % 50 = 0),
+c(node, ancestor) as (
+  select node, parent from e
+  union
+  select c.node, e.parent from c join e on c.ancestor = e.node),
+ring as (select a.node, min(a.ancestor) as cycle from c a join c b on a.node = b.ancestor and a.ancestor = b.node
+         group by a.node),
+"""
+
+
+def _cyclic_closure(spark, d):
+    back = (table(spark, d, "part").where("p_partkey % 50 = 0")
+            .select(F.expr("p_partkey div 2").alias("node"), F.col("p_partkey").alias("parent")))
+    return CL.dependency_closure(_part_tree(spark, d).unionByName(back))
+
+
+@query("j8_cycles", _CYCLIC + "done as (select 1) select node, cycle from ring")
+def j8_cycles(spark, d):
+    """Part tree with edges back to every fiftieth part: who is on which cycle."""
+    return CL.cycles(_cyclic_closure(spark, d))
+
+
+@query("j8_dependency_order_cyclic", _CYCLIC + """
+size as (select cycle, count(*) as n from ring group by cycle)
+select p.p_partkey as node, coalesce(c.n, 0) - coalesce(size.n, 0) as n_ancestors, ring.cycle
+from part p left join (select node, count(*) as n from c group by node) c on c.node = p.p_partkey
+     left join ring on ring.node = p.p_partkey left join size on size.cycle = ring.cycle
+""")
+def j8_dependency_order_cyclic(spark, d):
+    nodes = table(spark, d, "part").select(F.col("p_partkey").alias("node"))
+    return CL.dependency_order(nodes, _cyclic_closure(spark, d), on_cycle="group")
+
+
+@query("j8_dependency_closure_from_lists", ORACLES["j8_dependency_closure"])
+def j8_dependency_closure_from_lists(spark, d):
     # The same edges, written as one "a,b" list of dependencies per part.
     listed = _part_tree(spark, d).select("node", F.concat_ws(",", "parent", F.lit("")).alias("deps"))
     edges = CL.direct_edges(listed, "node", "deps").withColumn("parent", F.col("parent").cast("long"))
@@ -301,6 +360,18 @@ def a2_bundle_members(spark, d):
     return A.bundle_members(table(spark, d, "documents"), "source", "doc_id")
 
 
+@query("a2_bundle_offsets", """
+select source, cast(doc_id as varchar) as doc_id,
+       cast(coalesce(sum(strlen(text)) over (partition by source order by cast(doc_id as varchar)
+                                             rows between unbounded preceding and 1 preceding), 0) as bigint) as "offset",
+       cast(coalesce(strlen(text), 0) as bigint) as length
+from documents
+""")
+def a2_bundle_offsets(spark, d):
+    docs = table(spark, d, "documents").select("source", "doc_id", F.octet_length("text").alias("size"))
+    return A.bundle_offsets(docs, "source", "doc_id", "size")
+
+
 @query("a3_nonempty_guard", "select count(*) as n from documents")
 def a3_nonempty_guard(spark, d):
     return A.nonempty_guard(table(spark, d, "documents"), "no documents to publish")
@@ -679,20 +750,42 @@ def f6_split_valid_rows(spark, d):
 # ================================================================ sources
 
 def _text_tree(spark, d):
-    """The documents as text files, one folder per language."""
+    """The documents as text files, one folder per language, with an index
+    file beside each language's files, and a copy of it all in a folder that
+    Spark's listing skips."""
     root = scratch_dir(spark, "tree")
-    docs = table(spark, d, "documents").select("lang", "text")
-    docs.write.partitionBy("lang").text(root)
+    docs = table(spark, d, "documents").select("lang", "text").repartition(4)
+    for at in (root, f"{root}/_old"):
+        docs.write.partitionBy("lang").text(at)
+        for folder in SRC.subfolders(spark, at, "lang=*"):
+            K.write_file(spark, f"{at}/{folder}/index.txt", "language\n")
     return root
 
 
+def _by_lang(inventory):
+    lang = F.regexp_extract("path", "/lang=([^/]+)/", 1).alias("lang")
+    return inventory.groupBy(lang).agg(F.sum("length").alias("bytes"))
+
+
 @query("s1_file_inventory", """
 select lang, cast(sum(strlen(text) + 1) as bigint) as bytes from documents group by lang
 """)
 def s1_file_inventory(spark, d):
-    inv = SRC.file_inventory(spark, _text_tree(spark, d), exclude_names=["index.txt"])
+    return _by_lang(SRC.file_inventory(spark, _text_tree(spark, d), exclude_names=["index.txt"]))
+
+
+@query("s1_file_inventory_all", """
+select place, lang, cast(sum(strlen(text) + 1) as bigint) as bytes, 0 as markers
+from documents, (values ('old'), ('new')) p(place) group by place, lang
+""")
+def s1_file_inventory_all(spark, d):
+    # Every file, those in a hidden folder too, without indexes and markers.
+    inv = SRC.file_inventory_all(spark, _text_tree(spark, d), exclude_names=["_SUCCESS", "index.txt"])
+    inv = inv.where("name not like '.%'")  # checksums that local file systems keep
+    place = F.when(F.col("path").contains("/_old/"), "old").otherwise("new").alias("place")
     lang = F.regexp_extract("path", "/lang=([^/]+)/", 1).alias("lang")
-    return inv.groupBy(lang).agg(F.sum("length").alias("bytes"))
+    return inv.groupBy(place, lang).agg(F.sum("length").alias("bytes"),
+                                        F.count(F.when(F.col("name") == "_SUCCESS", 1)).cast("int").alias("markers"))
 
 
 @query("p4_page_inventory", """
@@ -711,7 +804,7 @@ select cast(sum(strlen(text) + 1) as bigint) as bytes from documents where lang
 """)
 def s2_glob_scan(spark, d):
     # Files directly in one folder whose name matches a glob.
-    found = SRC.glob_scan(spark, f"{_text_tree(spark, d)}/lang=en", "[op]*.txt")
+    found = SRC.glob_scan(spark, f"{_text_tree(spark, d)}/lang=en", "[op]*.txt")  # not index.txt
     return found.agg(F.sum("length").alias("bytes"))
 
 
@@ -778,6 +871,15 @@ def k2_write_replace(spark, d):
     return spark.read.parquet(path)
 
 
+@query("k2_write_versioned", _DOCS_ORACLE)
+def k2_write_versioned(spark, d):
+    path = scratch_dir(spark, "k2v")
+    docs = table(spark, d, "documents").select(*_DOC_COLS)
+    K.write_versioned(docs.limit(0), path)
+    K.write_versioned(docs, path)
+    return K.read_versioned(spark, path)
+
+
 @query("k3_write_append", _DOCS_ORACLE + " union all " + _DOCS_ORACLE)
 def k3_write_append(spark, d):
     path = scratch_dir(spark, "k3")
@@ -862,6 +964,30 @@ def k7_publish_new_bucketed(spark, d):
     return spark.read.parquet(target).select(*_EVENT_COLS)
 
 
+@query("k7_publish_new_indexed", "select event_id, ts, user_id, event_type, value, props from events")
+def k7_publish_new_indexed(spark, d):
+    # Against a bucketed key index; the target itself is never read.
+    target = scratch_dir(spark, "k7i")
+    ev = table(spark, d, "events").select(*_EVENT_COLS)
+    first, second = _overlapping_parts(ev)
+    for part in (first, second, second):
+        PB.publish_indexed(part, target, "event_id", buckets=8)
+    return PB.read_published(spark, target, ev.schema).select(*_EVENT_COLS)
+
+
+@query("k7_publish_new_winner", """
+select event_type as key, min(event_id) as event_id, 1 as n from events group by event_type
+""")
+def k7_publish_new_winner(spark, d):
+    # Many rows of a key in one batch: the least event is published, whatever the order of the rows.
+    target = scratch_dir(spark, "k7w")
+    ev = table(spark, d, "events").select(F.col("event_type").alias("key"), "event_id", "ts", "props")
+    for part in (ev, ev.orderBy(F.desc("event_id"))):
+        PB.publish_indexed(part, target, "key", buckets=4, order_by=["event_id"])
+    return (PB.read_published(spark, target, ev.schema).groupBy("key")
+            .agg(F.min("event_id").alias("event_id"), F.count(F.lit(1)).cast("int").alias("n")))
+
+
 # ================================================================ streams
 
 @query("t1_stream_fan_out", """
@@ -907,6 +1033,21 @@ def t2_stream_publish_new(spark, d):
     return spark.read.parquet(f"{root}/target").select(*_EVENT_COLS)
 
 
+@query("t2_stream_publish_indexed", "select event_id, ts, user_id, event_type, value, props from events")
+def t2_stream_publish_indexed(spark, d):
+    # A part is published as a batch first; the stream's files overlap with it and with each other.
+    root = scratch_dir(spark, "t2i")
+    ev = table(spark, d, "events").select(*_EVENT_COLS)
+    first, second = _overlapping_parts(ev)
+    PB.publish_indexed(first, f"{root}/target", "event_id", buckets=8)
+    K.write_append(first, f"{root}/incoming")
+    K.write_append(second, f"{root}/incoming")
+    stream = T.table_stream(spark, f"{root}/incoming", "*.parquet", max_files_per_trigger=4)
+    q = T.stream_publish_indexed(stream, f"{root}/target", "event_id", f"{root}/_checkpoint", buckets=8)
+    q.awaitTermination()
+    return PB.read_published(spark, f"{root}/target", ev.schema).select(*_EVENT_COLS)
+
+
 def names() -> list[str]:
     return list(QUERIES)
 

@@ -28,6 +28,14 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return fs.exists(p)
 
 
+def write_file(spark: SparkSession, path: str, text: str) -> None:
+    """One small file of text, replacing what is there."""
+    fs, p = _fs(spark, path)
+    out = fs.create(p, True)
+    out.write(bytearray(text.encode()))
+    out.close()
+
+
 def _load(spark: SparkSession, path: str, fmt: str) -> DataFrame | None:
     """The rows at ``path``; None when nothing has been written there yet.
     A target that exists but can't be read raises."""
@@ -63,6 +71,68 @@ def write_replace(df: DataFrame, path: str, fmt: str = "parquet", **options) ->
     df.write.mode("overwrite").format(fmt).options(**options).save(path)
 
 
+# The pointer file of a versioned folder; its one line names the version.
+POINTER = "_current"
+
+
+def write_versioned(df: DataFrame, path: str, fmt: str = "parquet", keep: int = 2, **options) -> str:
+    """K2 without a gap: the rows go to a folder of their own below ``path``,
+    then one rename switches the pointer file to it. Until then readers
+    (:func:`read_versioned`) see the old rows, after it the new ones; a job that
+    dies in between leaves the old rows readable. The ``keep`` newest complete
+    versions stay, for readers that have just resolved the pointer. Returns the
+    version's name."""
+    spark = df.sparkSession
+    root = path.rstrip("/")
+    fs, folder = _fs(spark, root)
+    version = f"v{(max([0, *_versions(spark, root)]) + 1):012d}"
+    df.write.mode("overwrite").format(fmt).options(**options).save(f"{root}/{version}")
+    _point(spark, root, version)
+    for old in sorted(_versions(spark, root))[:-max(1, keep)]:
+        fs.delete(folder.suffix(f"/v{old:012d}"), True)
+    return version
+
+
+def _versions(spark: SparkSession, root: str) -> list[int]:
+    fs, folder = _fs(spark, root)
+    found = fs.globStatus(folder.suffix("/v*")) or []
+    return [int(f.getPath().getName()[1:]) for f in found]
+
+
+def _point(spark: SparkSession, root: str, version: str) -> None:
+    """Writes the pointer beside and renames it over the old one."""
+    jvm = spark._jvm
+    fs, folder = _fs(spark, root)
+    beside, pointer = folder.suffix(f"/{POINTER}.next"), folder.suffix(f"/{POINTER}")
+    write_file(spark, f"{root}/{POINTER}.next", version)
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(folder.toUri(), spark._jsc.hadoopConfiguration())
+    overwrite = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    overwrite[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    context.rename(fs.makeQualified(beside), fs.makeQualified(pointer), overwrite)
+
+
+def current_version(spark: SparkSession, path: str) -> str | None:
+    """The folder the pointer names; None before the first version."""
+    root = path.rstrip("/")
+    if not path_exists(spark, f"{root}/{POINTER}"):
+        return None
+    fs, folder = _fs(spark, root)
+    file = fs.open(folder.suffix(f"/{POINTER}"))
+    try:
+        name = spark._jvm.org.apache.commons.io.IOUtils.toString(file, "UTF-8")
+    finally:
+        file.close()
+    return f"{root}/{name.strip()}"
+
+
+def read_versioned(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:
+    """The rows of the current version."""
+    version = current_version(spark, path)
+    if version is None:
+        raise FileNotFoundError(f"{path} has no version yet")
+    return spark.read.format(fmt).load(version)
+
+
 def write_append(df: DataFrame, path: str, fmt: str = "parquet", **options) -> None:
     """K3: add to ``path``. Not idempotent: a rerun adds the rows again
     (use ``publish_new`` when reruns happen)."""

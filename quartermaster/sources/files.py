@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import os
+import re
+from collections.abc import Iterator, Sequence
 
+import pyarrow as pa
+from pyarrow import fs as pafs
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from ..functions.columns import base_name, field, glob_to_regex
+from ..session import scratch_dir
 
 # Literal relations are broadcast by hint; their size is known when built.
 MAX_INLINE_ROWS = 100_000
@@ -19,8 +24,8 @@ def file_inventory(spark: SparkSession, root: str, exclude_names: Sequence[str]
     modified)``, minus files whose base name is excluded (at every depth).
 
     ``binaryFile`` lists in parallel and, because ``content`` is never
-    selected, never reads file bytes. Note: like every Spark file source it
-    skips names starting with ``_`` or ``.``.
+    selected, never reads file bytes. Like every Spark file source it skips
+    names starting with ``_`` or ``.``; ``file_inventory_all`` lists those too.
     """
     df = (spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(root)
           .select("path", base_name("path").alias("name"),
@@ -31,6 +36,70 @@ def file_inventory(spark: SparkSession, root: str, exclude_names: Sequence[str]
     return df
 
 
+def subfolders(spark: SparkSession, root: str, glob: str = "*") -> list[str]:
+    """Names of the folders directly in ``root`` that match a glob, sorted."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(f"{root.rstrip('/')}/{glob}")
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or []
+    return sorted(f.getPath().getName() for f in found if f.isDirectory())
+
+
+LISTED = "path string, name string, length long, modified timestamp, folder boolean"
+
+
+def _store(uri: str) -> tuple[pafs.FileSystem, str, str]:
+    """(file system, path in it, what stands in front of such paths in a URI)."""
+    local = re.fullmatch(r"(?:file:/*(?=/))?(/.*)", uri)
+    if local:
+        return pafs.LocalFileSystem(), local[1], "file:"
+    scheme, authority, rest = re.fullmatch(r"([^:/]+)://([^/]*)(.*)", uri).groups()
+    store, base = pafs.FileSystem.from_uri(f"{scheme}://{authority}/")
+    base = base.rstrip("/")  # a bucket, or nothing
+    return store, base + rest, f"{scheme}://{authority}"[:len(f"{scheme}://{authority}") - len(base)]
+
+
+def _list_folders(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The direct children of each folder. Links are not followed."""
+    for batch in batches:
+        rows = []
+        for uri in batch.column(0).to_pylist():
+            store, at, front = _store(uri)
+            for f in store.get_file_info(pafs.FileSelector(at)):
+                if isinstance(store, pafs.LocalFileSystem) and os.path.islink(f.path):
+                    continue
+                folder = f.type == pafs.FileType.Directory
+                rows.append((front + f.path, f.base_name, 0 if folder else f.size, f.mtime, folder))
+        cols = list(zip(*rows)) or [()] * 5
+        types = (pa.string(), pa.string(), pa.int64(), pa.timestamp("us", tz="UTC"), pa.bool_())
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)],
+                                         names=["path", "name", "length", "modified", "folder"])
+
+
+def file_inventory_all(spark: SparkSession, root: str, exclude_names: Sequence[str] = ()) -> DataFrame:
+    """S1 with every file, as ``find -type f`` lists them: also names that start
+    with ``_`` or ``.``, which Spark's own file listing skips, and files in such
+    folders.
+
+    One round per level of the tree: the folders of a level are dealt evenly to
+    the tasks, which list them; files stay in the shared scratch folder, the
+    folders found are the next level. So a level with many folders is listed by
+    the whole cluster and the driver never holds a name. Links are not followed.
+    Tasks list through Arrow's file systems (local, S3, GCS, HDFS), so they need
+    the access rights there that Spark has."""
+    out = scratch_dir(spark, "inventory")
+    level, n, k = spark.createDataFrame([(root.rstrip("/") or "/",)], "path string"), 1, 0
+    while n:
+        at = f"{out}/level={k}"
+        tasks = min(n, 4 * spark.sparkContext.defaultParallelism)
+        level.repartition(tasks).mapInArrow(_list_folders, LISTED).write.mode("overwrite").parquet(at)
+        level, k = spark.read.schema(LISTED).parquet(at).where("folder").select("path"), k + 1
+        n = level.count()
+    files = (spark.read.schema(f"{LISTED}, level int").parquet(out).where("not folder")
+             .select("path", "name", "length", "modified"))
+    if exclude_names:
+        files = files.filter(~F.col("name").isin(list(exclude_names)))
+    return files
+
+
 def glob_scan(spark: SparkSession, root: str, glob: str, fmt: str = "binaryFile",
               content: bool = False) -> DataFrame:
     """Files directly in ``root`` whose name matches a glob such as

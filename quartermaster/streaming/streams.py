@@ -9,11 +9,13 @@ Progress lives in the query's checkpoint location (a shared folder).
 from __future__ import annotations
 
 import os
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
+from ..sinks.published import BUCKETS, KeyIndex, _files, _touch, publish_indexed
 from ..sinks.writers import Sink, fan_out, publish_new
 
 
@@ -76,3 +78,55 @@ def stream_publish_new(stream: DataFrame, target: str, keys: str | Sequence[str]
                     key_buckets=key_buckets)
 
     return _start(stream, publish_batch, checkpoint, available_now, processing_time)
+
+
+# Spark's provider that keeps state outside the heap and saves changes only.
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def _seed(spark: SparkSession, checkpoint: str, newest: int) -> tuple[int, str]:
+    """(last publish before this stream's first, the stream's name), decided at
+    its first start and kept beside its checkpoint."""
+    note = f"{checkpoint.rstrip('/')}.publishes"
+    made = _files(spark, f"{note}/*")
+    if not made:
+        made = [f"{newest}.stream-{uuid.uuid4().hex}"]
+        _touch(spark, f"{note}/{made[0]}")
+    seed, writer = made[0].split(".", 1)
+    return int(seed), writer
+
+
+def stream_publish_indexed(stream: DataFrame, target: str, keys: str | Sequence[str], checkpoint: str,
+                           index: str | None = None, buckets: int = BUCKETS, fmt: str = "parquet",
+                           available_now: bool = True, processing_time: str | None = None,
+                           state_store: str | None = ROCKSDB) -> StreamingQuery:
+    """T2 with state: publishes each key of a stream once, into a target with
+    a key index (``sinks.published``).
+
+    Keys the stream has seen are in Spark's state store (``dropDuplicates``), so
+    a micro-batch reads nothing that an earlier one wrote. Keys published before
+    the stream's first start are looked up in the index up to that publish. Of
+    several rows of a key, the first micro-batch's is published.
+
+    Micro-batch ``b`` is publish ``seed + 1 + b``: replayed after a failure, it
+    overwrites what it left, or is skipped if it was committed. A restart from
+    the checkpoint therefore publishes nothing twice. Another writer that took
+    one of these numbers is an error."""
+    spark = stream.sparkSession
+    ks = [keys] if isinstance(keys, str) else list(keys)
+    book = KeyIndex(spark, index or f"{target.rstrip('/')}.keys", [stream.schema[k] for k in ks], buckets)
+    seed, writer = _seed(spark, checkpoint, book.last())
+
+    def publish_batch(batch: DataFrame, batch_id: int) -> None:
+        publish_indexed(batch, target, ks, index=book.path, buckets=buckets, fmt=fmt, number=seed + 1 + batch_id,
+                        writer=writer, known_upto=seed, distinct_keys=True)
+
+    setting = "spark.sql.streaming.stateStore.providerClass"
+    before = spark.conf.get(setting, None)
+    if state_store:
+        spark.conf.set(setting, state_store)
+    try:  # a query takes its settings when it starts
+        return _start(stream.dropDuplicates(ks), publish_batch, checkpoint, available_now, processing_time)
+    finally:
+        if state_store:
+            spark.conf.set(setting, before) if before else spark.conf.unset(setting)
