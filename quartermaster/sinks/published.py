@@ -74,6 +74,7 @@ class KeyIndex:
             raise ValueError(f"{path} has {made[0]} buckets, not {buckets}")
         self.buckets = buckets
         self.columns = [f"{kind}{k}" for k in range(len(self.fields)) for kind in ("none_", "key_")]
+        self.dealt_by = [f"key_{k}" for k in range(len(self.fields))]
 
     # -- log
 
@@ -107,7 +108,7 @@ class KeyIndex:
         for k, (c, f) in enumerate(zip(names, self.fields)):
             cols += [F.col(f"`{c}`").isNull().alias(f"none_{k}"),
                      F.coalesce(F.col(f"`{c}`"), _stand_in(f.dataType)).alias(f"key_{k}")]
-        return df.select(*cols).repartition(self.buckets, *self.columns)
+        return df.select(*cols).repartition(self.buckets, *self.dealt_by)
 
     def _schema(self) -> str:
         return ", ".join(f"none_{k} boolean, key_{k} {f.dataType.simpleString()}" for k, f in enumerate(self.fields))
@@ -120,25 +121,28 @@ class KeyIndex:
         name = f"key_segment_{uuid.uuid4().hex}"
         try:
             (keys.write.mode("overwrite").format("parquet")
-             .bucketBy(self.buckets, *self.columns).option("path", self._segment(number)).saveAsTable(name))
+             .bucketBy(self.buckets, *self.dealt_by).option("path", self._segment(number)).saveAsTable(name))
         finally:
             self.spark.sql(f"DROP TABLE IF EXISTS {name}")  # external: the files stay
 
-    def keys(self, upto: int | None = None) -> DataFrame | None:
-        """The keys of the committed publishes (up to one of them), as a bucketed
-        scan; None if there are none."""
+    def _parts(self, upto: int | None = None) -> list[int]:
+        """Numbers of the segments that hold the committed keys."""
         generation, done = self._compacted()
         if upto is not None and done > upto:
             raise ValueError(f"publishes up to {done} are compacted; {upto} can't be read alone")
         parts = [n for n in sorted(self.log()) if n > done and (upto is None or n <= upto)]
-        if generation:
-            parts = [-generation, *parts]
+        return [-generation, *parts] if generation else parts
+
+    def keys(self, upto: int | None = None) -> DataFrame | None:
+        """The keys of the committed publishes (up to one of them), as a bucketed
+        scan; None if there are none."""
+        parts = self._parts(upto)
         if not parts:
             return None
         name = f"key_index_{uuid.uuid4().hex}"
         self.spark.sql(
             f"CREATE TABLE {name} ({self._schema()}, {PUBLISH} bigint) USING parquet PARTITIONED BY ({PUBLISH}) "
-            f"CLUSTERED BY ({', '.join(self.columns)}) INTO {self.buckets} BUCKETS LOCATION '{self.path}/segments'")
+            f"CLUSTERED BY ({', '.join(self.dealt_by)}) INTO {self.buckets} BUCKETS LOCATION '{self.path}/segments'")
         committed = " ".join(f"PARTITION ({PUBLISH}={n}) LOCATION '{self._segment(n)}'" for n in parts)
         self.spark.sql(f"ALTER TABLE {name} ADD {committed}")
         return self.spark.table(name).select(*self.columns)
@@ -148,17 +152,25 @@ class KeyIndex:
         segment only. The index is the streamed side: no exchange, no sort; the
         batch is dealt to its buckets and hashed there."""
         index = self.keys(upto)
-        return None if index is None else index.join(batch_keys.hint("shuffle_hash"), self.columns, "left_semi")
+        if index is None:
+            return None
+        batch = batch_keys.select([F.col(c).alias(f"batch_{c}") for c in self.columns])
+        same = F.lit(True)
+        for k in range(len(self.fields)):
+            same = same & (F.col(f"key_{k}") == F.col(f"batch_key_{k}"))
+            # The flags are equal. As an equality it would be a join key, which the buckets are not made by.
+            same = same & (F.col(f"none_{k}") <= F.col(f"batch_none_{k}")) & (F.col(f"none_{k}") >= F.col(f"batch_none_{k}"))
+        return index.join(batch.hint("shuffle_hash"), same, "left_semi")
 
     def compact(self) -> int:
         """Merges all committed segments into one (one file per bucket) and
         removes them. Returns the generation. A compaction that dies before its
         log entry is overwritten by the next."""
-        generation, last = self._compacted()[0] + 1, self.last()
-        keys = self.keys()
-        if keys is None:
+        generation, last, parts = self._compacted()[0] + 1, self.last(), self._parts()
+        if not parts:
             return generation - 1
-        self.add(keys.repartition(self.buckets, *self.columns), -generation)
+        keys = self.spark.read.schema(self._schema()).parquet(*[self._segment(n) for n in parts])
+        self.add(keys.repartition(self.buckets, *self.dealt_by), -generation)
         _touch(self.spark, f"{self.path}/_log/compact-{generation}.{last}")
         fs, root = _fs(self.spark, f"{self.path}/segments")
         for name in _files(self.spark, f"{self.path}/segments/{PUBLISH}=*"):
