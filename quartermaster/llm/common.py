@@ -79,6 +79,12 @@ class Scratch:
         return out
 
     def drop(self) -> None:
-        jvm = self.spark._jvm
-        path = jvm.org.apache.hadoop.fs.Path(self.root)
+        self._delete(self.root)
+
+    def drop_result(self) -> None:
+        """Removes the result as well, once nothing reads it any more."""
+        self._delete(self.kept)
+
+    def _delete(self, folder: str) -> None:
+        path = self.spark._jvm.org.apache.hadoop.fs.Path(folder)
         path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)

@@ -8,28 +8,35 @@ Training runs on Spark: every task counts the words and n-grams of its
 documents and Spark adds the counts up. It reads a sample bounded per
 language (``max_docs``, chosen by a hash of the row, so it does not depend
 on the layout), and keeps every language and every word and n-gram counted
-twice or more in a written table. Prediction reads every whole text and never
-looks at ``lang``, ``source`` or ``doc_id``.
-
-A model of at most ``max_entries`` numbers (tokens times languages) is
-broadcast whole. Of a larger one the most frequent words are, and the tasks
-score those. All other words leave as (document, word, count) for a join with
-the table; each distinct one is looked up, or taken apart into n-grams, once.
-``max_entries`` decides what is broadcast, not what is predicted.
+twice or more. Prediction reads every whole text and never looks at ``lang``,
+``source`` or ``doc_id``.
+
+The model is sparse: per kind (words, n-grams of each length) the sorted
+64-bit hashes of its tokens, and of each token the languages that have it. Its
+size follows the training sample, not the corpus. It is broadcast if its pairs
+of token and language take ``max_bytes`` at most; a task then scores a slab of
+texts by array operations, and nothing is shuffled. Beyond that bound the most
+frequent words that fit are broadcast, and the other words leave as (document,
+word, count) for a join with the written table; each distinct one is looked
+up, or taken apart into n-grams, once. The bound decides what is broadcast,
+not what is predicted.
 
 Defined results: null text or text without a letter gives ``und`` with score
 0; an empty training set gives ``und`` for everything; ties go to the first
-language by code point; very long texts are counted whole.
+language by code point; very long texts are counted whole; an empty table gives
+no rows; the caller's columns travel in ``row`` whatever their names.
 """
 
 from __future__ import annotations
 
 import re
-from collections import Counter
+from collections import Counter, defaultdict
 from collections.abc import Iterator
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
+import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -39,9 +46,12 @@ from .common import Scratch, pack
 
 UNKNOWN = "und"
 MAX_DOCS = 10_000
-MAX_ENTRIES = 400_000
+MAX_BYTES = 1 << 26
+PAIR_BYTES = 16         # of the broadcast model, per token and language, at most
+SLAB = 1 << 22          # characters scored at once
 SCALE = 1 << 28  # joined log ratios are added as whole numbers, in any order
 NGRAMS = (5, 4, 3, 2, 1)
+KINDS = (0, *NGRAMS)    # 0: whole words
 LETTERS = re.compile(r"[^\W\d_]+")
 
 
@@ -78,14 +88,14 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def train(docs: DataFrame, text: str = "text", lang: str = "lang", max_docs: int = MAX_DOCS,
-          max_entries: int = MAX_ENTRIES) -> dict:
-    """The model: languages, per n (0: words) the row of each broadcast token,
-    the log probabilities of each row, and for a model that is not broadcast
-    whole the ``table`` of all tokens and the log probabilities ``floor`` of a
-    token that a language lacks, per n.
+          max_bytes: int = MAX_BYTES) -> dict:
+    """The model: ``langs``; per kind in ``tokens`` the sorted token hashes with
+    their ``begin`` in ``at`` (language) and ``ratio`` (log ratio to the floor);
+    ``floor``: per kind, the log probability of a token that a language lacks;
+    ``table``: the written table of all tokens if not all are in the model.
 
     ``docs`` holds the rows that may be learned from. ``max_docs`` bounds the
-    sample per language, ``max_entries`` the broadcast part of the model."""
+    sample per language, ``max_bytes`` the broadcast part of the model."""
     spark = docs.sparkSession
     rows = docs.select(F.col(lang).alias("lang"), F.col(text).alias("text"),
                        F.pmod(F.xxhash64(*[F.col(f"`{c}`") for c in docs.columns]),
@@ -93,7 +103,7 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", max_docs: int
     sizes = {r["lang"]: r["n"] for r in rows.groupBy("lang").agg(F.count(F.lit(1)).alias("n")).collect()}
     langs = sorted(sizes)
     if not langs:
-        return {"langs": [], "tokens": {}, "logs": None, "table": None}
+        return {"langs": [], "tokens": {}, "floor": None, "table": None}
     known = spark.createDataFrame([(x, i, int((1 << 20) * min(1.0, max_docs / sizes[x])))
                                    for i, x in enumerate(langs)], "known string, at int, below long")
     sample = (rows.join(F.broadcast(known), F.col("lang") == F.col("known"))
@@ -104,73 +114,139 @@ def train(docs: DataFrame, text: str = "text", lang: str = "lang", max_docs: int
                  .agg(F.sum("count").alias("total"),
                       F.collect_list(F.struct("at", "count")).alias("by_lang"))
                  .where("total >= 2"))
-    per_token = Scratch(spark, "lang-id").result(per_token)
-    kinds = {n: k for k, n in enumerate((0, *NGRAMS))}
-    sums = np.zeros((len(kinds), len(langs)))
-    n_tokens = np.zeros((len(kinds), 1))
-    for r in per_token.groupBy("n").agg(F.count(F.lit(1)).alias("tokens")).collect():
-        n_tokens[kinds[r["n"]]] = r["tokens"]
+    scratch = Scratch(spark, "lang-id")
+    per_token = scratch.result(per_token)
+    sums = np.zeros((len(KINDS), len(langs)))
+    n_tokens = np.zeros((len(KINDS), 1))
+    pairs = 0
+    for r in per_token.groupBy("n").agg(F.count(F.lit(1)).alias("tokens"), F.sum(F.size("by_lang")).alias("pairs")).collect():
+        n_tokens[KINDS.index(r["n"])] = r["tokens"]
+        pairs += r["pairs"]
     for r in (per_token.select("n", F.inline("by_lang")).groupBy("n", "at")
               .agg(F.sum("count").alias("count")).collect()):
-        sums[kinds[r["n"]], r["at"]] = r["count"]
+        sums[KINDS.index(r["n"]), r["at"]] = r["count"]
     floor = np.log(0.1 / (sums + 0.1 * n_tokens + 1))
-    room = max(1, max_entries // len(langs))
-    whole = n_tokens.sum() <= room
-    tokens: dict[int, dict[str, int]] = {n: {} for n in kinds}
-    freqs, of = [], []
-    shared = per_token if whole else per_token.where("n = 0").orderBy(F.desc("total"), "token").limit(room)
-    for r in shared.toLocalIterator():
-        tokens[r["n"]][r["token"]] = len(freqs)
-        of.append(kinds[r["n"]])
-        freqs.append([0.0] * len(langs))
-        for x in r["by_lang"]:
-            freqs[-1][x["at"]] = x["count"]
-    freqs = np.array(freqs, np.float64).reshape(-1, len(langs))
-    logs = np.log((freqs + 0.1) / 0.1) + floor[np.array(of, np.int64)]
-    return {"langs": langs, "tokens": tokens, "logs": logs, "floor": floor,
-            "table": None if whole else per_token}
-
-
-def evidence(word: str, tokens: dict) -> list[int]:
-    """Rows of the model that speak for one word: the word itself, else its
-    known n-grams of the longest length that has any."""
-    known = tokens[0].get(word)
-    if known is not None:
-        return [known]
-    if not any(map(str.isalpha, word)):
-        return []
+    whole = pairs * PAIR_BYTES <= max_bytes
+    shared = per_token
+    if not whole:  # a word has a pair per language at most
+        shared = (per_token.where("n = 0").orderBy(F.desc("total"), "token")
+                  .limit(max(1, max_bytes // PAIR_BYTES // len(langs))))
+    found = shared.select("n", F.xxhash64("token").alias("hash"), F.inline("by_lang")).toArrow()
+    n, hashes, at, times = (found[c].to_numpy() for c in ("n", "hash", "at", "count"))
+    tokens = {}
+    for kind in KINDS:
+        mine = np.flatnonzero(n == kind)
+        h = hashes[mine].view(np.uint64)
+        mine = mine[np.lexsort((at[mine], h))]
+        h, first = np.unique(hashes[mine].view(np.uint64), return_index=True)
+        tokens[kind] = (h, np.append(first, len(mine)), at[mine].astype(np.int32),
+                        np.log((times[mine] + 0.1) / 0.1).astype(np.float32))
+    if whole:
+        scratch.drop_result()
+    return {"langs": langs, "tokens": tokens, "floor": floor, "table": None if whole else per_token}
+
+
+def lookup(words: list[str], model: dict, kind: int) -> np.ndarray:
+    """Place of each token in the model, -1 if it is not there."""
+    known = model["tokens"][kind][0]
+    if not words or not len(known):
+        return np.full(len(words), -1)
+    hashes = np.array([xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass"), 42) for w in words], np.uint64)
+    place = np.minimum(np.searchsorted(known, hashes), len(known) - 1)
+    return np.where(known[place] == hashes, place, -1)
+
+
+def _spread(model: dict, kind: int, place: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(position in ``place``, language, log ratio) of the tokens' pairs."""
+    _, begin, at, ratio = model["tokens"][kind]
+    n = begin[place + 1] - begin[place]
+    which = np.repeat(np.arange(len(place)), n)
+    pair = np.arange(n.sum()) + np.repeat(begin[place] - (np.cumsum(n) - n), n)
+    return which, at[pair], ratio[pair].astype(np.float64)
+
+
+def evidence(words: list[str], model: dict, backoff: bool = True) -> tuple[np.ndarray, ...]:
+    """What the model says of distinct words: the kind of each word's tokens (-1:
+    no evidence), and (word, language, log ratio) of what differs from the
+    floor. A word's n-grams share its weight, so it counts once."""
+    kinds = np.full(len(words), -1)
+    place = lookup(words, model, 0)
+    found = np.flatnonzero(place >= 0)
+    kinds[found] = 0
+    which, at, ratio = _spread(model, 0, place[found])
+    parts = [(found[which], at, ratio)]
+    left = [k for k in np.flatnonzero(place < 0).tolist() if any(map(str.isalpha, words[k]))] if backoff else []
     for n in NGRAMS:
-        found = [x for g in _grams(word, n) if (x := tokens[n].get(g)) is not None]
-        if found:
-            return found
-    return []
-
-
-def posterior(text: str, model: dict) -> np.ndarray | None:
-    """Probability of each language, or None without a letter. A word's
-    n-grams share its weight, so each word counts once."""
-    words = Counter(LETTERS.findall(text.lower()))
-    tokens, ids, weights = model["tokens"], [], []
-    get = tokens[0].get
-    for w, c in words.items():
-        known = get(w)
-        if known is not None:
-            ids.append(known)
-            weights.append(c)
-        elif found := evidence(w, tokens):
-            ids += found
-            weights += [c / len(found)] * len(found)
-    if not ids and not any(any(map(str.isalpha, w)) for w in words):
-        return None
-    total = np.array(weights) @ model["logs"][ids] if ids else np.zeros(len(model["langs"]))
-    p = np.exp(total - total.max())
-    return p / p.sum()
-
-
-def _name(p: np.ndarray | None, langs: list[str]) -> tuple[str, float]:
-    """Language and probability of a posterior."""
-    best = None if p is None else int(p.argmax())
-    return (UNKNOWN, 0.0) if best is None else (langs[best], float(p[best]))
+        if not left:
+            break
+        ids: dict[str, int] = defaultdict(count().__next__)
+        grams = [[ids[g] for g in _grams(words[k], n)] for k in left]
+        of = np.repeat(np.arange(len(left)), [len(g) for g in grams])
+        place = lookup(list(ids), model, n)[np.array([g for gs in grams for g in gs], np.int64)]
+        of, place = of[place >= 0], place[place >= 0]
+        times = np.bincount(of, minlength=len(left))
+        which, at, ratio = _spread(model, n, place)
+        settled = np.array(left)
+        parts.append((settled[of[which]], at, ratio / times[of[which]]))
+        kinds[settled[times > 0]] = n
+        left = settled[times == 0].tolist()
+    return kinds, *(np.concatenate(x) for x in zip(*parts))
+
+
+def scores(texts: list[str | None], model: dict) -> tuple[np.ndarray, list[bool]]:
+    """Log scores of each text in each language, and whether it has a letter."""
+    n_langs = len(model["langs"])
+    total, letter = np.zeros((len(texts), n_langs)), []
+    ids: dict[str, int] = defaultdict(count().__next__)
+    tokens = [np.fromiter(map(ids.__getitem__, LETTERS.findall(t.lower())) if t else (), np.int64) for t in texts]
+    words = list(ids)
+    has = np.array([any(map(str.isalpha, w)) for w in words], bool)
+    letter = [bool(len(x)) and bool(has[x].any()) for x in tokens]
+    if not words:
+        return total, letter
+    kinds, word, at, ratio = evidence(words, model)
+    # (document, word) pairs with their counts.
+    doc = np.repeat(np.arange(len(texts)), [len(x) for x in tokens])
+    pair, times = np.unique(doc * len(words) + np.concatenate(tokens), return_counts=True)
+    doc, of = pair // len(words), pair % len(words)
+    seen = kinds[of] >= 0
+    kind = np.searchsorted(np.array(KINDS)[KIND_ORDER], kinds[of][seen])
+    per_kind = np.bincount(doc[seen] * len(KINDS) + KIND_ORDER[kind], times[seen], len(texts) * len(KINDS))
+    total += per_kind.reshape(-1, len(KINDS)) @ model["floor"]
+    order = np.argsort(word, kind="stable")
+    word, at, ratio = word[order], at[order], ratio[order]
+    lo = np.searchsorted(word, of)
+    n = np.searchsorted(word, of, side="right") - lo
+    entry = np.arange(n.sum()) + np.repeat(lo - (np.cumsum(n) - n), n)
+    total += np.bincount(np.repeat(doc, n) * n_langs + at[entry], np.repeat(times, n) * ratio[entry],
+                         len(texts) * n_langs).reshape(-1, n_langs)
+    return total, letter
+
+
+KIND_ORDER = np.argsort(KINDS)
+
+
+def _named(total: np.ndarray, letter: list[bool], langs: list[str]) -> tuple[list[str], list[float]]:
+    """Languages and probabilities of log scores."""
+    if not langs or not len(total):
+        return [UNKNOWN] * len(total), [0.0] * len(total)
+    p = np.exp(total - total.max(axis=1, keepdims=True))
+    p /= p.sum(axis=1, keepdims=True)
+    best = p.argmax(axis=1)
+    return ([langs[k] if ok else UNKNOWN for k, ok in zip(best.tolist(), letter)],
+            [x if ok else 0.0 for x, ok in zip(p[np.arange(len(p)), best].tolist(), letter)])
+
+
+def _slabs(texts: list[str | None]) -> Iterator[tuple[int, int]]:
+    """Ranges of texts of about ``SLAB`` characters."""
+    lo, room = 0, SLAB
+    for k, t in enumerate(texts):
+        room -= len(t or "")
+        if room < 0:
+            yield lo, k + 1
+            lo, room = k + 1, SLAB
+    if lo < len(texts):
+        yield lo, len(texts)
 
 
 def predict(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:
@@ -184,13 +260,17 @@ def predict(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
+        langs = model["langs"]
         for batch in batches:
-            named = [_name(posterior(t, model) if t and model["langs"] else None, model["langs"])
-                     for t in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column(0), pa.array([x for x, _ in named], pa.string()),
-                 pa.array([x for _, x in named], pa.float64())],
-                names=["row", "lang_pred", "score"])
+            texts = batch.column(1).to_pylist()
+            names, probs = [], []
+            for lo, hi in _slabs(texts):
+                part = texts[lo:hi]
+                named = _named(*scores(part, model), langs) if langs else ([UNKNOWN] * len(part), [0.0] * len(part))
+                names += named[0]
+                probs += named[1]
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.string()), pa.array(probs, pa.float64())],
+                                             names=["row", "lang_pred", "score"])
 
     return rows.mapInArrow(run, StructType([rows.schema["row"], StructField("lang_pred", StringType()),
                                             StructField("score", DoubleType())]))
@@ -202,7 +282,6 @@ def _shared_part(shared):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
-        get, logs, none = model["tokens"][0].get, model["logs"], np.zeros(len(model["langs"]))
         number = TaskContext.get().partitionId() << 33
         for batch in batches:
             out: dict[tuple[int, int], tuple] = {}
@@ -210,18 +289,14 @@ def _shared_part(shared):
                 if (k_hash, k_mix) in out:
                     continue
                 words = Counter(LETTERS.findall(t.lower())) if t else {}
-                ids, weights, rest, counts = [], [], [], []
-                for w, c in words.items():
-                    known = get(w)
-                    if known is None:
-                        rest.append(w)
-                        counts.append(c)
-                    else:
-                        ids.append(known)
-                        weights.append(c)
-                total = np.array(weights) @ logs[ids] if ids else none
-                letter = bool(ids) or any(any(map(str.isalpha, w)) for w in rest)
-                out[k_hash, k_mix] = (number, k_hash, k_mix, letter, total, rest, counts)
+                names, times = list(words), np.array(list(words.values()), np.float64)
+                kinds, word, at, ratio = evidence(names, model, backoff=False)
+                total = model["floor"][0] * times[kinds == 0].sum() + np.bincount(
+                    at, times[word] * ratio, len(model["langs"]))
+                rest = np.flatnonzero(kinds < 0).tolist()
+                letter = any(any(map(str.isalpha, w)) for w in words)
+                out[k_hash, k_mix] = (number, k_hash, k_mix, letter, total, [names[k] for k in rest],
+                                      [words[names[k]] for k in rest])
                 number += 1
             cols = list(zip(*out.values())) or [()] * 7
             kinds = [pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.list_(pa.float64()),
@@ -288,7 +363,7 @@ def _predict_joined(docs: DataFrame, model: dict, text: str) -> DataFrame:
     spark = docs.sparkSession
     scratch = Scratch(spark, "lang-id-predict")
     table, langs, floor = model["table"], model["langs"], model["floor"]
-    shared = spark.sparkContext.broadcast({k: model[k] for k in ("langs", "tokens", "logs")})
+    shared = spark.sparkContext.broadcast({k: model[k] for k in ("langs", "tokens", "floor")})
     key = [F.xxhash64(F.col(text)).alias("k_hash"), F.hash(F.col(text)).alias("k_mix")]
     thin = scratch.table(docs.select(*key, F.col(text).alias("text")).mapInArrow(
         _shared_part(shared), "doc long, k_hash long, k_mix int, letter boolean, total array<double>, "
@@ -302,20 +377,18 @@ def _predict_joined(docs: DataFrame, model: dict, text: str) -> DataFrame:
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            named = []
-            for letter, total, sums in zip(*(c.to_pylist() for c in batch.columns[2:])):
-                total = np.array(total)
+            totals, letters = np.zeros((batch.num_rows, len(langs))), []
+            for total, letter, start, sums in zip(totals, *(c.to_pylist() for c in batch.columns[2:])):
+                total += start
                 for x in sums or ():
                     if x["at"] < 0:
                         total += x["v"] * floor[kind_of[x["at"]]]
                     else:
                         total[x["at"]] += x["v"] / SCALE
-                p = np.exp(total - total.max())
-                named.append(_name(p / p.sum() if letter or sums else None, langs))
-            yield pa.RecordBatch.from_arrays(
-                [*batch.columns[:2], pa.array([x for x, _ in named], pa.string()),
-                 pa.array([x for _, x in named], pa.float64())],
-                names=["k_hash", "k_mix", "lang_pred", "score"])
+                letters.append(letter or bool(sums))
+            names, probs = _named(totals, letters, langs)
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(names, pa.string()), pa.array(probs, pa.float64())],
+                                             names=["k_hash", "k_mix", "lang_pred", "score"])
 
     found = (thin.join(sums, "doc", "left").select("k_hash", "k_mix", "letter", "total", "sums")
              .mapInArrow(finish, "k_hash long, k_mix int, lang_pred string, score double"))

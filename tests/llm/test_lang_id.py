@@ -1,6 +1,9 @@
 from __future__ import annotations
 
+import math
+import re
 import zlib
+from collections import Counter
 
 from pyspark.sql import functions as F
 
@@ -32,24 +35,63 @@ def test_prediction_ignores_lang_source_and_id(make_docs, spark):
     assert (a["lang_pred"], a["score"]) == (b["lang_pred"], b["score"]) == ("en", a["score"])
 
 
-def test_words_come_first_and_unseen_words_back_off():
-    model = {0: {"hello": 1}, 5: {}, 4: {}, 3: {"^he": 3}, 2: {}, 1: {"h": 5, "o": 6}}
-    assert lang_id.evidence("hello", model) == [1]
-    assert lang_id.evidence("hey", model) == [3]
-    assert lang_id.evidence("oh", model) == [6, 5]
-    assert lang_id.evidence("zzz", model) == []
+def plain_model(rows):
+    """(counts per kind, language and token) of (text, lang) rows."""
+    counts = {}
+    for text, lang in rows:
+        for w in re.findall(r"[^\W\d_]+", text.lower()):
+            for n in (0, 5, 4, 3, 2, 1):
+                padded = w if n < 2 else f"^{w}$"
+                for g in [w] if n == 0 else [padded[i:i + n] for i in range(len(padded) - n + 1)]:
+                    per = counts.setdefault((n, g), Counter())
+                    per[lang] += 1
+    return {k: per for k, per in counts.items() if sum(per.values()) >= 2}
+
+
+def plain_scores(text, counts, langs):
+    sums, tokens = Counter(), Counter()
+    for (n, _), per in counts.items():
+        tokens[n] += 1
+        for lang, c in per.items():
+            sums[n, lang] += c
+    log = lambda n, g, lang: math.log((counts[n, g][lang] + 0.1) / (sums[n, lang] + 0.1 * tokens[n] + 1))
+    out = dict.fromkeys(langs, 0.0)
+    for w in re.findall(r"[^\W\d_]+", text.lower()):
+        for n in (0, 5, 4, 3, 2, 1):
+            padded = w if n < 2 else f"^{w}$"
+            found = [g for g in ([w] if n == 0 else [padded[i:i + n] for i in range(len(padded) - n + 1)]) if (n, g) in counts]
+            if found:
+                for lang in langs:
+                    out[lang] += sum(log(n, g, lang) for g in found) / len(found)
+                break
+    return out
+
+
+def test_words_come_first_and_unseen_words_back_off(make_docs):
+    # Every token twice, so that it is counted.
+    model = lang_id.train(make_docs([(0, "hello hello who who", "aa"), (2, "hex hex", "bb")]))
+    kinds, word, at, _ = lang_id.evidence(["hello", "hey", "oh", "zzz", "\u00bd"], model)
+    # "^he" has three letters; "oh" has no known pair but known letters.
+    assert kinds.tolist() == [0, 3, 1, -1, -1]
+    assert {(int(w), int(a)) for w, a in zip(word, at)} >= {(0, 0), (1, 0), (1, 1), (2, 0)}
 
 
 def test_scores_match_a_plain_version(spark):
-    docs = spark.read.parquet(SF01).limit(60)
-    model = lang_id.train(spark.read.parquet(SF01).where(~lang_id.held_out()))
+    learn = spark.read.parquet(SF01).where(~lang_id.held_out()).where("doc_id % 4 = 0")
+    docs = spark.read.parquet(SF01).where("doc_id % 25 = 1")
+    counts = plain_model([(r["text"], r["lang"]) for r in learn.collect() if r["text"] and r["lang"]])
+    model = lang_id.train(learn)
+    n = 0
     for r in lang_id.predict(docs, model).collect():
-        total = [0.0] * 4
-        for w in lang_id.LETTERS.findall(r["row"]["text"].lower()):
-            found = lang_id.evidence(w, model["tokens"])
-            for k in range(4):
-                total[k] += sum(model["logs"][x][k] for x in found) / max(1, len(found))
-        assert r["lang_pred"] == model["langs"][total.index(max(total))]
+        want = plain_scores(r["row"]["text"] or "", counts, model["langs"])
+        best = max(want.values())
+        if not re.search(r"[^\W\d_]", r["row"]["text"] or ""):
+            assert r["lang_pred"] == "und"
+            continue
+        n += 1
+        assert r["lang_pred"] == min(x for x in want if want[x] == best)
+        assert abs(r["score"] - 1 / sum(math.exp(x - best) for x in want.values())) < 1e-4
+    assert n > 30
 
 
 def test_edge_cases(make_docs, clashes, spark):
@@ -72,9 +114,9 @@ def test_what_is_broadcast_does_not_change_the_result(spark, clashes):
                                  "doc_id long, text string")
     docs = docs.select("doc_id", "text").unionByName(more).selectExpr("*", *clashes)
     out = []
-    for entries in (10_000_000, 400, 4):
-        model = lang_id.train(learn, max_entries=entries)
-        assert (model["table"] is None) == (entries == 10_000_000)
+    for size in (1 << 30, 6400, 64):
+        model = lang_id.train(learn, max_bytes=size)
+        assert (model["table"] is None) == (size == 1 << 30)
         out.append(sorted(((r["row"]["doc_id"], r["row"]["text"] or "", r["lang_pred"], r["score"])
                            for r in lang_id.predict(docs, model).collect()), key=lambda x: x[:2]))
     assert len(out[0]) == 156
@@ -87,7 +129,7 @@ def test_no_language_is_left_out(make_docs):
     name = lambda k: "".join(chr(97 + int(d)) for d in f"{k:03d}")
     rows = [(3 * k + j, f"{name(k)}word {name(k)}text", f"l{k:03d}") for k in range(230) for j in range(3)]
     rows += [(10_000 + j, "aaaword aaatext", "l000") for j in range(20)]
-    model = lang_id.train(make_docs(rows), max_entries=2300)
+    model = lang_id.train(make_docs(rows), max_bytes=36_800)
     assert len(model["langs"]) == 230
     out = {r["row"]["text"]: r["lang_pred"] for r in lang_id.predict(make_docs(rows), model).collect()}
     assert all(out[text] == lang for _, text, lang in rows)
