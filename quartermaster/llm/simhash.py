@@ -31,10 +31,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import KEY, Scratch, doc_key, key_id
+from .common import KEY, Scratch, doc_key, key_id, pack
 from .components import connected_components
 
 SHINGLE = 3
@@ -165,7 +165,9 @@ def links(distinct_fps: DataFrame, scratch: Scratch, max_bits: int = MAX_BITS,
 
     bit = F.col("bit")
     mask = F.expr("shiftleft(1L, bit)")
-    variants = (values.select("seg", "val", F.explode(F.sequence(F.lit(0), F.lit(31))).alias("bit"))
+    # The distinct values are few files; their 32 variants each are dealt to all tasks.
+    spread = values.repartition(2 * distinct_fps.sparkSession.sparkContext.defaultParallelism, "val")
+    variants = (spread.select("seg", "val", F.explode(F.sequence(F.lit(0), F.lit(31))).alias("bit"))
                 .select(block_id(bit, F.col("val").bitwiseAND(F.bitwise_not(mask))).alias("blk"),
                         F.when(F.col("val").bitwiseAND(mask) == 0, 1).otherwise(2).cast("byte").alias("has"))
                 .groupBy("blk").agg(F.bit_or("has").alias("has")).where("has = 3")
@@ -220,9 +222,18 @@ def components(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **pa
         "component_id"))
 
 
+def _draw(docs: DataFrame, besides: tuple[str, ...]) -> Column:
+    """A hash of all columns but ``besides``, of any type."""
+    cols = [F.col(f"`{f.name}`") if "map<" not in f.dataType.simpleString() else F.to_json(F.struct(F.col(f"`{f.name}`")))
+            for f in docs.schema.fields if f.name not in besides]
+    return F.xxhash64(F.lit(0), *cols)
+
+
 def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **params) -> DataFrame:
     """The rows of ``docs`` with one document left of each component: the
-    one of least ``doc_id`` (null last, then by text hash)."""
+    one of least ``doc_id`` (null last, then by text hash; of rows that agree in
+    both, the one whose other columns have the least hash). What is left does
+    not depend on the order of the input."""
     spark = docs.sparkSession
     scratch = Scratch(spark, "simhash-keep")
     marked = scratch.table(near_dedup(docs, scratch, doc_id, text, **params), "marked")
@@ -230,10 +241,15 @@ def keep_one(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", **para
             .agg(F.min(F.struct("k_null", "k_id", "k_hash")).alias("k"))
             .select(*[F.col(f"k.{c}").alias(f"keep_{c}") for c in KEY]))
     same = [F.col(c) == F.col(f"keep_{c}") for c in KEY]
-    times = marked.groupBy(*KEY).agg(F.count(F.lit(1)).alias("times"))
-    keep = scratch.result(times.join(best, same).select(*[f"keep_{c}" for c in KEY], "times"))
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
-                       *doc_key(doc_id, text)).join(keep, same)
-    once = rows.where("times = 1").select("row.*")
-    repeated = rows.where("times > 1").groupBy(*KEY).agg(F.first("row").alias("row")).select("row.*")
+    rest = docs.select(*doc_key(doc_id, text), _draw(docs, (doc_id, text)).alias("draw"))
+    # Of each key the least draw, and how many rows have it.
+    times = (rest.groupBy(*KEY, "draw").agg(F.count(F.lit(1)).alias("times"))
+             .groupBy(*KEY).agg(F.min(F.struct("draw", "times")).alias("d")))
+    keep = scratch.result(times.join(best, same).select(
+        *[F.col(f"keep_{c}") for c in KEY], F.col("d.draw").alias("keep_draw"), F.col("d.times").alias("keep_times")))
+    rows = docs.select(pack(docs).alias("row"), *doc_key(doc_id, text), _draw(docs, (doc_id, text)).alias("draw")).join(
+        keep, [*same, F.col("draw") == F.col("keep_draw")])
+    once = rows.where("keep_times = 1").select("row.*")
+    # What is left of these keys are copies of one row.
+    repeated = rows.where("keep_times > 1").groupBy(*KEY).agg(F.first("row").alias("row")).select("row.*")
     return once.unionByName(repeated)
