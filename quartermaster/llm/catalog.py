@@ -118,7 +118,7 @@ WITH d AS MATERIALIZED (
          regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                             '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
 i AS MATERIALIZED (
-  SELECT item_id::VARCHAR AS item,
+  SELECT coalesce(item_id::VARCHAR, '') AS item,
          regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
                             '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM benchmark),
 win AS MATERIALIZED (
@@ -141,20 +141,22 @@ wt AS MATERIALIZED (
   FROM (SELECT *, row_number() OVER () AS wid
         FROM (SELECT item, w, least(13, len(w)) AS n, unnest(range(1, greatest(len(w) - 12, 1) + 1)) AS p
               FROM i WHERE len(w) > 0)) AS q, unnest(range(0, n)) AS u(j)),
-anchor AS MATERIALIZED (
-  SELECT wid, item, n, first(j ORDER BY coalesce(f, 0), j) AS j, first(wt.term ORDER BY coalesce(f, 0), j) AS term
-  FROM wt LEFT JOIN cf ON wt.term = cf.term GROUP BY wid, item, n),
+rare AS MATERIALIZED (
+  SELECT wid, n, j, term FROM (
+    SELECT wt.*, row_number() OVER (PARTITION BY wid ORDER BY coalesce(f, 0), j) AS rank
+    FROM wt LEFT JOIN cf ON wt.term = cf.term) WHERE rank <= n - ceil(0.8::DOUBLE * n) + 1),
 cand AS MATERIALIZED (
-  SELECT rid, wid, item, n, pos - j AS start FROM anchor JOIN post ON anchor.term = post.term),
+  SELECT DISTINCT rid, wid, pos - j + shift AS start
+  FROM rare JOIN post ON rare.term = post.term, (SELECT unnest(range(-2, 3)) AS shift)),
 near AS (
-  SELECT cand.rid, cand.item, cand.n, count(DISTINCT wt.j) AS hits,
+  SELECT cand.rid, wt.item, wt.n, count(DISTINCT wt.j) AS hits,
          count(*) FILTER (WHERE post.pos = cand.start + wt.j) AS same
   FROM cand JOIN wt ON cand.wid = wt.wid
        JOIN post ON post.rid = cand.rid AND post.term = wt.term
                 AND post.pos BETWEEN cand.start + wt.j - 2 AND cand.start + wt.j + 2
-  GROUP BY cand.rid, cand.wid, cand.item, cand.n, cand.start),
+  GROUP BY cand.rid, cand.wid, wt.item, wt.n, cand.start),
 y AS (SELECT rid, count(DISTINCT item) AS n_near_items FROM near
-      WHERE hits >= ceil(0.8::DOUBLE * n) AND same < n GROUP BY rid),
+      WHERE hits >= ceil(0.8::DOUBLE * n) AND same BETWEEN 1 AND n - 1 GROUP BY rid),
 x AS (SELECT rid, count(DISTINCT item) AS n_items, sha256(string_agg(DISTINCT item, ',' ORDER BY item)) AS items_sha256
       FROM m GROUP BY rid)
 SELECT d.doc_id, len(d.w)::BIGINT AS n_words, coalesce(h.n_hit, 0) AS n_hit, coalesce(x.n_items, 0) AS n_items,
@@ -201,7 +203,7 @@ c AS (SELECT source, line_key, count(DISTINCT rid) AS n FROM k GROUP BY source,
 h AS (SELECT source, count(*) AS n FROM d GROUP BY source),
 above AS MATERIALIZED (
   SELECT c.source, c.line_key FROM c JOIN h ON c.source IS NOT DISTINCT FROM h.source
-  WHERE c.n > 5 AND c.n::DOUBLE > 0.1::DOUBLE * h.n),
+  WHERE c.n > 5 OR (c.n >= 3 AND c.n::DOUBLE > 0.1::DOUBLE * h.n)),
 gone AS (SELECT k.rid, sum(k.n)::BIGINT AS n_removed
          FROM k JOIN above ON k.source IS NOT DISTINCT FROM above.source AND k.line_key = above.line_key GROUP BY k.rid),
 tri AS MATERIALIZED (

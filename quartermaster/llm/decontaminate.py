@@ -8,9 +8,13 @@
 3. Each benchmark window (``width`` consecutive words) starts from the
    postings of its rarest term, shifted by the term's offset in the window,
    and is intersected with the equally shifted lists of its other terms, from
-   rare to common. What survives is an exact phrase match; candidates that
-   keep at least ``near_share`` of their terms within ``slop`` positions are
-   proximity matches.
+   rare to common. What survives is an exact phrase match.
+4. A proximity match is a place where at least ``near_share`` of a window's
+   terms stand within ``slop`` positions of where they belong, one of them
+   exactly there, but not all. Of ``n`` terms ``n - need`` may be missing, so one
+   of the ``n - need + 1`` rarest is near: their postings, shifted by up to
+   ``slop``, are all the starts there can be. Terms are checked from rare to
+   common and a start goes as soon as too many are missing.
 
 Bounds: the benchmark is taken in blocks of about ``block_words`` words
 (whole items); only one block at a time is on the driver and broadcast.
@@ -19,7 +23,9 @@ Documents are taken in Arrow batches; candidates in slices of
 
 Defined results: null or word-free texts have no words and no matches; items
 without words have no window; an item without an id counts under the empty
-name; repeated items count once by id; repeated documents are each reported.
+name; repeated items count once by id; repeated documents are each reported;
+empty tables give no rows, or no matches; texts are read whole, however long;
+extra columns travel in a struct or are not looked at.
 """
 
 from __future__ import annotations
@@ -41,6 +47,7 @@ NEAR_SHARE = 0.8
 BLOCK_WORDS = 500_000
 CANDIDATES = 1_000_000
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")  # ALNUM_WORD on lower-cased UTF-8
+MARGIN = 1 << 20  # starts may lie before the first word
 SHIFT = 40  # a posting is term << SHIFT | position
 
 
@@ -121,39 +128,54 @@ def _flat(column: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         column.value_lengths().to_numpy(zero_copy_only=False)
 
 
-def _candidates(keys: np.ndarray, windows: Phrases):
-    """(window, start) of every posting of every window's rarest term, in
-    slices of about CANDIDATES rows."""
-    anchor = windows.terms[:, 0]
-    lo = np.searchsorted(keys, anchor << SHIFT)
-    n = np.searchsorted(keys, (anchor + 1) << SHIFT) - lo
+def _candidates(keys: np.ndarray, windows: Phrases, rank: int, slop: int):
+    """(window, start) of every posting of every window's term of ``rank`` (0:
+    rarest), shifted by up to ``slop``, in slices of about CANDIDATES rows."""
+    term = windows.terms[:, rank]
+    lo = np.searchsorted(keys, term << SHIFT)
+    n = np.where(term >= 0, np.searchsorted(keys, (term + 1) << SHIFT) - lo, 0)
     used = np.flatnonzero(n)
-    piece = np.cumsum(n[used]) // CANDIDATES
+    piece = np.cumsum(n[used]) * (2 * slop + 1) // CANDIDATES
     for k in np.unique(piece):
         w = used[piece == k]
         win = np.repeat(w, n[w])
         within = np.arange(len(win)) - np.repeat(np.cumsum(n[w]) - n[w], n[w])
-        place = keys[lo[win] + within] & ((1 << SHIFT) - 1)
-        yield win, place - windows.offset[win, 0]
+        start = (keys[lo[win] + within] & ((1 << SHIFT) - 1)) - windows.offset[win, rank]
+        yield np.repeat(win, 2 * slop + 1), (start[:, None] + np.arange(-slop, slop + 1)).ravel()
+
+
+def _stands(keys: np.ndarray, want: np.ndarray, slop: int) -> np.ndarray:
+    """Whether a posting lies within ``slop`` of each wanted one."""
+    at = np.minimum(np.searchsorted(keys, want - slop), len(keys) - 1)
+    return np.abs(keys[at] - want) <= slop
 
 
 def _match(keys: np.ndarray, windows: Phrases, slop: int, near_share: float):
     """Exact and proximity matches as (window, start) arrays."""
     exact, near = [], []
-    for win, start in _candidates(keys, windows):
-        hits = np.zeros(len(win), np.int64)
-        full = np.ones(len(win), bool)
-        for j in range(windows.width):
-            term, used = windows.terms[win, j], windows.terms[win, j] >= 0
-            want = np.where(used, (term << SHIFT) + start + windows.offset[win, j], 0)
-            at = np.searchsorted(keys, want - slop)
-            found = keys[np.minimum(at, len(keys) - 1)]
-            hits += used & (at < len(keys)) & (found <= want + slop) & (found >= want - slop)
-            same = np.searchsorted(keys, want)
-            full &= ~used | ((same < len(keys)) & (keys[np.minimum(same, len(keys) - 1)] == want))
-        exact.append((win[full], start[full]))
-        close = (hits >= np.ceil(near_share * windows.length[win])) & ~full
-        near.append((win[close], start[close]))
+    for win, start in _candidates(keys, windows, 0, 0):
+        for j in range(1, windows.width):
+            term = windows.terms[win, j]
+            ok = (term < 0) | _stands(keys, (term << SHIFT) + start + windows.offset[win, j], 0)
+            win, start = win[ok], start[ok]
+        exact.append((win, start))
+    need = np.ceil(near_share * windows.length).astype(np.int64)
+    may_miss = windows.length - need
+    for rank in range(int(may_miss.max(initial=-1)) + 1):
+        for win, start in _candidates(keys, windows, rank, slop):
+            ok = rank <= may_miss[win]
+            packed = np.unique((win[ok] << SHIFT) + start[ok] + MARGIN)
+            win, start = packed >> SHIFT, (packed & ((1 << SHIFT) - 1)) - MARGIN
+            missing, off = np.zeros(len(win), np.int64), np.zeros(len(win), np.int64)
+            for j in range(windows.width):
+                term = windows.terms[win, j]
+                want = np.where(term >= 0, (term << SHIFT) + start + windows.offset[win, j], -1 << SHIFT)
+                missing += (term >= 0) & ~_stands(keys, want, slop)
+                off += (term >= 0) & ~_stands(keys, want, 0)
+                ok = missing <= may_miss[win]
+                win, start, missing, off = win[ok], start[ok], missing[ok], off[ok]
+            ok = (off > 0) & (off < windows.length[win])
+            near.append((win[ok], start[ok]))
     empty = (np.zeros(0, np.int64), np.zeros(0, np.int64))
     joined = [tuple(np.concatenate(x) for x in zip(*part)) if part else empty for part in (exact, near)]
     return joined[0], joined[1]
@@ -172,7 +194,7 @@ def _query(shared, slop: int, near_share: float):
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         windows = shared.value
-        gap = windows.width + 2 * slop + 1  # no candidate reaches another document
+        gap = windows.width + 3 * slop + 1  # no candidate reaches another document
         for batch in batches:
             n_docs = batch.num_rows
             n_words = batch.column(3).to_numpy()
@@ -197,7 +219,7 @@ def _query(shared, slop: int, near_share: float):
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns[:4], pa.array(spans, pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))),
                  _lists(in_doc(start), windows.owner[win], windows.names, n_docs),
-                 _lists(in_doc(near_start + windows.offset[near_win, 0]), windows.owner[near_win], windows.names, n_docs)],
+                 _lists(in_doc(near_start + windows.width + slop), windows.owner[near_win], windows.names, n_docs)],
                 names=[*KEY, "n_words", "spans", "items", "near_items"])
 
     return run

@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import hashlib
+import math
+import random
 import re
 
 import pytest
@@ -95,8 +97,66 @@ def test_proximity_matches(make_docs, spark):
     assert out[3]["near_items"] == []
 
 
+def brute_near(text, words, slop=2, share=0.8):
+    """Whether any alignment of one window is a proximity match."""
+    w = ALNUM.findall(lower(text))
+    for start in range(-len(words) - slop, len(w) + slop):
+        hits = sum(any(0 <= start + j + d < len(w) and w[start + j + d] == t for d in range(-slop, slop + 1))
+                   for j, t in enumerate(words))
+        same = sum(0 <= start + j < len(w) and w[start + j] == t for j, t in enumerate(words))
+        if hits >= math.ceil(share * len(words)) and 1 <= same < len(words):
+            return True
+    return False
+
+
+def test_a_near_copy_is_found_whichever_word_is_replaced(make_docs, spark):
+    words = [f"w{i}" for i in range(13)]
+    bench = spark.createDataFrame([(1, " ".join(words))], "item_id long, text string")
+    # Other documents make every word as common as wanted; the replaced one may stand nowhere else.
+    docs = [(i, " ".join(["a"] + words[:i] + ["other"] + words[i + 1:] + ["b"])) for i in range(13)]
+    for rows in (docs, docs + [(100 + i, f"w{i} " * (i + 1)) for i in range(13)], [docs[5]]):
+        out = {r["k_id"]: r for r in decontaminate.phrase_matches(make_docs(rows), bench, Scratch(spark, "t")).collect()}
+        assert [out[d]["near_items"] for d, _ in rows if d < 13] == [["1"]] * len([d for d, _ in rows if d < 13])
+        assert not any(out[d]["items"] for d, _ in rows)
+
+
+@pytest.mark.parametrize("block_words", [500_000, 40])
+def test_proximity_equals_brute_force(make_docs, spark, block_words):
+    rng = random.Random(6)
+    items = [(k, " ".join(rng.choices("abcdefghij", k=rng.choice([1, 2, 5, 13])))) for k in range(12)]
+    docs = []
+    for k in range(60):
+        w = rng.choice(items)[1].split()
+        for _ in range(rng.randint(0, 4)):
+            at = rng.randrange(len(w) + 1)
+            w[at:at + rng.randint(0, 1)] = rng.choices("abcdefghijz", k=rng.randint(0, 2))
+        docs.append((k, " ".join(rng.choices("xyz", k=rng.randint(0, 3)) + w)))
+    bench = spark.createDataFrame(items, "item_id long, text string")
+    found = decontaminate.phrase_matches(make_docs(docs), bench, Scratch(spark, "t"), block_words=block_words)
+    got = {r["k_id"]: sorted(set(r["near_items"])) for r in found.collect()}
+    want = {d: sorted(str(i) for i, t in items if brute_near(text, t.split())) for d, text in docs}
+    assert got == want and sum(map(len, want.values())) > 30
+
+
 # ------------------------------------------------------------ quality rules
 
+def test_a_line_count_means_the_same_on_every_host(make_docs):
+    rows = [(k, f"The same line stands here often.\nBut this one is {k} alone.", "en", host)
+            for host, n in (("small", 20), ("big", 300)) for k in range(n)]
+    # "big" has it in six documents only.
+    rows = [(i, t if host == "small" or i < 6 else t.split("\n")[1], lang, host) for i, t, lang, host in rows]
+    out = quality_rules.quality_rules(make_docs(rows), carry=("doc_id", "source")).collect()
+    removed = {(r["row"]["source"], r["row"]["doc_id"]): r["n_removed_words"] for r in out}
+    assert all(removed["small", k] == 6 for k in range(20))
+    assert [removed["big", k] for k in range(8)] == [6] * 6 + [0] * 2
+
+
+def test_few_documents_of_a_small_host(make_docs):
+    rows = [(k, f"shared by three\n{k} own words", "en", "h") for k in range(3)] + [(k, f"{k} alone", "en", "h") for k in range(3, 12)]
+    out = {r["row"]["doc_id"]: r["n_removed_words"] for r in quality_rules.quality_rules(make_docs(rows)).collect()}
+    assert [out[k] for k in range(4)] == [3, 3, 3, 0]
+
+
 def test_quality_rules(make_docs, clashes):
     body = " ".join(f"u{i}" for i in range(60))
     rows = [(i, f"{' '.join(f'b{k}' for k in range(70))}\n{body} {i}", "en", "a") for i in range(8)]
