@@ -70,6 +70,7 @@ from .sinks.writers import (  # K1-K7
     write_versioned,
 )
 from .sources.files import (  # S1-S5
+    file_digests,
     file_inventory,
     file_inventory_all,
     glob_filter,
@@ -77,11 +78,14 @@ from .sources.files import (  # S1-S5
     inline_relation,
     layout_scan,
     line_scan,
+    line_scan_numbered,
     split_lines,
 )
 from .streaming.streams import (  # T1, T2
     line_stream,
+    read_committed,
     stream_fan_out,
+    stream_fan_out_committed,
     stream_publish_indexed,
     stream_publish_new,
     table_stream,

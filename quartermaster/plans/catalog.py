@@ -788,6 +788,31 @@ def s1_file_inventory_all(spark, d):
                                         F.count(F.when(F.col("name") == "_SUCCESS", 1)).cast("int").alias("markers"))
 
 
+@query("h1_digest_files", """
+select lang, sha256(string_agg(coalesce(text, '') || chr(10), '' order by doc_id)) as digest,
+       cast(sum(strlen(coalesce(text, '')) + 1) as bigint) as length
+from documents group by lang
+""")
+def h1_digest_files(spark, d):
+    # One file per language, hashed piece by piece.
+    root = scratch_dir(spark, "h1")
+    docs = table(spark, d, "documents").select("lang", "doc_id", "text")
+    (docs.repartition("lang").sortWithinPartitions("lang", "doc_id").drop("doc_id")
+     .write.partitionBy("lang").text(root))
+    lang = F.regexp_extract("path", "/lang=([^/]+)/", 1).alias("lang")
+    return SRC.file_digests(SRC.file_inventory(spark, root)).select(lang, "digest", "length")
+
+
+@query("s3_line_scan_numbered", """
+select row_number() over (order by p_partkey) as line, cast(p_partkey as varchar) as id, p_brand as brand from part
+""")
+def s3_line_scan_numbered(spark, d):
+    root = scratch_dir(spark, "s3n")
+    part = table(spark, d, "part").coalesce(1).sortWithinPartitions("p_partkey")
+    part.select(F.concat_ws(":", "p_partkey", "p_brand")).write.text(root)
+    return SRC.line_scan_numbered(spark, root, ":", ["id", "brand"]).drop("path")
+
+
 @query("p4_page_inventory", """
 select page_id, split_part(url, '/', -1) as name, cast(strlen(html) as bigint) as size from pages
 where split_part(url, '/', -1) not in ('index.html', '0')
@@ -1002,6 +1027,16 @@ def t1_stream_fan_out(spark, d):
             .unionByName(spark.read.parquet(f"{root}/b").select(F.lit("b").alias("sink"), *_EVENT_COLS)))
 
 
+@query("t1_stream_fan_out_committed", ORACLES["t1_stream_fan_out"])
+def t1_stream_fan_out_committed(spark, d):
+    root = scratch_dir(spark, "t1c")
+    stream = T.table_stream(spark, d, "events.parquet").select(*_EVENT_COLS)
+    T.stream_fan_out_committed(stream, [f"{root}/a", f"{root}/b"], root, f"{root}/_checkpoint").awaitTermination()
+    a, b = (T.read_committed(spark, f"{root}/{x}", root, stream.schema).select(F.lit(x).alias("sink"), *_EVENT_COLS)
+            for x in ("a", "b"))
+    return a.unionByName(b)
+
+
 @query("t1_stream_lines", """
 select s.sink, l.line
 from (select unnest(string_split(text, chr(10))) as line from documents) l, (values ('a'), ('b')) s(sink)

@@ -87,7 +87,7 @@ def write_versioned(df: DataFrame, path: str, fmt: str = "parquet", keep: int =
     fs, folder = _fs(spark, root)
     version = f"v{(max([0, *_versions(spark, root)]) + 1):012d}"
     df.write.mode("overwrite").format(fmt).options(**options).save(f"{root}/{version}")
-    _point(spark, root, version)
+    replace_file(spark, f"{root}/{POINTER}", version)
     for old in sorted(_versions(spark, root))[:-max(1, keep)]:
         fs.delete(folder.suffix(f"/v{old:012d}"), True)
     return version
@@ -99,30 +99,35 @@ def _versions(spark: SparkSession, root: str) -> list[int]:
     return [int(f.getPath().getName()[1:]) for f in found]
 
 
-def _point(spark: SparkSession, root: str, version: str) -> None:
-    """Writes the pointer beside and renames it over the old one."""
+def replace_file(spark: SparkSession, path: str, text: str) -> None:
+    """Replaces a small file at once: written beside, then renamed over it. A
+    reader sees the old text or the new one."""
     jvm = spark._jvm
-    fs, folder = _fs(spark, root)
-    beside, pointer = folder.suffix(f"/{POINTER}.next"), folder.suffix(f"/{POINTER}")
-    write_file(spark, f"{root}/{POINTER}.next", version)
-    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(folder.toUri(), spark._jsc.hadoopConfiguration())
+    beside = f"{path}.next"
+    write_file(spark, beside, text)
+    fs, target = _fs(spark, path)
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), spark._jsc.hadoopConfiguration())
     overwrite = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 1)
     overwrite[0] = jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
-    context.rename(fs.makeQualified(beside), fs.makeQualified(pointer), overwrite)
+    context.rename(fs.makeQualified(_fs(spark, beside)[1]), fs.makeQualified(target), overwrite)
 
 
-def current_version(spark: SparkSession, path: str) -> str | None:
-    """The folder the pointer names; None before the first version."""
-    root = path.rstrip("/")
-    if not path_exists(spark, f"{root}/{POINTER}"):
+def read_file(spark: SparkSession, path: str) -> str | None:
+    """The text of a small file; None if there is none."""
+    if not path_exists(spark, path):
         return None
-    fs, folder = _fs(spark, root)
-    file = fs.open(folder.suffix(f"/{POINTER}"))
+    fs, p = _fs(spark, path)
+    file = fs.open(p)
     try:
-        name = spark._jvm.org.apache.commons.io.IOUtils.toString(file, "UTF-8")
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(file, "UTF-8")
     finally:
         file.close()
-    return f"{root}/{name.strip()}"
+
+
+def current_version(spark: SparkSession, path: str) -> str | None:
+    """The folder the pointer names; None before the first version."""
+    name = read_file(spark, f"{path.rstrip('/')}/{POINTER}")
+    return None if name is None else f"{path.rstrip('/')}/{name.strip()}"
 
 
 def read_versioned(spark: SparkSession, path: str, fmt: str = "parquet") -> DataFrame:

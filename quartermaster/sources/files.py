@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+import hashlib
 import os
 import re
 from collections.abc import Iterator, Sequence
 
 import pyarrow as pa
 from pyarrow import fs as pafs
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -130,6 +131,61 @@ def line_scan(spark: SparkSession, path: str, sep: str, names: Sequence[str]) ->
     return split_lines(spark.read.text(path), "value", sep, names).drop("value")
 
 
+def line_scan_numbered(spark: SparkSession, path: str, sep: str, names: Sequence[str],
+                       line: str = "line") -> DataFrame:
+    """S3 with the file and the exact 1-based number of every line, as
+    ``(path, line, names...)``, however many splits a file is read in.
+
+    The lines of a split are numbered in the task that reads them; the first
+    line of a split follows from the line counts of the splits before it, a
+    table of one row per split. Both scans are of one file index, so they are
+    cut alike. The lines are not sorted and not put through a window."""
+    rows = spark.read.text(path).select(
+        "value", F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("__qm_start"),
+        F.monotonically_increasing_id().alias("__qm_id"))
+    splits = rows.groupBy("path", "__qm_start").agg(F.count(F.lit(1)).alias("n"), F.min("__qm_id").alias("__qm_first"))
+    before = Window.partitionBy("path").orderBy("__qm_start").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = splits.select("path", "__qm_start", (
+        F.coalesce(F.sum("n").over(before), F.lit(0)) - F.col("__qm_first") + 1).alias("__qm_offset"))
+    numbered = rows.join(offsets, ["path", "__qm_start"]).withColumn(line, F.col("__qm_offset") + F.col("__qm_id"))
+    return split_lines(numbered, "value", sep, names).select("path", line, *names)
+
+
+PIECE = 1 << 20  # bytes of a file held at once
+
+
+def _digest_files(bits: int):
+    """(path, length, digest) of each path, read piece by piece."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = []
+            for uri in batch.column(0).to_pylist():
+                store, at, _ = _store(uri)
+                sha, length = hashlib.new(f"sha{bits}"), 0
+                with store.open_input_stream(at, compression=None, buffer_size=0) as file:
+                    while piece := file.read(PIECE):
+                        sha.update(piece)
+                        length += len(piece)
+                rows.append((uri, length, sha.hexdigest()))
+            cols = list(zip(*rows)) or [()] * 3
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.int64(), pa.string()))],
+                                             names=["path", "length", "digest"])
+
+    return run
+
+
+def file_digests(files: DataFrame, bits: int = 256, path: str = "path") -> DataFrame:
+    """H1 for whole files of any size: ``(path, name, length, digest)`` of the
+    files of an inventory. A file is read in pieces of 1 MB by one task (a
+    ``binaryFile`` row holds a whole file, 2 GB at most); the files are dealt
+    evenly, whatever folder they lie in."""
+    n = min(4 * files.sparkSession.sparkContext.defaultParallelism, max(1, files.count()))
+    return (files.select(F.col(path).alias("path")).repartition(n)
+            .mapInArrow(_digest_files(bits), "path string, length long, digest string")
+            .select("path", base_name("path").alias("name"), "length", "digest"))
+
+
 def layout_scan(spark: SparkSession, root: str, schema: StructType | str | None = None,
                 **partition_values) -> DataFrame:
     """Read a ``key=value`` partitioned layout, keeping only the given

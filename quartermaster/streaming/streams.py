@@ -14,9 +14,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
+from pyspark.sql.types import LongType, StructField, StructType
 
 from ..sinks.published import BUCKETS, KeyIndex, _files, _touch, publish_indexed
-from ..sinks.writers import Sink, fan_out, publish_new
+from ..sinks.writers import Sink, fan_out, publish_new, read_file, replace_file
 
 
 def table_stream(spark: SparkSession, folder: str, file_glob: str = "*.parquet",
@@ -64,6 +65,38 @@ def stream_fan_out(stream: DataFrame, sink_roots: Sequence[str], checkpoint: str
     return _start(stream, write_batch, checkpoint, available_now, processing_time)
 
 
+# Names the newest micro-batch that all sinks have.
+COMMITTED = "_committed_batch"
+
+
+def stream_fan_out_committed(stream: DataFrame, sink_roots: Sequence[str], log: str, checkpoint: str,
+                             fmt: str = "parquet", available_now: bool = True,
+                             processing_time: str | None = None) -> StreamingQuery:
+    """T1 with one commit for all sinks: when the last sink has a micro-batch,
+    its number replaces the one in a file of the folder ``log``. Micro-batches
+    follow one another, so that number says which batches are whole.
+    :func:`read_committed` shows those only: a batch appears in all sinks at
+    once, or, if a sink fails, in none."""
+    spark = stream.sparkSession
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        fan_out(batch, [Sink(os.path.join(root, f"batch_id={batch_id}"), fmt=fmt, mode="overwrite")
+                        for root in sink_roots])
+        replace_file(spark, f"{log.rstrip('/')}/{COMMITTED}", str(batch_id))
+
+    return _start(stream, write_batch, checkpoint, available_now, processing_time)
+
+
+def read_committed(spark: SparkSession, sink_root: str, log: str, schema: StructType, fmt: str = "parquet") -> DataFrame:
+    """The rows of one sink that belong to committed micro-batches, with their
+    ``batch_id``. The filter is on the folder, so others are not opened."""
+    with_batch = StructType([*schema.fields, StructField("batch_id", LongType())])
+    newest = read_file(spark, f"{log.rstrip('/')}/{COMMITTED}")
+    if newest is None:
+        return spark.createDataFrame([], with_batch)
+    return spark.read.schema(with_batch).format(fmt).load(sink_root).where(f"batch_id <= {int(newest)}")
+
+
 def stream_publish_new(stream: DataFrame, target: str, keys: str | Sequence[str], checkpoint: str,
                        fmt: str = "parquet", available_now: bool = True,
                        processing_time: str | None = None,

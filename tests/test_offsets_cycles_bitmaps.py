@@ -134,7 +134,7 @@ from quartermaster.session import build_session
 from quartermaster.sinks import writers as K
 spark = build_session("local[2]", 2)
 K.write_versioned(spark.range(4), {path!r})
-K._point = lambda *a: os._exit(7)  # the job dies after the rows, before the switch
+K.replace_file = lambda *a: os._exit(7)  # the job dies after the rows, before the switch
 K.write_versioned(spark.range(100), {path!r})
 """
 
