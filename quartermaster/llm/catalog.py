@@ -6,8 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import table
-from . import (conversation_repair, decontaminate, lang_id, license_scan, line_dedup, mixing, quality_rules, secret_scan,
-               setsketch, simhash, spelling, suffix_dedup, warc_fixity)
+from . import (conversation_repair, decontaminate, folds_sql, lang_id, license_scan, line_dedup, mixing,
+               quality_rules, secret_scan, setsketch, simhash, spelling, suffix_dedup, warc_fixity)
 
 
 def op1_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -264,3 +264,5 @@ FROM d LEFT JOIN agg USING (rid)
 ORACLES["op8_license_scan"] = ORACLES["op8_license_scan"].replace("TEMPLATES", ", ".join(
     f"({k}, '{label}', {str(k < len(license_scan.PHRASES)).lower()}, '{words}')"
     for k, (label, words) in enumerate(license_scan.PHRASES + license_scan.TEMPLATES)))
+ORACLES |= {"op11_minhash_near_dedup": folds_sql.OP11, "op12_conversation_repair": folds_sql.OP12,
+            "op13_spelling_variants": folds_sql.OP13}
