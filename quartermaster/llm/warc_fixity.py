@@ -10,20 +10,24 @@ Scale: a leaf holds records that start in one range of ``leaf_bytes``; a
 record has a header, so their number is bounded by the range (equal records
 at one offset are counted first, not collected). A node collects ``FAN_OUT``
 digests. The hot archive of a third of all records is therefore spread over
-all its ranges. Each level is written; levels shrink by the fan-out, and a
+all its ranges; offsets are prefix sums over sorted ranges of the records'
+lengths and digests, which cut it as well. Each level is written; levels shrink by the fan-out, and a
 descent joins the few differing nodes to one level at a time.
 
 Defined results: a null payload is an empty payload, a null record header
 field is empty; records repeated at one offset must be repeated in the
 replica as well; an archive that one replica lacks is reported record by
-record; equal replicas give no row.
+record; equal replicas give no row; unequal records at one offset are compared
+as they are paired by id; an empty table gives no rows; payloads of any length
+are hashed whole; extra columns are not looked at.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..operators.aggregates import prefix_sum
 from .common import Scratch
 
 LEAF_BYTES = 1 << 16
@@ -44,13 +48,18 @@ def archive_records(pages: DataFrame, page_id: str = "page_id", url: str = "url"
                     per_archive: int = PAGES_PER_ARCHIVE) -> DataFrame:
     """``(archive, offset, page_id, record)``: pages as records of archives
     of ``per_archive`` consecutive ids, laid out in id order."""
-    rows = pages.select(F.expr(f"`{page_id}` div {per_archive}").alias("archive"), F.col(page_id).alias("page_id"),
-                        warc_record(F.col(page_id), F.col(url), F.col(payload)).alias("record"))
-    # Repeated pages of one id lie one behind the other, in any order of
-    # equal records; unequal ones are ordered by their digest.
-    order = Window.partitionBy("archive").orderBy("page_id", F.sha2("record", 256))
-    before = F.sum(F.octet_length("record").cast("long")).over(order.rowsBetween(Window.unboundedPreceding, -1))
-    return rows.select("archive", F.coalesce(before, F.lit(0)).alias("offset"), "page_id", "record")
+    scratch = Scratch(pages.sparkSession, "archives")
+    # Written once, with a number for every record: only lengths and digests are sorted and added up.
+    rows = scratch.result(pages.select(
+        F.expr(f"`{page_id}` div {per_archive}").alias("archive"), F.col(page_id).alias("page_id"),
+        warc_record(F.col(page_id), F.col(url), F.col(payload)).alias("record"))
+        .withColumn("rid", F.monotonically_increasing_id()))
+    # Repeated pages of one id lie one behind the other, unequal ones by their
+    # digest, equal records in any order.
+    thin = rows.select("archive", "page_id", F.sha2("record", 256).alias("sha"),
+                       F.octet_length("record").cast("long").alias("length"), "rid")
+    placed = prefix_sum(thin, ["page_id", "sha", "rid"], ["archive"], "length").select(F.col("rid").alias("of"), "offset")
+    return rows.join(placed, F.col("rid") == F.col("of")).select("archive", "offset", "page_id", "record")
 
 
 def digests(records: DataFrame, leaf_bytes: int = LEAF_BYTES) -> DataFrame:
