@@ -8,11 +8,13 @@ right expectation, until one is rounded. The total of the pair stays, so a
 source ends within one document of its target.
 
 The moves run as a reduction tree. Documents are dealt into buckets of about
-``bucket_rows`` by a hash (each bucket holds documents of every source, so a
-hot source is spread over all buckets); a bucket rounds all but at most one
+``bucket_rows`` by a hash of their row and, for equal rows, a repeat number
+(each bucket holds documents of every source, so a hot source, id or text is
+spread over all buckets); a bucket rounds all but at most one
 document of each source. The residuals of ``fan_in`` neighbouring buckets
 meet on the next level, and so on, until one residual per source is left,
-which is rounded by a draw. Every level is written to the shared folder.
+which is rounded by a draw. Only hashes, sizes and masses go through the tree;
+the rows are joined to the outcome. Every level is written to the shared folder.
 Every draw is a hash of the documents paired, so reruns agree, whatever the
 layout of the input.
 
@@ -34,10 +36,10 @@ from collections.abc import Sequence
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..operators.aggregates import ordinal
+from ..operators.aggregates import ordinal, prefix_sum
 from .common import SPACE_WORD, Scratch, pack
 
 WEIGHTS = (3, 1, 2)
@@ -132,29 +134,39 @@ def _open():
     return (F.col("mass") > 0) & (F.col("mass") < F.col("size"))
 
 
-def mix(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", size: str | None = None,
+def _row_hash(docs: DataFrame) -> Column:
+    """A hash of all columns, of any type."""
+    return F.xxhash64(F.lit(SEED), *[
+        F.col(f"`{f.name}`") if "map<" not in f.dataType.simpleString() else F.to_json(F.struct(F.col(f"`{f.name}`")))
+        for f in docs.schema.fields])
+
+
+def mix(docs: DataFrame, source: str = "source", size: str | None = None,
         text: str = "text", weights: Sequence[float] = WEIGHTS, share: float = SHARE,
         ceiling: float = CEILING, bucket_rows: int = BUCKET_ROWS, fan_in: int = FAN_IN) -> DataFrame:
     """``(row, size, source, source_size, target, copies, taken)``: ``row`` is
     the input row, ``copies`` how often the mix takes it. ``size`` names a
     column of word counts; without it the words of ``text`` are counted."""
     scratch = Scratch(docs.sparkSession, "mix")
-    draw = F.xxhash64(F.lit(SEED), F.col(doc_id), *([F.col(text)] if text in docs.columns else []))
+    # Equal rows get draws of their own by a repeat number, so a hot id is dealt like any other rows.
     sized = scratch.table(docs.select(
-        pack(docs).alias("row"), F.col(source).alias("source"), draw.alias("draw"),
-        (F.col(size).cast("long") if size else word_count(text)).alias("size")), "sized")
+        pack(docs).alias("row"), F.col(source).alias("source"), _row_hash(docs).alias("draw"),
+        (F.col(size).cast("long") if size else word_count(text)).alias("size"))
+        .withColumn("rid", F.monotonically_increasing_id()), "sized")
     wanted = scratch.table(targets(sized.select("source", "size"), scratch, weights, share, ceiling)
                            .withColumnRenamed("source", "target_source"), "targets")
+    at_source = F.col("source").eqNullSafe(F.col("target_source"))
     times = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
-    rows = (sized.join(wanted, F.col("source").eqNullSafe(F.col("target_source"))).drop("target_source")
-            .withColumn("times", times).withColumn("whole", F.floor("times"))
-            .withColumn("mass", F.when(F.col("size") > 0, (F.col("times") - F.col("whole")) * F.col("size"))
-                        .otherwise(0.0))
-            .withColumn("source_key", F.xxhash64("source", F.col("source").isNull())))
+    numbered = prefix_sum(sized.select("rid", "source", "size", "draw", F.lit(1).alias("one")), ["rid"], ["draw"], "one",
+                          name="repeat")
     n_rows = sized.count()
     nodes = max(1, math.ceil(n_rows / bucket_rows))
-    rows = rows.withColumn("node", F.pmod("draw", F.lit(nodes)))
-    rows = rows.withColumn("bucket", F.col("node"))
+    # Only these thin rows go through the tree.
+    rows = (numbered.join(wanted, at_source)
+            .withColumn("draw", F.when(F.col("repeat") == 0, F.col("draw")).otherwise(F.xxhash64("draw", "repeat")))
+            .select("rid", F.xxhash64("source", F.col("source").isNull()).alias("source_key"), "draw", "size",
+                    F.when(F.col("size") > 0, (times - F.floor(times)) * F.col("size")).otherwise(0.0).alias("mass"),
+                    F.pmod("draw", F.lit(nodes)).alias("node"), F.pmod("draw", F.lit(nodes)).alias("bucket")))
     settled, k = [], 0
     while True:
         done = scratch.table(rows.groupBy("bucket").applyInArrow(_level, rows.schema), f"level-{k}")
@@ -170,9 +182,10 @@ def mix(docs: DataFrame, doc_id: str = "doc_id", source: str = "source", size: s
     chance = F.pmod(F.xxhash64(F.col("draw"), F.lit(SEED)), F.lit(1 << 53)) / float(1 << 53)
     settled.append(left.withColumn("mass", F.when(chance * F.col("size") < F.col("mass"),
                                                   F.col("size").cast("double")).otherwise(0.0)))
-    out = settled[0]
+    taken = settled[0].select(F.col("rid").alias("of"), "mass")
     for part in settled[1:]:
-        out = out.unionByName(part)
-    copies = F.col("whole") + F.when((F.col("size") > 0) & (F.col("mass") >= F.col("size")), 1).otherwise(0)
-    out = out.select("row", "size", "source", "source_size", "target", copies.cast("long").alias("copies"))
+        taken = taken.unionByName(part.select(F.col("rid").alias("of"), "mass"))
+    copies = F.floor(times) + F.when((F.col("size") > 0) & (F.col("mass") >= F.col("size")), 1).otherwise(0)
+    out = (sized.join(taken, F.col("rid") == F.col("of")).join(wanted, at_source)
+           .select("row", "size", "source", "source_size", "target", copies.cast("long").alias("copies")))
     return scratch.result(out.withColumn("taken", F.col("copies") * F.col("size")))

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from collections import Counter
+
 import random
 
 import numpy as np
@@ -73,6 +75,23 @@ def test_edge_cases(make_docs, clashes):
     check(out, 300_000)
 
 
+def test_one_id_for_all_rows(make_docs):
+    # Equal rows by the hundred, and every id null: targets are met and layouts agree.
+    rows = [(None, "same words in every row", "en", f"s{k % 3}") for k in range(600)]
+    rows += [(None, f"own words {k} " * (1 + k % 5), "en", f"s{k % 4}") for k in range(600)]
+    out = []
+    for parts in (1, 7):
+        docs = make_docs(rows).repartition(parts)
+        got = mixing.mix(docs, bucket_rows=64, fan_in=4)
+        out.append(sorted((r["row"]["text"], r["source"], r["copies"]) for r in got.collect()))
+        taken, target = Counter(), {}
+        for r in got.collect():
+            taken[r["source"]] += r["taken"]
+            target[r["source"]] = r["target"]
+        assert all(abs(taken[s] - target[s]) <= 15 for s in target)
+    assert out[0] == out[1]
+
+
 def test_pivotal_keeps_expectation_and_total():
     size = np.array([5.0, 9.0, 2.0, 7.0, 7.0, 1.0, 30.0])
     p = np.array([0.3, 0.8, 0.5, 0.1, 0.9, 0.5, 0.4])
