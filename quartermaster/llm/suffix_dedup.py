@@ -145,42 +145,67 @@ def _cut_long(text: bytes, length: int, gram: int):
 
 # ------------------------------------------------- step 3: suffix arrays
 
+def _words(codes: np.ndarray, more: int) -> np.ndarray:
+    """The eight codes from each position as one number, and ``more`` zeros."""
+    padded = np.concatenate([codes, np.zeros(more + 8, np.uint8)]).astype(np.uint64)
+    word = np.zeros(len(codes) + more, np.uint64)
+    for k in range(8):
+        word = (word << np.uint64(8)) | padded[k:k + len(word)]
+    return word
+
+
+def _direct_sort(codes: np.ndarray, at: np.ndarray, depth: int) -> np.ndarray:
+    """Suffixes ``at`` by their first ``depth`` codes: by the first sixteen in
+    arrays, and runs that are equal so far by what follows."""
+    word, raw = _words(codes, 8), codes.tobytes()
+    order = at[np.lexsort((word[at + 8], word[at]))]
+    equal = (word[order[1:]] == word[order[:-1]]) & (word[order[1:] + 8] == word[order[:-1] + 8])
+    cuts = np.flatnonzero(np.diff(np.concatenate([[False], equal, [False]]).astype(np.int8)))
+    for lo, hi in zip(cuts[::2].tolist(), (cuts[1::2] + 1).tolist()):
+        order[lo:hi] = sorted(order[lo:hi].tolist(), key=lambda i: raw[i + 16:i + depth])
+    return order
+
+
 def suffix_array(codes: np.ndarray, depth: int) -> np.ndarray:
     """Suffixes of ``codes`` (bytes plus one, which UTF-8 leaves room for;
     0: end of a piece) in order of their first ``depth`` codes at least, by
     two-stage sorting.
 
     Type B suffixes (not greater than their successor) are sorted directly;
-    a type A suffix is greater than its successor, so one scan from small to
-    large meets the successor first and can put it next into its bucket."""
+    a type A suffix is greater than its successor, so one scan from the small
+    buckets to the large ones meets the successor first and puts it next into
+    its bucket."""
     n = len(codes)
     if n == 0:
         return np.zeros(0, np.int64)
     follow = np.append(codes[1:].astype(np.int16), -1)
     differs = np.flatnonzero(codes != follow)
     type_a = (codes > follow)[differs[np.searchsorted(differs, np.arange(n))]]
-    raw = codes.tobytes()
-    order = np.array(sorted(np.flatnonzero(~type_a).tolist(), key=lambda i: raw[i:i + depth]), np.int64)
-    # Induce: buckets by first code, type A in front of type B.
-    size_a = np.bincount(codes[type_a], minlength=256)
-    size_b = np.bincount(codes[~type_a], minlength=256)
-    start = np.concatenate([[0], np.cumsum(size_a + size_b)[:-1]])
-    out = np.full(n, -1, np.int64)
-    offset_b = start + size_a
-    first = codes[order]
-    within = np.arange(len(order)) - np.searchsorted(first, first)
-    out[offset_b[first] + within] = order
-    sa, head, chars, is_a = out.tolist(), start.tolist(), codes.tolist(), type_a.tolist()
-    if is_a[n - 1]:  # the last suffix has no successor to be met
-        sa[head[chars[n - 1]]] = n - 1
-        head[chars[n - 1]] += 1
-    for i in range(n):
-        p = sa[i] - 1
-        if p >= 0 and is_a[p]:
-            c = chars[p]
-            sa[head[c]] = p
-            head[c] += 1
-    return np.array(sa, np.int64)
+    direct = _direct_sort(codes, np.flatnonzero(~type_a), depth)
+    run_start = np.maximum.accumulate(np.where(np.append(True, codes[1:] != codes[:-1]), np.arange(n), 0))
+    cut_b = np.searchsorted(codes[direct], np.arange(257))
+    # Type A suffixes of each bucket in the order in which they are met.
+    waiting: list[list[np.ndarray]] = [[] for _ in range(256)]
+    if type_a[n - 1]:  # the last suffix has no successor to be met
+        waiting[codes[n - 1]].append(np.array([n - 1]))
+    out = []
+    for code in range(256):
+        met = np.concatenate([*waiting[code], np.zeros(0, np.int64)])
+        # In front of a met suffix, its code may repeat: those come next, the nearest of every run first.
+        steps = met - run_start[met]
+        of = np.repeat(np.arange(len(met)), steps)
+        step = np.arange(len(of)) - np.repeat(np.cumsum(steps) - steps, steps) + 1
+        order = np.argsort(step, kind="stable")
+        whole = np.concatenate([met, met[of[order]] - step[order], direct[cut_b[code]:cut_b[code + 1]]])
+        out.append(whole)
+        before = whole[whole > 0] - 1
+        before = before[type_a[before] & (codes[before] > code)]
+        if len(before):
+            before = before[np.argsort(codes[before], kind="stable")]
+            cuts = np.searchsorted(codes[before], np.arange(257))
+            for to in np.unique(codes[before]).tolist():
+                waiting[to].append(before[cuts[to]:cuts[to + 1]])
+    return np.concatenate(out)
 
 
 def repeated_starts(pieces: list[bytes], length: int) -> list[np.ndarray]:
@@ -192,10 +217,7 @@ def repeated_starts(pieces: list[bytes], length: int) -> list[np.ndarray]:
     piece = np.repeat(np.arange(len(pieces)), sizes)
     sa = sa[ends[piece[sa]] - sa >= length]  # suffixes that hold a window
     # Common prefixes of neighbours, eight codes at a time, cut at ``length``.
-    padded = np.concatenate([codes, np.zeros(length + 8, np.uint8)]).astype(np.uint64)
-    word = np.zeros(len(codes) + length, np.uint64)
-    for k in range(8):
-        word = (word << np.uint64(8)) | padded[k:k + len(word)]
+    word = _words(codes, length)
     same = np.arange(len(sa) - 1) if len(sa) > 1 else np.zeros(0, np.int64)
     for at in [*range(0, length - 7, 8), length - 8]:
         same = same[word[sa[same] + at] == word[sa[same + 1] + at]]
@@ -294,8 +316,8 @@ def remove_ranges(body: bytes, ranges: list[dict]) -> tuple[int, int, bytes]:
 def repeated_ranges(docs: DataFrame, scratch: Scratch, length: int = LENGTH, gram: int = GRAM,
                     block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``(key..., lo, hi)`` byte ranges to remove; ``docs(key..., body)``."""
-    pieces = docs.mapInArrow(_pieces(length, gram), "anchor long, content long, size int, k_id long, "
-                             "k_null boolean, k_hash long, start long")
+    pieces = scratch.table(docs.mapInArrow(_pieces(length, gram), "anchor long, content long, size int, k_id long, "
+                                           "k_null boolean, k_hash long, start long"), "pieces")
     again = (pieces.groupBy(F.col("anchor").alias("again")).agg(F.count(F.lit(1)).alias("times"))
              .where("times > 1").select("again"))
     shared = scratch.table(pieces.join(again, F.col("anchor") == F.col("again")).drop("again"), "shared")
