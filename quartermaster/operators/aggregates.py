@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -29,12 +30,21 @@ def distinct_selection(df: DataFrame, cols: str | Sequence[str]) -> DataFrame:
 
 def _ranged(df: DataFrame, keys: Sequence[str], num_partitions: int | None) -> tuple[DataFrame, Column]:
     """``df`` cut into sorted ranges of ``keys``, with ``__qm_id`` (range and
-    place in it), and the range's number. Written once: the ranges come from a
-    sample, so they must not be drawn again."""
+    place in it), and the range's number. Checkpointed once: the ranges come
+    from a sample, so they must not be drawn again. The input is persisted in
+    the meantime, so that sampling does not evaluate it a second time (a lost
+    block is computed again; the sample only sets the cuts)."""
     n = num_partitions or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     cols = [F.col(c) for c in keys]
-    out = (df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
-             .withColumn("__qm_id", F.monotonically_increasing_id()).checkpoint(eager=True))
+    ours = df.storageLevel == StorageLevel.NONE
+    if ours:
+        df = df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        out = (df.repartitionByRange(n, *cols).sortWithinPartitions(*cols)
+                 .withColumn("__qm_id", F.monotonically_increasing_id()).checkpoint(eager=True))
+    finally:
+        if ours:
+            df.unpersist()
     return out, F.shiftright("__qm_id", 33)
 
 
