@@ -373,7 +373,8 @@ def links(docs: DataFrame, nodes: DataFrame, scratch: Scratch, shingle: int, thr
         F.ceil(F.sum(F.col("n_shingles") * 8) / F.lit(CLUSTER_BYTES)).cast("int").alias("blocks"))
     wanted = cluster.join(sizes, F.col("root") == F.col("of")).select(
         F.col("root").alias("cluster"), "blocks", "node", *[F.col(c).alias(f"w_{c}") for c in KEY])
-    full = (docs.join(wanted, [F.col(c) == F.col(f"w_{c}") for c in KEY])
+    # Always a shuffle of the texts: the same plan at every size.
+    full = (docs.join(wanted.hint("merge"), [F.col(c) == F.col(f"w_{c}") for c in KEY])
             .select("cluster", "blocks", "node", "body")
             .mapInArrow(_sets(shingle), "cluster long, blocks int, node long, items binary")
             .withColumn("block", F.pmod(F.xxhash64("node"), F.col("blocks").cast("long")).cast("int"))
