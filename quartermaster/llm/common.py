@@ -39,7 +39,8 @@ def pack(df: DataFrame) -> Column:
 
 
 def doc_key(doc_id: str = "doc_id", text: str = "text") -> list[Column]:
-    """``(k_id, k_null, k_hash)``, never null: equal for equal (doc_id, text)."""
+    """``(k_id, k_null, k_hash)``, never null: equal for equal (doc_id, text).
+    ``doc_id`` holds whole numbers; text that isn't one fails the job."""
     return [F.coalesce(F.col(doc_id).cast("long"), F.lit(0)).alias("k_id"),
             F.col(doc_id).isNull().alias("k_null"),
             F.xxhash64(F.col(text)).alias("k_hash")]
