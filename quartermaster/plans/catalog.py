@@ -1078,7 +1078,8 @@ def t2_stream_publish_indexed(spark, d):
     K.write_append(first, f"{root}/incoming")
     K.write_append(second, f"{root}/incoming")
     stream = T.table_stream(spark, f"{root}/incoming", "*.parquet", max_files_per_trigger=4)
-    q = T.stream_publish_indexed(stream, f"{root}/target", "event_id", f"{root}/_checkpoint", buckets=8)
+    q = T.stream_publish_indexed(stream, f"{root}/target", "event_id", f"{root}/_checkpoint", buckets=8,
+                                 state_partitions=8)
     q.awaitTermination()
     return PB.read_published(spark, f"{root}/target", ev.schema).select(*_EVENT_COLS)
 

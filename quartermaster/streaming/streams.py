@@ -132,7 +132,7 @@ def _seed(spark: SparkSession, checkpoint: str, newest: int) -> tuple[int, str]:
 def stream_publish_indexed(stream: DataFrame, target: str, keys: str | Sequence[str], checkpoint: str,
                            index: str | None = None, buckets: int = BUCKETS, fmt: str = "parquet",
                            available_now: bool = True, processing_time: str | None = None,
-                           state_store: str | None = ROCKSDB) -> StreamingQuery:
+                           state_store: str | None = ROCKSDB, state_partitions: int | None = None) -> StreamingQuery:
     """T2 with state: publishes each key of a stream once, into a target with
     a key index (``sinks.published``).
 
@@ -144,7 +144,10 @@ def stream_publish_indexed(stream: DataFrame, target: str, keys: str | Sequence[
     Micro-batch ``b`` is publish ``seed + 1 + b``: replayed after a failure, it
     overwrites what it left, or is skipped if it was committed. A restart from
     the checkpoint therefore publishes nothing twice. Another writer that took
-    one of these numbers is an error."""
+    one of these numbers is an error.
+
+    ``state_partitions`` (the session's shuffle partitions unless given) is fixed
+    by the first start: choose it for the keys there will be, not for a batch."""
     spark = stream.sparkSession
     ks = [keys] if isinstance(keys, str) else list(keys)
     book = KeyIndex(spark, index or f"{target.rstrip('/')}.keys", [stream.schema[k] for k in ks], buckets)
@@ -154,12 +157,14 @@ def stream_publish_indexed(stream: DataFrame, target: str, keys: str | Sequence[
         publish_indexed(batch, target, ks, index=book.path, buckets=buckets, fmt=fmt, number=seed + 1 + batch_id,
                         writer=writer, known_upto=seed, distinct_keys=True)
 
-    setting = "spark.sql.streaming.stateStore.providerClass"
-    before = spark.conf.get(setting, None)
-    if state_store:
-        spark.conf.set(setting, state_store)
+    wanted = {"spark.sql.streaming.stateStore.providerClass": state_store,
+              "spark.sql.shuffle.partitions": str(state_partitions) if state_partitions else None}
+    wanted = {k: v for k, v in wanted.items() if v}
+    before = {k: spark.conf.get(k, None) for k in wanted}
+    for k, v in wanted.items():
+        spark.conf.set(k, v)
     try:  # a query takes its settings when it starts
         return _start(stream.dropDuplicates(ks), publish_batch, checkpoint, available_now, processing_time)
     finally:
-        if state_store:
-            spark.conf.set(setting, before) if before else spark.conf.unset(setting)
+        for k, v in before.items():
+            spark.conf.set(k, v) if v else spark.conf.unset(k)
