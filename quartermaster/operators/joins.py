@@ -242,17 +242,21 @@ def missing_members(required: DataFrame, present: DataFrame, group: str, member:
 
 def completeness_bitmap(required: DataFrame, present: DataFrame, group: str, member: str,
                         present_group: str | None = None, present_member: str | None = None,
-                        domain: Sequence | None = None) -> DataFrame:
+                        domain: Sequence | None = None, small_groups: bool | None = None) -> DataFrame:
     """J7 by bitmaps: the rows of :func:`completeness`, without a shuffle of
     ``(group, member)`` pairs.
 
     Members become numbers: whole numbers as they are (from 0 on), other members by
     their place in ``domain`` (a list, attached as one literal; a required
-    member outside it fails the job, a present one is not required). 32,768
-    numbers are a bucket. Every task ors the members it sees into one bitmap
-    per (group, bucket), for required, present and either; only bitmaps are
-    shuffled and ored again. Present and required at once are the sum of the
-    two counts less the count of either. A big group is many buckets."""
+    member outside it fails the job, a present one is not required). Every
+    task ors the members it sees into bitmaps per (group, bucket); only bitmaps
+    are shuffled and ored again. A big group is many buckets.
+
+    Few big groups: Spark's bitmaps of 32,768 numbers, for required, present
+    and either; present and required at once are the sum of the two counts less
+    the count of either. These take 4 KB each, however few members a group has.
+    Many ``small_groups`` (the default with a ``domain``): a bucket is 64
+    numbers and a bitmap is one long, so a group is a row of fixed width."""
     pg, pm = present_group or group, present_member or member
 
     def numbered(df: DataFrame, g: str, m: str, side: str) -> DataFrame:
@@ -272,15 +276,25 @@ def completeness_bitmap(required: DataFrame, present: DataFrame, group: str, mem
         return df.select(group, number.alias("__qm_n"), F.lit(side == "required").alias("__qm_req"))
 
     both = numbered(required, group, member, "required").unionByName(numbered(present, pg, pm, "present"))
-    # Numbers start at 0, Spark's first bucket holds 1 to 32768.
-    at = F.bitmap_bit_position(F.col("__qm_n") + 1)
-    req = F.col("__qm_req")
-    maps = (both.groupBy(group, F.bitmap_bucket_number(F.col("__qm_n") + 1).alias("__qm_bucket"))
-            .agg(F.bitmap_construct_agg(F.when(req, at)).alias("r"), F.bitmap_construct_agg(F.when(~req, at)).alias("p"),
-                 F.bitmap_construct_agg(at).alias("either"), F.max(req).alias("needed")))
     n = lambda c: F.bitmap_count(F.col(c))
-    return (maps.groupBy(group)
-            .agg(F.sum(n("r")).alias("n_required"), F.sum(n("r") + n("p") - n("either")).alias("n_present"),
-                 F.max("needed").alias("needed")).where("needed")
+    if small_groups is None:
+        small_groups = domain is not None
+    if not small_groups:
+        # Numbers start at 0, Spark's first bucket holds 1 to 32768.
+        at = F.bitmap_bit_position(F.col("__qm_n") + 1)
+        req = F.col("__qm_req")
+        maps = (both.groupBy(group, F.bitmap_bucket_number(F.col("__qm_n") + 1).alias("__qm_bucket"))
+                .agg(F.bitmap_construct_agg(F.when(req, at)).alias("r"), F.bitmap_construct_agg(F.when(~req, at)).alias("p"),
+                     F.bitmap_construct_agg(at).alias("either")))
+        required_n, present_n = n("r"), n("r") + n("p") - n("either")
+    else:
+        bit = F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod("__qm_n", F.lit(64)).cast("int"))
+        ored = lambda seen: F.bit_or(F.when(seen, bit).otherwise(0))
+        maps = (both.groupBy(group, F.shiftright("__qm_n", 6).alias("__qm_bucket"))
+                .agg(ored(F.col("__qm_req")).alias("r"), ored(~F.col("__qm_req")).alias("p")))
+        required_n = F.bit_count("r").cast("long")
+        present_n = F.bit_count(F.col("r").bitwiseAND(F.col("p"))).cast("long")
+    return (maps.groupBy(group).agg(F.sum(required_n).alias("n_required"), F.sum(present_n).alias("n_present"))
+            .where("n_required > 0")
             .select(group, "n_required", "n_present", (F.col("n_required") - F.col("n_present")).alias("n_missing"),
                     (F.col("n_required") == F.col("n_present")).alias("complete")))
