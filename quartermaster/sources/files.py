@@ -155,19 +155,23 @@ PIECE = 1 << 20  # bytes of a file held at once
 
 
 def _digest_files(bits: int):
-    """(path, length, digest) of each path, read piece by piece."""
+    """(path, length, digest) of each path, read piece by piece. A second
+    column lists the parts to read for it, in order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows = []
-            for uri in batch.column(0).to_pylist():
-                store, at, _ = _store(uri)
+            paths = batch.column(0).to_pylist()
+            parts_of = batch.column(1).to_pylist() if batch.num_columns > 1 else [[p] for p in paths]
+            for path, parts in zip(paths, parts_of):
                 sha, length = hashlib.new(f"sha{bits}"), 0
-                with store.open_input_stream(at, compression=None, buffer_size=0) as file:
-                    while piece := file.read(PIECE):
-                        sha.update(piece)
-                        length += len(piece)
-                rows.append((uri, length, sha.hexdigest()))
+                for uri in parts:
+                    store, at, _ = _store(uri)
+                    with store.open_input_stream(at, compression=None, buffer_size=0) as file:
+                        while piece := file.read(PIECE):
+                            sha.update(piece)
+                            length += len(piece)
+                rows.append((path, length, sha.hexdigest()))
             cols = list(zip(*rows)) or [()] * 3
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.string(), pa.int64(), pa.string()))],
                                              names=["path", "length", "digest"])
@@ -186,6 +190,19 @@ def file_digests(files: DataFrame, bits: int = 256, path: str = "path") -> DataF
             .select("path", base_name("path").alias("name"), "length", "digest"))
 
 
+def folder_digests(files: DataFrame, bits: int = 256, path: str = "path") -> DataFrame:
+    """H1 for files written in parts: ``(path, name, length, digest)`` of each
+    folder of an inventory, as of its files one after the other in the order
+    of their names (Spark's writers number the parts in row order). Any number
+    of tasks can write such a file. A digest is one chain over all bytes, so
+    one task reads the parts of a folder, in pieces of 1 MB."""
+    folder = F.regexp_extract(path, "^(.*)/[^/]*$", 1)
+    parts = files.groupBy(folder.alias("path")).agg(F.array_sort(F.collect_list(path)).alias("parts"))
+    n = min(4 * files.sparkSession.sparkContext.defaultParallelism, max(1, parts.count()))
+    return (parts.repartition(n).mapInArrow(_digest_files(bits), "path string, length long, digest string")
+            .select("path", base_name("path").alias("name"), "length", "digest"))
+
+
 def layout_scan(spark: SparkSession, root: str, schema: StructType | str | None = None,
                 **partition_values) -> DataFrame:
     """Read a ``key=value`` partitioned layout, keeping only the given
