@@ -18,8 +18,10 @@
 
 Bounds: the benchmark is taken in blocks of about ``block_words`` words
 (whole items); only one block at a time is on the driver and broadcast.
-Documents are taken in Arrow batches; candidates in slices of
-``CANDIDATES``. Nothing is dropped or capped.
+A task holds the postings of about ``SLICE_WORDS`` words at once (whole
+documents, one at least), candidates come in slices of ``CANDIDATES``, so its
+memory follows neither the rows of an Arrow batch nor the length of a partition.
+Nothing is dropped or capped.
 
 Defined results: null or word-free texts have no words and no matches; items
 without words have no window; an item without an id counts under the empty
@@ -36,6 +38,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -45,7 +48,9 @@ WIDTH = 13
 SLOP = 2
 NEAR_SHARE = 0.8
 BLOCK_WORDS = 500_000
-CANDIDATES = 1_000_000
+CANDIDATES = 250_000
+SLICE_WORDS = 250_000
+SLICE_BYTES = 8 * SLICE_WORDS  # of text, where words are not counted yet
 WORD = re.compile(rb"[0-9a-z\x80-\xff]+")  # ALNUM_WORD on lower-cased UTF-8
 MARGIN = 1 << 20  # starts may lie before the first word
 SHIFT = 40  # a posting is term << SHIFT | position
@@ -90,12 +95,25 @@ class Phrases:
 
 # -------------------------------------------------------------------- index
 
+def _slices(batch: pa.RecordBatch, sizes: np.ndarray, most: int) -> Iterator[pa.RecordBatch]:
+    """The batch in slices of whole rows whose sizes add up to about ``most``."""
+    cuts = np.flatnonzero(np.diff(np.cumsum(sizes.astype(np.int64)) // most)) + 1
+    for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows]):
+        yield batch.slice(lo, hi - lo)
+
+
+def _text_slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        sizes = pc.fill_null(pc.binary_length(batch.column(3)), 0).to_numpy(zero_copy_only=False)
+        yield from _slices(batch, sizes, SLICE_BYTES)
+
+
 def _postings(vocab):
     """Task side of the index build."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         find = vocab.value.get
-        for batch in batches:
+        for batch in _text_slices(batches):
             n_words, terms, freqs, places = [], [], [], []
             for text in batch.column(3).to_pylist():
                 words = words_of(text)
@@ -195,7 +213,7 @@ def _query(shared, slop: int, near_share: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         windows = shared.value
         gap = windows.width + 3 * slop + 1  # no candidate reaches another document
-        for batch in batches:
+        for batch in (x for b in batches for x in _slices(b, b.column(3).to_numpy(), SLICE_WORDS)):
             n_docs = batch.num_rows
             n_words = batch.column(3).to_numpy()
             base = gap + np.concatenate([[0], np.cumsum(n_words + gap)])
