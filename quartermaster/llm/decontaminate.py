@@ -42,7 +42,7 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import ALNUM_WORD, KEY, Scratch, doc_key, key_id, lower_ascii
+from .common import ALNUM_WORD, KEY, Scratch, doc_key, key_id, lower_ascii, slices
 
 WIDTH = 13
 SLOP = 2
@@ -95,17 +95,10 @@ class Phrases:
 
 # -------------------------------------------------------------------- index
 
-def _slices(batch: pa.RecordBatch, sizes: np.ndarray, most: int) -> Iterator[pa.RecordBatch]:
-    """The batch in slices of whole rows whose sizes add up to about ``most``."""
-    cuts = np.flatnonzero(np.diff(np.cumsum(sizes.astype(np.int64)) // most)) + 1
-    for lo, hi in zip([0, *cuts.tolist()], [*cuts.tolist(), batch.num_rows]):
-        yield batch.slice(lo, hi - lo)
-
-
 def _text_slices(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         sizes = pc.fill_null(pc.binary_length(batch.column(3)), 0).to_numpy(zero_copy_only=False)
-        yield from _slices(batch, sizes, SLICE_BYTES)
+        yield from slices(batch, sizes, SLICE_BYTES)
 
 
 def _postings(vocab):
@@ -213,7 +206,7 @@ def _query(shared, slop: int, near_share: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         windows = shared.value
         gap = windows.width + 3 * slop + 1  # no candidate reaches another document
-        for batch in (x for b in batches for x in _slices(b, b.column(3).to_numpy(), SLICE_WORDS)):
+        for batch in (x for b in batches for x in slices(b, b.column(3).to_numpy(), SLICE_WORDS)):
             n_docs = batch.num_rows
             n_words = batch.column(3).to_numpy()
             base = gap + np.concatenate([[0], np.cumsum(n_words + gap)])

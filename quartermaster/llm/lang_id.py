@@ -15,7 +15,10 @@ The model is sparse: per kind (words, n-grams of each length) the sorted
 64-bit hashes of its tokens, and of each token the languages that have it. Its
 size follows the training sample, not the corpus. It is broadcast if its pairs
 of token and language take ``max_bytes`` at most; a task then scores a slab of
-texts by array operations, and nothing is shuffled. Beyond that bound the most
+texts by array operations, and nothing is shuffled. Beside the Arrow batch that
+Spark hands it, a task holds one slab of texts (``SLAB``, whole texts) and, in
+training, the words and n-grams within ``HELD`` and ``GRAMS``; none of these
+bounds changes a result. Beyond that bound the most
 frequent words that fit are broadcast, and the other words leave as (document,
 word, count) for a join with the written table; each distinct one is looked
 up, or taken apart into n-grams, once. The bound decides what is broadcast,
@@ -31,24 +34,28 @@ from __future__ import annotations
 
 import re
 from collections import Counter, defaultdict
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import count
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import DoubleType, StringType, StructField, StructType
 
-from .common import Scratch, pack
+from .common import Scratch, pack, slices
 
 UNKNOWN = "und"
 MAX_DOCS = 10_000
 MAX_BYTES = 1 << 26
 PAIR_BYTES = 16         # of the broadcast model, per token and language, at most
-SLAB = 1 << 22          # characters scored at once
+SLAB = 1 << 20          # bytes of text counted or scored at once
+HELD = 1 << 22          # letters of the distinct words that a training task holds
+GRAMS = 1 << 18         # distinct n-grams of them that are held at once
+SUMS = 1 << 17          # log scores of words held at once when they are added up
 SCALE = 1 << 28  # joined log ratios are added as whole numbers, in any order
 NGRAMS = (5, 4, 3, 2, 1)
 KINDS = (0, *NGRAMS)    # 0: whole words
@@ -66,25 +73,47 @@ def _grams(word: str, n: int) -> list[str]:
     return [padded[i:i + n] for i in range(len(padded) - n + 1)]
 
 
+def _slabs(batch: pa.RecordBatch, texts: Callable) -> Iterator[tuple[pa.RecordBatch, list[str | None]]]:
+    """The batch in slices of whole rows of about ``SLAB`` bytes of text, with
+    their texts; ``texts`` finds the column of a slice."""
+    sizes = pc.fill_null(pc.binary_length(texts(batch)), 0).to_numpy(zero_copy_only=False)
+    for part in slices(batch, sizes, SLAB):
+        yield part, texts(part).to_pylist()
+
+
+def _tokens(words: Counter, at: int) -> Iterator[pa.RecordBatch]:
+    """Words of a language and their n-grams with their counts, kind by kind,
+    about ``GRAMS`` at once."""
+
+    def batch(n: int, tokens: Counter) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays(
+            [pa.array(np.full(len(tokens), at), pa.int32()), pa.array(np.full(len(tokens), n), pa.int32()),
+             pa.array(list(tokens), pa.string()), pa.array(list(tokens.values()), pa.int64())],
+            names=["at", "n", "token", "count"])
+
+    yield batch(0, words)
+    for n in NGRAMS:
+        grams: Counter = Counter()
+        for w, c in words.items():
+            for g in _grams(w, n):
+                grams[g] += c
+            if len(grams) >= GRAMS:
+                yield batch(n, grams)
+                grams = Counter()
+        yield batch(n, grams)
+
+
 def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        per_lang: dict[int, Counter] = {}
-        for at, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+    """Task side: counts leave when the words held have ``HELD`` letters."""
+    per_lang: dict[int, Counter] = {}
+    for part, texts in (x for b in batches for x in _slabs(b, lambda part: part.column(1))):
+        for at, text in zip(part.column(0).to_pylist(), texts):
             per_lang.setdefault(at, Counter()).update(LETTERS.findall(text.lower()))
-        out: list[tuple[int, int, str, int]] = []
-        for at, words in per_lang.items():
-            out += [(at, 0, w, c) for w, c in words.items()]
-            for n in NGRAMS:
-                grams: Counter = Counter()
-                for w, c in words.items():
-                    for g in _grams(w, n):
-                        grams[g] += c
-                out += [(at, n, g, c) for g, c in grams.items()]
-        cols = list(zip(*out)) or [(), (), (), ()]
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.int32()),
-             pa.array(cols[2], pa.string()), pa.array(cols[3], pa.int64())],
-            names=["at", "n", "token", "count"])
+        if sum(len(w) for words in per_lang.values() for w in words) >= HELD:
+            while per_lang:
+                yield from _tokens(*per_lang.popitem()[::-1])
+    while per_lang:
+        yield from _tokens(*per_lang.popitem()[::-1])
 
 
 def train(docs: DataFrame, text: str = "text", lang: str = "lang", max_docs: int = MAX_DOCS,
@@ -237,16 +266,23 @@ def _named(total: np.ndarray, letter: list[bool], langs: list[str]) -> tuple[lis
             [x if ok else 0.0 for x, ok in zip(p[np.arange(len(p)), best].tolist(), letter)])
 
 
-def _slabs(texts: list[str | None]) -> Iterator[tuple[int, int]]:
-    """Ranges of texts of about ``SLAB`` characters."""
-    lo, room = 0, SLAB
-    for k, t in enumerate(texts):
-        room -= len(t or "")
-        if room < 0:
-            yield lo, k + 1
-            lo, room = k + 1, SLAB
-    if lo < len(texts):
-        yield lo, len(texts)
+def _whole_part(shared, place: int | None):
+    """Task side: scores all words of the texts, slab by slab. The text is field
+    ``place`` of the row, or a column of its own."""
+
+    def find(batch: pa.RecordBatch) -> pa.Array:
+        return batch.column(1) if place is None else batch.column(0).field(place)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = shared.value
+        langs = model["langs"]
+        for part, texts in (x for b in batches for x in _slabs(b, find)):
+            names, probs = (_named(*scores(texts, model), langs) if langs
+                            else ([UNKNOWN] * len(texts), [0.0] * len(texts)))
+            yield pa.RecordBatch.from_arrays([part.column(0), pa.array(names, pa.string()), pa.array(probs, pa.float64())],
+                                             names=["row", "lang_pred", "score"])
+
+    return run
 
 
 def predict(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:
@@ -256,53 +292,44 @@ def predict(docs: DataFrame, model: dict, text: str = "text") -> DataFrame:
         return _predict_joined(docs, model, text)
     spark = docs.sparkSession
     shared = spark.sparkContext.broadcast(model)
-    rows = docs.select(pack(docs).alias("row"), F.col(text).alias("text"))
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = shared.value
-        langs = model["langs"]
-        for batch in batches:
-            texts = batch.column(1).to_pylist()
-            names, probs = [], []
-            for lo, hi in _slabs(texts):
-                part = texts[lo:hi]
-                named = _named(*scores(part, model), langs) if langs else ([UNKNOWN] * len(part), [0.0] * len(part))
-                names += named[0]
-                probs += named[1]
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(names, pa.string()), pa.array(probs, pa.float64())],
-                                             names=["row", "lang_pred", "score"])
-
-    return rows.mapInArrow(run, StructType([rows.schema["row"], StructField("lang_pred", StringType()),
-                                            StructField("score", DoubleType())]))
+    # The row holds the text already: sent once where it is a column.
+    place = next((k for k, f in enumerate(docs.schema)
+                  if f.name == text and "." not in text and isinstance(f.dataType, StringType)), None)
+    rows = docs.select(pack(docs).alias("row"), *([F.col(text).cast("string").alias("text")] if place is None else []))
+    return rows.mapInArrow(_whole_part(shared, place), StructType([
+        rows.schema["row"], StructField("lang_pred", StringType()), StructField("score", DoubleType())]))
 
 
 def _shared_part(shared):
     """Task side: scores the broadcast words of each text; the others leave
-    with their counts. Equal texts of a batch leave once."""
+    with their counts, slab by slab. Equal texts of a batch leave once."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = shared.value
         number = TaskContext.get().partitionId() << 33
         for batch in batches:
-            out: dict[tuple[int, int], tuple] = {}
-            for k_hash, k_mix, t in zip(*(c.to_pylist() for c in batch.columns)):
-                if (k_hash, k_mix) in out:
-                    continue
-                words = Counter(LETTERS.findall(t.lower())) if t else {}
-                names, times = list(words), np.array(list(words.values()), np.float64)
-                kinds, word, at, ratio = evidence(names, model, backoff=False)
-                total = model["floor"][0] * times[kinds == 0].sum() + np.bincount(
-                    at, times[word] * ratio, len(model["langs"]))
-                rest = np.flatnonzero(kinds < 0).tolist()
-                letter = any(any(map(str.isalpha, w)) for w in words)
-                out[k_hash, k_mix] = (number, k_hash, k_mix, letter, total, [names[k] for k in rest],
-                                      [words[names[k]] for k in rest])
-                number += 1
-            cols = list(zip(*out.values())) or [()] * 7
-            kinds = [pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.list_(pa.float64()),
-                     pa.list_(pa.string()), pa.list_(pa.int64())]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)],
-                                             names=["doc", "k_hash", "k_mix", "letter", "total", "words", "counts"])
+            seen: set[tuple[int, int]] = set()
+            for part, texts in _slabs(batch, lambda part: part.column(2)):
+                out = []
+                for k_hash, k_mix, t in zip(part.column(0).to_pylist(), part.column(1).to_pylist(), texts):
+                    if (k_hash, k_mix) in seen:
+                        continue
+                    seen.add((k_hash, k_mix))
+                    words = Counter(LETTERS.findall(t.lower())) if t else {}
+                    names, times = list(words), np.array(list(words.values()), np.float64)
+                    kinds, word, at, ratio = evidence(names, model, backoff=False)
+                    total = model["floor"][0] * times[kinds == 0].sum() + np.bincount(
+                        at, times[word] * ratio, len(model["langs"]))
+                    rest = np.flatnonzero(kinds < 0).tolist()
+                    letter = any(any(map(str.isalpha, w)) for w in words)
+                    out.append((number, k_hash, k_mix, letter, total, [names[k] for k in rest],
+                                [words[names[k]] for k in rest]))
+                    number += 1
+                cols = list(zip(*out)) or [()] * 7
+                kinds = [pa.int64(), pa.int64(), pa.int32(), pa.bool_(), pa.list_(pa.float64()),
+                         pa.list_(pa.string()), pa.list_(pa.int64())]
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)],
+                                                 names=["doc", "k_hash", "k_mix", "letter", "total", "words", "counts"])
 
     return run
 
@@ -376,9 +403,10 @@ def _predict_joined(docs: DataFrame, model: dict, text: str) -> DataFrame:
     kind_of = {-1 - n: k for k, n in enumerate((0, *NGRAMS))}
 
     def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            totals, letters = np.zeros((batch.num_rows, len(langs))), []
-            for total, letter, start, sums in zip(totals, *(c.to_pylist() for c in batch.columns[2:])):
+        for part in (x for b in batches for x in slices(
+                b, pc.fill_null(pc.list_value_length(b.column(4)), 0).to_numpy(zero_copy_only=False) + len(langs), SUMS)):
+            totals, letters = np.zeros((part.num_rows, len(langs))), []
+            for total, letter, start, sums in zip(totals, *(c.to_pylist() for c in part.columns[2:])):
                 total += start
                 for x in sums or ():
                     if x["at"] < 0:
@@ -387,7 +415,7 @@ def _predict_joined(docs: DataFrame, model: dict, text: str) -> DataFrame:
                         total[x["at"]] += x["v"] / SCALE
                 letters.append(letter or bool(sums))
             names, probs = _named(totals, letters, langs)
-            yield pa.RecordBatch.from_arrays([*batch.columns[:2], pa.array(names, pa.string()), pa.array(probs, pa.float64())],
+            yield pa.RecordBatch.from_arrays([*part.columns[:2], pa.array(names, pa.string()), pa.array(probs, pa.float64())],
                                              names=["k_hash", "k_mix", "lang_pred", "score"])
 
     found = (thin.join(sums, "doc", "left").select("k_hash", "k_mix", "letter", "total", "sums")

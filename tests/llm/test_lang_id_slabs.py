@@ -1,0 +1,123 @@
+"""A language ID task's memory follows the slab, not the rows of an Arrow batch."""
+
+from __future__ import annotations
+
+import random
+import tracemalloc
+from collections import Counter
+
+import pyarrow as pa
+import pytest
+
+from quartermaster.llm import lang_id
+
+
+def texts_of(n, words=300, seed=1):
+    rng = random.Random(seed)
+    vocab = ["".join(rng.choices("abcdefghij", k=7)) for _ in range(2000)]
+    return [" ".join(rng.choices(vocab, k=words)) for _ in range(n)]
+
+
+def peak_of(task, batch):
+    """(peak of Python and numpy memory, bytes of the largest batch out)."""
+    largest = 0
+    tracemalloc.start()
+    for out in task(iter([batch])):
+        largest = max(largest, out.nbytes)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    return peak, largest
+
+
+@pytest.fixture
+def sent(spark, monkeypatch):
+    """(task, Arrow input) of a prediction of ``texts``."""
+    monkeypatch.setattr(lang_id, "SLAB", 1 << 16)
+    got = {}
+
+    def keep(self, task, schema, *rest):
+        got["task"], got["rows"] = task, self
+        return self
+
+    def build(texts):
+        learn = spark.createDataFrame([(0, t, "aa") for t in texts[:20]], "doc_id long, text string, lang string")
+        model = lang_id.train(learn)
+        docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+        with monkeypatch.context() as m:
+            m.setattr(type(docs), "mapInArrow", keep)
+            lang_id.predict(docs, model)
+        return got["task"], got["rows"].toArrow().combine_chunks().to_batches()[0]
+
+    return build
+
+
+def test_prediction_holds_a_slab(sent):
+    texts = texts_of(1600)
+    peaks = []
+    for n in (200, 1600):
+        task, batch = sent(texts[:n])
+        peak_of(task, batch)  # the model is read
+        peaks.append(peak_of(task, batch))
+    assert peaks[1][0] < 1.5 * peaks[0][0]
+    assert peaks[1][1] < 4 * lang_id.SLAB
+
+
+def test_text_is_sent_once(sent):
+    texts = texts_of(200)
+    _, batch = sent(texts)
+    assert batch.nbytes < 1.5 * sum(map(len, texts))
+
+
+def test_training_counts_within_bounds(monkeypatch):
+    monkeypatch.setattr(lang_id, "SLAB", 1 << 14, raising=False)
+    monkeypatch.setattr(lang_id, "HELD", 1 << 14, raising=False)
+    monkeypatch.setattr(lang_id, "GRAMS", 1 << 10, raising=False)
+    rng = random.Random(2)
+    texts = [" ".join("".join(rng.choices("abcdefghijklmnop", k=8)) for _ in range(100)) for _ in range(800)]
+
+    def batch(n):
+        return pa.record_batch([pa.array([k % 2 for k in range(n)], pa.int32()), pa.array(texts[:n], pa.string())],
+                               names=["at", "text"])
+
+    peaks = [peak_of(lang_id._count, batch(n))[0] for n in (100, 800)]
+    assert peaks[1] < 1.5 * peaks[0]
+
+
+def test_bounds_change_no_count(monkeypatch):
+    texts = texts_of(60) + ["", "12 34"]
+    batch = pa.record_batch([pa.array([k % 3 for k in range(62)], pa.int32()), pa.array(texts, pa.string())],
+                            names=["at", "text"])
+
+    def counts():
+        out = Counter()
+        for b in lang_id._count(iter([batch, batch])):
+            for r in b.to_pylist():
+                out[r["at"], r["n"], r["token"]] += r["count"]
+        return out
+
+    want = counts()
+    for slab, held, grams in ((1, 1, 1), (5000, 3000, 70)):
+        monkeypatch.setattr(lang_id, "SLAB", slab)
+        monkeypatch.setattr(lang_id, "HELD", held)
+        monkeypatch.setattr(lang_id, "GRAMS", grams)
+        assert counts() == want
+    assert want[0, 0, texts[0].split()[0]] >= 2
+
+
+def test_slabs_change_no_prediction(spark, monkeypatch):
+    learn = spark.createDataFrame([(k, "uno dos tres cuatro" if k % 2 else "one two three four", "es" if k % 2 else "en")
+                                   for k in range(20)], "doc_id long, text string, lang string")
+    model = lang_id.train(learn)
+    docs = spark.createDataFrame([(k, t) for k, t in enumerate(
+        [None, "", "one dos", "tres uno", "four", "12", "cuatros", "one two " * 50])], "doc_id long, Text string")
+
+    def found(df, column):
+        return sorted(((r["row"]["doc_id"], r["lang_pred"], round(r["score"], 9))
+                       for r in lang_id.predict(df.coalesce(1), model, column).collect()))
+
+    want = found(docs, "Text")
+    assert [x[1] for x in want] == ["und", "und", want[2][1], "es", "en", "und", "es", "en"]
+    assert found(docs, "text") == want  # not the column's own spelling: sent beside the row
+    assert found(docs.selectExpr("doc_id", "struct(Text as t) as body"), "body.t") == want
+    monkeypatch.setattr(lang_id, "SLAB", 1)
+    assert found(docs, "Text") == want
